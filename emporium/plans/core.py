@@ -12,6 +12,7 @@ from emporium.operators.latest import latest_per_key
 DATE_SPINE_START = "2023-01-01"
 DATE_SPINE_END = "2025-12-31"
 LOW_STOCK_BELOW = 50
+ORDER_LOOKBACK = "72 HOURS"   # late-arriving orders
 
 FCT_ORDER_COLUMNS = [
     "order_id", "customer_id", "order_date", "order_status", "order_total_cents",

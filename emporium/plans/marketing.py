@@ -9,6 +9,7 @@ from emporium.operators.asof import asof_latest
 
 # The event types counted per session.
 EVENT_COUNTS = ["page_view", "product_click", "add_to_cart", "checkout", "purchase"]
+SESSION_LOOKBACK = "24 HOURS"
 
 FCT_SESSION_COLUMNS = [
     "session_id", "user_id", "user_name", "user_email", "user_tier", "session_start",

@@ -104,4 +104,7 @@ STAGING = {
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {t: STAGING[t](df) for t, df in raw.items()}
+    """Staging views over ``raw``, built lazily per table."""
+    from emporium.sources.testdata import LazyTables
+
+    return LazyTables(list(raw), lambda t: STAGING[t](raw[t]))

@@ -7,14 +7,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emporium.operators.incremental import append_absent_frame, incremental_model
+from emporium.operators.snapshot import snapshot_frame
+from emporium.plans.core import ORDER_LOOKBACK
+from emporium.plans.marketing import SESSION_LOOKBACK
 from emporium.plans.warehouse import Warehouse
+from emporium.sources.seeds import land
+from emporium.sources.testdata import LOAD_1, LOAD_2
 from emporium.session import ensure_checkpoint_dir
 from emporium.sources.testdata import TestdataSource
 
 
+_SOURCES: dict[tuple, TestdataSource] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
+def source(spark: SparkSession, sf_dir: str) -> TestdataSource:
+    """One adapter per (session, folder): plans are immutable, so sharing
+    them saves re-analysis and lets Spark reuse identical exchanges."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _SOURCES:
+        ensure_checkpoint_dir(spark)
+        _SOURCES[key] = TestdataSource(spark, sf_dir)
+    return _SOURCES[key]
+
+
 def warehouse(spark: SparkSession, sf_dir: str, state: str = "current") -> Warehouse:
-    ensure_checkpoint_dir(spark)
-    return Warehouse(spark, TestdataSource(spark, sf_dir).tables(state))
+    key = (id(spark._jsparkSession), sf_dir, state)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, source(spark, sf_dir).tables(state))
+    return _WAREHOUSES[key]
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -60,3 +82,56 @@ QUERIES.update({
     "channel_performance": _model("channel_performance"),
     "customer_features": _model("customer_features"),
 })
+
+
+# ---------------------------------------------------------------- O6-O9
+def fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 after two runs: full build on batch 1, then delete+insert of the
+    current state with the 72 h lookback on order_updated_at."""
+    target = warehouse(spark, sf_dir, "b1").fct_orders
+    source = warehouse(spark, sf_dir).fct_orders
+    return incremental_model(target, source, "order_id", "order_updated_at", ORDER_LOOKBACK)
+
+
+def fct_payments_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 after two runs: payments already present never change (trap T2)."""
+    target = warehouse(spark, sf_dir, "b1").fct_payments
+    source = warehouse(spark, sf_dir).fct_payments
+    return target.unionByName(append_absent_frame(target, source, "payment_id"))
+
+
+def fct_sessions_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 after two runs with the 24 h lookback on session_start (trap T13)."""
+    target = warehouse(spark, sf_dir, "b1").fct_sessions
+    source = warehouse(spark, sf_dir).fct_sessions
+    return incremental_model(target, source, "session_id", "session_start", SESSION_LOOKBACK)
+
+
+def _snapshot(table: str, key: str, cols: list[str]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = source(spark, sf_dir)
+        b1 = src.table(table, "b1").select(*cols)
+        b2 = src.table(table, "b2").select(*cols)
+        first = snapshot_frame(None, b1, key, "updated_at", LOAD_1)
+        return snapshot_frame(first, b2, key, "updated_at", LOAD_2)
+    run.__name__ = f"snapshot_{table}"
+    return run
+
+
+def raw_orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing upsert of the two order extracts equals the current state."""
+    src = source(spark, sf_dir)
+    return land([src.table("orders", "b1"), src.table("orders", "b2")], "order_id")
+
+
+QUERIES.update({
+    "fct_orders_incremental": fct_orders_incremental,
+    "fct_payments_incremental": fct_payments_incremental,
+    "fct_sessions_incremental": fct_sessions_incremental,
+    "snapshot_customers": _snapshot("users", "user_id",
+                                    ["user_id", "email", "name", "tier", "created_at", "updated_at"]),
+    "snapshot_products": _snapshot("products", "product_id",
+                                   ["product_id", "name", "category", "price_cents", "created_at",
+                                    "updated_at"]),
+    "raw_orders_landing": raw_orders_landing,
+})

@@ -61,6 +61,43 @@ def _pick(values: list[str], idx: Column) -> Column:
     return out
 
 
+class LazyTables(dict):
+    """Mapping that builds each DataFrame on first access.
+
+    Building a DataFrame triggers analysis on the JVM; a query that touches
+    three tables should not pay for fourteen.
+    """
+
+    def __init__(self, names, build):
+        super().__init__()
+        self._names = list(names)
+        self._build = build
+
+    def __missing__(self, key):
+        if key not in self._names:
+            raise KeyError(key)
+        df = self[key] = self._build(key)
+        return df
+
+    def keys(self):
+        return list(self._names)
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self):
+        return len(self._names)
+
+    def __contains__(self, key):
+        return key in self._names
+
+    def items(self):
+        return [(k, self[k]) for k in self._names]
+
+    def values(self):
+        return [self[k] for k in self._names]
+
+
 def _finish(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMAS[table].fields])
 
@@ -71,8 +108,14 @@ class TestdataSource:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._reads: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
+        if name not in self._reads:
+            self._reads[name] = self._read(name)
+        return self._reads[name]
+
+    def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name == "orders":
             df = df.withColumn("o_orderdate", _add(F.col("o_orderdate"), "YEAR", YEAR_SHIFT))
@@ -84,8 +127,8 @@ class TestdataSource:
         assert state in STATES, state
         return _finish(getattr(self, f"_{name}")(state), name)
 
-    def tables(self, state: str = "current") -> dict[str, DataFrame]:
-        return {t: self.table(t, state) for t in RAW_SCHEMAS}
+    def tables(self, state: str = "current") -> "LazyTables":
+        return LazyTables(RAW_SCHEMAS, lambda t: self.table(t, state))
 
     # ---------------------------------------------------------------- app_db
     def _users(self, state):
