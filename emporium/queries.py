@@ -135,3 +135,102 @@ QUERIES.update({
                                     "updated_at"]),
     "raw_orders_landing": raw_orders_landing,
 })
+
+
+# ------------------------------------------------------- quality, freshness
+def model_frames(w: Warehouse) -> dict[str, DataFrame]:
+    """Models by their warehouse names (the names the checks refer to)."""
+    from emporium.sources.testdata import LazyTables
+
+    named = {
+        "int_orders_with_payments": "orders_with_payments",
+        "int_product_inventory_current": "inventory_current",
+        "int_sessions_mapped_to_users": "sessions_mapped",
+        "dim_customers": "dim_customers", "dim_products": "dim_products", "dim_dates": "dim_dates",
+        "fct_orders": "fct_orders", "fct_payments": "fct_payments", "fct_refunds": "fct_refunds",
+        "rpt_daily_revenue": "daily_revenue", "fct_sessions": "fct_sessions",
+        "fct_attribution": "fct_attribution", "rpt_channel_performance": "channel_performance",
+    }
+    names = list(named) + [f"stg_{t}" for t in w.raw]
+    return LazyTables(names, lambda n: getattr(w, named[n]) if n in named else w.stg[n[4:]])
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from emporium.operators.quality import quality_report as report
+    from emporium.plans.checks import ALL_CHECKS
+
+    return report(model_frames(warehouse(spark, sf_dir)), ALL_CHECKS)
+
+
+def assert_no_orphaned_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from emporium.plans import checks
+
+    w = warehouse(spark, sf_dir)
+    return checks.assert_no_orphaned_order_items(w.stg["order_items"], w.stg["orders"])
+
+
+def assert_revenue_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from emporium.plans import checks
+
+    w = warehouse(spark, sf_dir)
+    return checks.assert_revenue_reconciles(w.fct_orders, w.fct_payments)
+
+
+def snapshot_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from emporium.operators.quality import snapshot_invariants as inv
+
+    return inv(QUERIES["snapshot_customers"](spark, sf_dir), "user_id")
+
+
+def spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12 on the daily revenue report's days (the spine as the report sees it)."""
+    from emporium.operators.quality import spine_gaps as gaps
+
+    return gaps(warehouse(spark, sf_dir).daily_revenue, "revenue_date")
+
+
+# Fixed evaluation time for the freshness query (reproducible ages).
+FRESHNESS_NOW = "2024-06-16 12:00:00"
+
+
+def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from emporium.operators.freshness import source_freshness as fresh
+
+    return fresh(source(spark, sf_dir).tables("current"), FRESHNESS_NOW)
+
+
+def union_order_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 over the two order extracts, tagged by their landing schema (Q14:
+    the row count is the sum of the inputs)."""
+    from emporium.operators.union import union_relations
+
+    src = source(spark, sf_dir)
+    return union_relations({"shopify_initial": src.table("orders", "b1"),
+                            "shopify_incremental": src.table("orders", "b2")})
+
+
+def _metric_query(metrics: list[str], by: list[str], grain: str | None, model: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from emporium.operators.metrics import query_metrics
+
+        w = warehouse(spark, sf_dir)
+        return query_metrics(getattr(w, model), metrics, by, grain)
+    return run
+
+
+QUERIES.update({
+    "quality_report": quality_report,
+    "assert_no_orphaned_order_items": assert_no_orphaned_order_items,
+    "assert_revenue_reconciles": assert_revenue_reconciles,
+    "snapshot_invariants": snapshot_invariants,
+    "spine_gaps": spine_gaps,
+    "source_freshness": source_freshness,
+    "union_sources": union_order_extracts,
+    "metric_revenue_by_day": _metric_query(["revenue", "orders"], [], "day", "fct_orders"),
+    "metric_aov": _metric_query(["average_order_value", "revenue", "orders"],
+                                ["order_status", "payment_method"], "month", "fct_orders"),
+    "metric_conversion_rate": _metric_query(["conversion_rate", "sessions", "converted_sessions"],
+                                            ["channel", "device_type"], "day", "fct_sessions"),
+    "metric_sessions_by_anonymity": _metric_query(["sessions", "converted_sessions"],
+                                                  ["is_anonymous"], None, "fct_sessions"),
+})
