@@ -234,3 +234,37 @@ QUERIES.update({
     "metric_sessions_by_anonymity": _metric_query(["sessions", "converted_sessions"],
                                                   ["is_anonymous"], None, "fct_sessions"),
 })
+
+
+# ---------------------------------------------------------------- streams
+def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
+    import uuid
+
+    from emporium.session import shared_dir
+
+    run = uuid.uuid4().hex[:10]
+    base = shared_dir(spark, f"streams/{name}-{run}")
+    return f"{base}/out", f"{base}/_checkpoint"
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 over the driver's events file as a bounded stream (availableNow)."""
+    from emporium.streaming import jobs
+
+    raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_EVENTS_SCHEMA, glob="events.parquet")
+    out, ckpt = _stream_dirs(spark, "sessions")
+    jobs.run_to_parquet(jobs.sessionized_events(source(spark, sf_dir).visitor_events(raw)), out, ckpt)
+    return spark.read.parquet(out)
+
+
+def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4 over the driver's orders file as a bounded stream (availableNow)."""
+    from emporium.streaming import jobs
+
+    raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
+    out, ckpt = _stream_dirs(spark, "daily_revenue")
+    jobs.run_to_parquet(jobs.daily_revenue_stream(source(spark, sf_dir).orders_from(raw)), out, ckpt)
+    return spark.read.parquet(out)
+
+
+QUERIES.update({"stream_sessions": stream_sessions, "stream_daily_revenue": stream_daily_revenue})

@@ -127,6 +127,16 @@ class TestdataSource:
         assert state in STATES, state
         return _finish(getattr(self, f"_{name}")(state), name)
 
+    def orders_from(self, raw_orders: DataFrame) -> DataFrame:
+        """Shop orders (current state) from a driver ``orders`` frame - batch
+        or streaming; the year shift is applied here."""
+        shifted = raw_orders.withColumn("o_orderdate", _add(F.col("o_orderdate"), "YEAR", YEAR_SHIFT))
+        return _finish(self._orders("current", shifted), "orders")
+
+    def visitor_events(self, raw_events: DataFrame) -> DataFrame:
+        """Events keyed by visitor with shop event types - batch or streaming."""
+        return self._events_state("current", raw_events)
+
     def tables(self, state: str = "current") -> "LazyTables":
         return LazyTables(RAW_SCHEMAS, lambda t: self.table(t, state))
 
@@ -202,8 +212,8 @@ class TestdataSource:
             _ts(LOAD_1 if state == "b1" else LOAD_2).alias("_etl_loaded_at"))
 
     # --------------------------------------------------------------- shopify
-    def _order_flags(self):
-        o = self.read("orders")
+    def _order_flags(self, o: DataFrame | None = None):
+        o = self.read("orders") if o is None else o
         k, d = F.col("o_orderkey"), F.col("o_orderdate")
         base_status = (F.when(F.col("o_orderstatus") == "F", "Completed")
                        .when(F.col("o_orderstatus") == "P", "Returned")
@@ -214,9 +224,9 @@ class TestdataSource:
         return o.select("*", base_status.alias("base_status"), late.alias("is_late"),
                         update.alias("is_update"))
 
-    def _orders_state(self, state):
+    def _orders_state(self, state, raw: DataFrame | None = None):
         """Orders of a state with the status/updated_at/loaded_at valid in it."""
-        o = self._order_flags()
+        o = self._order_flags(raw)
         d = F.col("o_orderdate")
         in_b1 = (d < _ts(ORDER_CUTOFF)) & ~F.col("is_late")
         in_b2 = (d >= _ts(ORDER_CUTOFF)) | F.col("is_late") | F.col("is_update")
@@ -233,9 +243,9 @@ class TestdataSource:
             F.when(in_b2 & F.lit(state != "b1"), _ts(LOAD_2)).otherwise(_ts(LOAD_1))
              .alias("_etl_loaded_at"))
 
-    def _orders(self, state):
+    def _orders(self, state, raw: DataFrame | None = None):
         k = F.col("o_orderkey")
-        return self._orders_state(state).select(
+        return self._orders_state(state, raw).select(
             k.alias("order_id"), F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("order_date"), "status",
             F.round(F.col("o_totalprice") * 100).cast("bigint").alias("total_amount_cents"),
@@ -320,8 +330,8 @@ class TestdataSource:
             _ts(LOAD_1).alias("_etl_loaded_at"))
 
     # --------------------------------------------------------- web analytics
-    def _events_state(self, state):
-        e = self.read("events")
+    def _events_state(self, state, raw: DataFrame | None = None):
+        e = self.read("events") if raw is None else raw
         ts = F.col("ts")
         late = (ts >= _ts(WEB_LATE_FROM)) & (ts < _ts(WEB_CUTOFF)) & (F.col("event_id") % 9 == 0)
         in_b1 = (ts < _ts(WEB_CUTOFF)) & ~late
