@@ -56,41 +56,53 @@ def check_counts(df: DataFrame, model: str, checks: list[Check],
     spark = df.sparkSession
     parts: list[DataFrame] = []
     row = [c for c in checks if c.test in ROW_RULES or c.test == "row_count_between"]
-    if row:
-        aggs = []
-        for i, c in enumerate(row):
-            if c.test == "row_count_between":
-                lo, hi = c.values
-                aggs.append(F.count(F.lit(1)).alias(f"__n{i}"))
-            else:
-                # null predicate = pass, as in SQL's WHERE
-                aggs.append(F.count(F.when(_fails(c), F.lit(1))).alias(f"__n{i}"))
-        one = df.agg(*aggs)
-        stack = []
+    uniq = [c for c in checks if c.test == "unique"]
+    if row or uniq:
+        # One scan and one shuffle per model. Every input row emits one
+        # "__rows__" record carrying a 0/1 failure flag per row rule, plus one
+        # (column, value) record per unique rule. A single aggregate by
+        # (column, value) then yields row-rule failures (sums on "__rows__",
+        # a single hot group that partial aggregation combines map-side) and
+        # per-value counts for the unique rules.
+        flags = [F.when(_fails(c), F.lit(1)).otherwise(F.lit(0)).alias(f"__f{i}")
+                 if c.test != "row_count_between" else F.lit(1).alias(f"__f{i}")
+                 for i, c in enumerate(row)]
+        no_flags = [F.lit(None).cast("int").alias(f"__f{i}") for i in range(len(row))]
+        recs = [F.struct(F.lit("__rows__").alias("c"), F.lit(None).cast("string").alias("v"), *flags)]
+        recs += [F.struct(F.lit(c.column).alias("c"), F.col(c.column).cast("string").alias("v"), *no_flags)
+                 for c in uniq]
+        exploded = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+        grouped = (exploded.where((F.col("c") == "__rows__") | F.col("v").isNotNull())
+                   .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"),
+                                          *[F.sum(f"__f{i}").alias(f"__s{i}") for i in range(len(row))]))
+        summary = grouped.groupBy("c").agg(
+            F.count(F.when(F.col("n") > 1, F.lit(1))).alias("dups"),
+            *[F.max(f"__s{i}").alias(f"__s{i}") for i in range(len(row))])
+        recs_out = []
         for i, c in enumerate(row):
+            n = F.col(f"__s{i}")
             if c.test == "row_count_between":
                 lo, hi = c.values
-                n = F.when(F.col(f"__n{i}").between(lo, hi), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-            else:
-                n = F.col(f"__n{i}")
-            stack.append(F.struct(F.lit(c.column).cast("string").alias("column_name"),
-                                  F.lit(c.test).alias("test"), n.alias("failures")))
-        parts.append(one.select(F.explode(F.array(*stack)).alias("r"))
-                     .select(F.lit(model).alias("model"), "r.*"))
-    uniq = [c for c in checks if c.test == "unique"]
-    if uniq:
-        # every unique check of the model in one shuffle: (column, value)
-        # pairs, counted per pair with partial aggregation map-side
-        pairs = F.explode(F.array(*[
-            F.struct(F.lit(c.column).alias("column_name"), F.col(c.column).cast("string").alias("v"))
-            for c in uniq])).alias("p")
-        dup = (df.select(pairs).select("p.*").where(F.col("v").isNotNull())
-               .groupBy("column_name", "v").count().where(F.col("count") > 1)
-               .groupBy("column_name").agg(F.count(F.lit(1)).alias("n")))
-        names = spark.createDataFrame([(c.column,) for c in uniq], "column_name string")
-        parts.append(names.join(dup, "column_name", "left").select(
-            F.lit(model).alias("model"), "column_name", F.lit("unique").alias("test"),
-            F.coalesce("n", F.lit(0).cast("bigint")).alias("failures")))
+                n = F.when(n.between(lo, hi), F.lit(0)).otherwise(F.lit(1))
+            recs_out.append(F.when(F.col("c") == "__rows__", F.array(F.struct(
+                F.lit(c.column).cast("string").alias("column_name"), F.lit(c.test).alias("test"),
+                F.coalesce(n, F.lit(0)).cast("bigint").alias("failures")))))
+        uniq_names = [c.column for c in uniq]
+        uniq_rec = F.when(F.col("c").isin(uniq_names) if uniq_names else F.lit(False), F.array(F.struct(
+            F.col("c").alias("column_name"), F.lit("unique").alias("test"),
+            F.col("dups").cast("bigint").alias("failures"))))
+        all_recs = F.flatten(F.array(*[F.coalesce(r, F.array().cast(
+            "array<struct<column_name:string,test:string,failures:bigint>>")) for r in recs_out + [uniq_rec]]))
+        found = summary.select(F.explode(all_recs).alias("x")).select("x.*")
+        # unique columns whose values are all null produce no group: report 0
+        expected = spark.createDataFrame(
+            [(c.column if c.column is not None else None, c.test) for c in row + uniq],
+            "column_name string, test string")
+        f = found.select(F.col("column_name").alias("__c"), F.col("test").alias("__t"), "failures")
+        cond = expected["column_name"].eqNullSafe(f["__c"]) & (expected["test"] == f["__t"])
+        parts.append(expected.join(f, cond, "left").select(
+            F.lit(model).alias("model"), "column_name", "test",
+            F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
     for c in checks:
         if c.test == "referential_integrity":
             to_model, to_field = c.values
