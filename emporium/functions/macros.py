@@ -60,3 +60,19 @@ def date_spine_between(bounds: DataFrame, lo: str, hi: str, name: str = "date_da
     """Spine whose ends come from a one-row DataFrame (no driver round trip)."""
     return bounds.select(F.explode(F.sequence(F.col(lo).cast("date"), F.col(hi).cast("date"),
                                               F.expr("INTERVAL 1 DAY"))).alias(name))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def wall_clock_instant(c: str | Column) -> Column:
+    """Wall-clock ``timestamp_ntz`` -> ``timestamp`` at the same reading in UTC,
+    independent of the session time zone (watermarks and windows need a
+    zoned type; daily windows then align with wall-clock days)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _col(c))
+    return F.timestamp_micros(micros)
+
+
+def instant_wall_clock(c: str | Column) -> Column:
+    """Inverse of ``wall_clock_instant``: zoned instant -> UTC wall clock (ntz)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(c)), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))

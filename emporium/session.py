@@ -18,6 +18,20 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (not applied locally): AQE sizes the
+# reduce side from measured map output, so the initial partition count only
+# has to be an upper bound; skewed join partitions are split at runtime.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "emporium", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster, pass the master

@@ -12,8 +12,8 @@
   watermark; a day is emitted once the watermark passes its end.
 
 Event time must be a zoned ``timestamp`` for watermarks, so the wall-clock
-``timestamp_ntz`` columns are cast on the way in (session zone UTC) and back
-on the way out.
+``timestamp_ntz`` columns are mapped to the instant with the same UTC reading
+on the way in and back on the way out - independent of the session zone.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.functions.macros import cents_to_dollars
+from emporium.functions.macros import cents_to_dollars, instant_wall_clock, wall_clock_instant
 from emporium.operators.incremental import append_absent_table, upsert_table
 
 # Fixed values of the streaming jobs.
@@ -53,7 +53,7 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
 
 def sessionized_events(visitor_events: DataFrame, gap: str = SESSION_GAP,
                        watermark: str = EVENT_WATERMARK) -> DataFrame:  # ST1
-    e = (visitor_events.withColumn("event_time", F.col("ts").cast("timestamp"))
+    e = (visitor_events.withColumn("event_time", wall_clock_instant("ts"))
          .withWatermark("event_time", watermark)
          .dropDuplicatesWithinWatermark(["event_id"]))
     et = F.lower(F.col("mapped_type"))
@@ -62,19 +62,19 @@ def sessionized_events(visitor_events: DataFrame, gap: str = SESSION_GAP,
         F.count(F.when(et == "page_view", F.lit(1))).alias("page_view_count"),
         F.count(F.when(et == "purchase", F.lit(1))).alias("purchase_count"))
     return agg.select(
-        "visitor_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("session_end"), "event_count",
+        "visitor_id", instant_wall_clock("w.start").alias("session_start"),
+        instant_wall_clock("w.end").alias("session_end"), "event_count",
         "page_view_count", "purchase_count", (F.col("purchase_count") > 0).alias("converted"))
 
 
 def daily_revenue_stream(shop_orders: DataFrame, watermark: str = ORDER_WATERMARK) -> DataFrame:  # ST4
     o = (shop_orders.where(F.lower("status") == "completed")
-         .withColumn("order_time", F.col("order_date").cast("timestamp"))
+         .withColumn("order_time", wall_clock_instant("order_date"))
          .withWatermark("order_time", watermark))
     agg = o.groupBy(F.window("order_time", "1 day").alias("w")).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum(cents_to_dollars("total_amount_cents")).cast("decimal(18,2)").alias("gross_revenue_dollars"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").cast("date").alias("revenue_date"),
+    return agg.select(instant_wall_clock("w.start").cast("date").alias("revenue_date"),
                       "order_count", "gross_revenue_dollars")
 
 
