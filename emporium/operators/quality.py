@@ -1,12 +1,11 @@
 """Data-quality checks (Q1-Q7, Q10-Q12, Q14) evaluated in bulk.
 
-Row-level rules of one model (not_null, accepted_values, not_negative,
-valid_currency_code, expression rules, row count) are folded into a single
-aggregate: one scan, ``count(when(rule fails))`` per rule, partial
-aggregation before the shuffle. ``unique`` needs a group-by on its column
-(again partially aggregated; failures = values seen more than once) and
-``referential_integrity`` is a left anti join. Failing rows themselves are
-fetched with ``failing_rows`` only when a count is non-zero.
+All row-level rules of one model (not_null, accepted_values, not_negative,
+valid_currency_code, expression rules, row count) and all of its ``unique``
+rules share one scan and one shuffle (see ``_model_sql``);
+``referential_integrity`` is a left anti join. The report is generated as
+one SQL statement over temporary views of the models. Failing rows
+themselves are fetched with ``failing_rows`` only when a count is non-zero.
 """
 
 from __future__ import annotations
@@ -33,119 +32,138 @@ class Check:
 
 
 def _fails(c: Check) -> Column:
-    col = F.col(c.column) if c.column else None
+    return F.expr(_fail_sql(c))
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def _fail_sql(c: Check) -> str:
+    """SQL predicate that is true for a failing row (null = pass, as in WHERE)."""
+    col = _q(c.column) if c.column else None
     if c.test == "not_null":
-        return col.isNull()
+        return f"{col} IS NULL"
     if c.test == "accepted_values":
-        return ~col.isin(list(c.values))
+        return f"{col} NOT IN ({', '.join(_lit(v) for v in c.values)})"
     if c.test == "not_negative":
-        return col < 0
+        return f"{col} < 0"
     if c.test == "valid_currency_code":
-        return ~F.lower(col).isin(VALID_CURRENCIES)
+        return f"lower({col}) NOT IN ({', '.join(_lit(v) for v in VALID_CURRENCIES)})"
     if c.test == "expression":
-        return F.expr(c.expr)
+        return f"({c.expr})"
     raise ValueError(c.test)
 
 
 ROW_RULES = {"not_null", "accepted_values", "not_negative", "valid_currency_code", "expression"}
 
 
-def check_counts(df: DataFrame, model: str, checks: list[Check],
-                 models: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(model, column_name, test, failures) for every check of one model."""
-    spark = df.sparkSession
-    parts: list[DataFrame] = []
+def _result(model: str, column: str | None, test: str, failures_sql: str) -> str:
+    col = "CAST(NULL AS STRING)" if column is None else f"CAST({_lit(column)} AS STRING)"
+    return (f"named_struct('model', {_lit(model)}, 'column_name', {col}, 'test', {_lit(test)}, "
+            f"'failures', CAST({failures_sql} AS BIGINT))")
+
+
+def _model_sql(model: str, view: str, checks: list[Check], views: dict[str, str]) -> list[str]:
+    """SQL blocks (model, column_name, test, failures) for the checks of one model.
+
+    All row rules and unique rules share one scan and one shuffle: every
+    input row is exploded into one record of 0/1 failure flags plus one
+    (column, value) record per unique rule, grouped by (column, value) with
+    partial aggregation map-side (the single flags group is combined in
+    every map task), then reduced by a global aggregate to one value per
+    check.
+    """
+    out = []
     row = [c for c in checks if c.test in ROW_RULES or c.test == "row_count_between"]
     uniq = [c for c in checks if c.test == "unique"]
     if row or uniq:
-        # One scan and one shuffle per model. Every input row emits one
-        # "__rows__" record carrying a 0/1 failure flag per row rule, plus one
-        # (column, value) record per unique rule. A single aggregate by
-        # (column, value) then yields row-rule failures (sums on "__rows__",
-        # a single hot group that partial aggregation combines map-side) and
-        # per-value counts for the unique rules.
-        flags = [F.when(_fails(c), F.lit(1)).otherwise(F.lit(0)).alias(f"__f{i}")
-                 if c.test != "row_count_between" else F.lit(1).alias(f"__f{i}")
-                 for i, c in enumerate(row)]
-        no_flags = [F.lit(None).cast("int").alias(f"__f{i}") for i in range(len(row))]
-        recs = [F.struct(F.lit("__rows__").alias("c"), F.lit(None).cast("string").alias("v"), *flags)]
-        recs += [F.struct(F.lit(c.column).alias("c"), F.col(c.column).cast("string").alias("v"), *no_flags)
+        nflags = len(row)
+        recs = []
+        if row:
+            flags = ", ".join(
+                f"'__f{i}', " + ("1" if c.test == "row_count_between"
+                                 else f"CASE WHEN {_fail_sql(c)} THEN 1 ELSE 0 END")
+                for i, c in enumerate(row))
+            recs.append(f"named_struct('c', '__rows__', 'v', CAST(NULL AS STRING), {flags})")
+        nulls = "".join(f", '__f{i}', CAST(NULL AS INT)" for i in range(nflags))
+        recs += [f"named_struct('c', {_lit(c.column)}, 'v', CAST({_q(c.column)} AS STRING){nulls})"
                  for c in uniq]
-        exploded = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-        grouped = (exploded.where((F.col("c") == "__rows__") | F.col("v").isNotNull())
-                   .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"),
-                                          *[F.sum(f"__f{i}").alias(f"__s{i}") for i in range(len(row))]))
-        summary = grouped.groupBy("c").agg(
-            F.count(F.when(F.col("n") > 1, F.lit(1))).alias("dups"),
-            *[F.max(f"__s{i}").alias(f"__s{i}") for i in range(len(row))])
-        recs_out = []
+        sums = "".join(f", sum(__f{i}) AS __s{i}" for i in range(nflags))
+        grouped = (f"SELECT c, v, count(1) AS n{sums} FROM "
+                   f"(SELECT r.* FROM (SELECT explode(array({', '.join(recs)})) AS r FROM {view})) "
+                   f"WHERE c = '__rows__' OR v IS NOT NULL GROUP BY c, v")
+        vals = [f"max(CASE WHEN c = '__rows__' THEN __s{i} END) AS __r{i}" for i in range(nflags)]
+        vals += [f"count(CASE WHEN c = {_lit(c.column)} AND n > 1 THEN 1 END) AS __u{j}"
+                 for j, c in enumerate(uniq)]
+        results = []
         for i, c in enumerate(row):
-            n = F.col(f"__s{i}")
+            n = f"coalesce(__r{i}, 0)"
             if c.test == "row_count_between":
                 lo, hi = c.values
-                n = F.when(n.between(lo, hi), F.lit(0)).otherwise(F.lit(1))
-            recs_out.append(F.when(F.col("c") == "__rows__", F.array(F.struct(
-                F.lit(c.column).cast("string").alias("column_name"), F.lit(c.test).alias("test"),
-                F.coalesce(n, F.lit(0)).cast("bigint").alias("failures")))))
-        uniq_names = [c.column for c in uniq]
-        uniq_rec = F.when(F.col("c").isin(uniq_names) if uniq_names else F.lit(False), F.array(F.struct(
-            F.col("c").alias("column_name"), F.lit("unique").alias("test"),
-            F.col("dups").cast("bigint").alias("failures"))))
-        all_recs = F.flatten(F.array(*[F.coalesce(r, F.array().cast(
-            "array<struct<column_name:string,test:string,failures:bigint>>")) for r in recs_out + [uniq_rec]]))
-        found = summary.select(F.explode(all_recs).alias("x")).select("x.*")
-        # unique columns whose values are all null produce no group: report 0
-        expected = spark.createDataFrame(
-            [(c.column if c.column is not None else None, c.test) for c in row + uniq],
-            "column_name string, test string")
-        f = found.select(F.col("column_name").alias("__c"), F.col("test").alias("__t"), "failures")
-        cond = expected["column_name"].eqNullSafe(f["__c"]) & (expected["test"] == f["__t"])
-        parts.append(expected.join(f, cond, "left").select(
-            F.lit(model).alias("model"), "column_name", "test",
-            F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
+                n = f"CASE WHEN {n} BETWEEN {lo} AND {hi} THEN 0 ELSE 1 END"
+            results.append(_result(c.model, c.column, c.test, n))
+        results += [_result(c.model, c.column, "unique", f"__u{j}") for j, c in enumerate(uniq)]
+        out.append(f"SELECT x.* FROM (SELECT explode(array({', '.join(results)})) AS x "
+                   f"FROM (SELECT {', '.join(vals)} FROM ({grouped})))")
     for c in checks:
         if c.test == "referential_integrity":
             to_model, to_field = c.values
-            parent = (models or {})[to_model].select(F.col(to_field).alias(c.column))
-            orphans = df.where(F.col(c.column).isNotNull()).join(parent, c.column, "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
-                F.lit("referential_integrity").alias("test"), "failures"))
-    return union_all(parts)
+            col = _q(c.column)
+            out.append(
+                f"SELECT {_lit(model)} AS model, CAST({_lit(c.column)} AS STRING) AS column_name, "
+                f"'referential_integrity' AS test, count(1) AS failures "
+                f"FROM (SELECT {col} AS k FROM {view} WHERE {col} IS NOT NULL) m "
+                f"LEFT ANTI JOIN (SELECT {_q(to_field)} AS k FROM {views[to_model]}) p ON m.k = p.k")
+    return out
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    """n-ary UNION ALL (same column order in every part).
+def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All checks of all models: one row per check with its failure count and status.
 
-    Chained ``unionByName`` re-analyses the growing plan at every step
-    (quadratic driver time for many parts); one SQL ``UNION ALL`` over
-    temporary views is analysed once.
+    The models are exposed as temporary views and the whole report is one
+    SQL statement, analysed once (building it column by column through the
+    Python API costs tens of thousands of driver round trips). The views are
+    dropped once the statement is analysed; the plan keeps what it needs.
     """
-    if len(parts) == 1:
-        return parts[0]
-    spark = parts[0].sparkSession
-    cols = parts[0].columns
+    needed: list[str] = []
+    for c in checks:
+        for m in [c.model] + ([c.values[0]] if c.test == "referential_integrity" else []):
+            if m not in needed:
+                needed.append(m)
+    spark = models[needed[0]].sparkSession
     tag = uuid.uuid4().hex[:12]
-    names = []
-    for i, p in enumerate(parts):
-        name = f"__q_{tag}_{i}"
-        p.select(*cols).createOrReplaceTempView(name)
-        names.append(name)
-    out = spark.sql(" UNION ALL ".join(f"SELECT * FROM {n}" for n in names))
-    out.columns  # force analysis while the views exist
-    for n in names:
-        spark.catalog.dropTempView(n)
-    return out
-
-
-def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """All checks of all models: one row per check with its failure count and status."""
+    views = {m: f"__quality_{tag}_{i}" for i, m in enumerate(needed)}
+    for m, v in views.items():
+        models[m].createOrReplaceTempView(v)
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    parts = [check_counts(models[m], m, cs, models) for m, cs in by_model.items()]
-    out = union_all(parts)
-    return out.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+    blocks = [b for m, cs in by_model.items() for b in _model_sql(m, views[m], cs, views)]
+    try:
+        out = spark.sql(
+            "SELECT model, column_name, test, failures, "
+            "CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM ("
+            + " UNION ALL ".join(f"SELECT * FROM ({b})" for b in blocks) + ")")
+        out.columns  # analyse while the views exist
+    finally:
+        for v in views.values():
+            spark.catalog.dropTempView(v)
+    return out
+
+
+def check_counts(df: DataFrame, model: str, checks: list[Check],
+                 models: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(model, column_name, test, failures, status) for the checks of one model."""
+    frames = dict(models or {})
+    frames[model] = df
+    return quality_report(frames, [c for c in checks if c.model == model])
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
