@@ -268,3 +268,56 @@ def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"stream_sessions": stream_sessions, "stream_daily_revenue": stream_daily_revenue})
+
+
+def stream_payments_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3: the two payment extracts arrive as two streaming runs over the
+    driver's orders file; each micro-batch is appended where the payment id
+    is absent. Equals the append-if-absent fact (existing rows never change)."""
+    from emporium.plans import core, staging
+    from emporium.streaming import jobs
+
+    src = source(spark, sf_dir)
+    out, ckpt = _stream_dirs(spark, "payments")
+    for state in ("b1", "b2"):
+        raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
+        pays = core.fct_payments_full(staging.stg_payments(src.payments_from(raw, state)))
+        jobs.run_foreach_batch(pays, jobs.payments_append_sink(spark, out), f"{ckpt}-{state}")
+    return spark.read.parquet(out).drop("created_month")
+
+
+def stream_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: the two order extracts arrive as two streaming runs; each
+    micro-batch becomes order-fact rows (joined with the item summary and
+    payments known at that time) merged by delete+insert with the 72 h
+    lookback into a partitioned table."""
+    from emporium.plans import core, intermediate, staging
+    from emporium.streaming import jobs
+
+    src = source(spark, sf_dir)
+    out, ckpt = _stream_dirs(spark, "orders")
+    for state, known in (("b1", "b1"), ("b2", "current")):
+        stg = warehouse(spark, sf_dir, known).stg
+        items, pays = stg["order_items"], stg["payments"]
+
+        def to_fact(batch: DataFrame, items=items, pays=pays) -> DataFrame:
+            return core.fct_orders_full(intermediate.int_orders_with_payments(
+                staging.stg_orders(batch), items, pays))
+
+        raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
+        jobs.run_foreach_batch(src.orders_from(raw, state), jobs.orders_upsert_sink(spark, out, to_fact),
+                               f"{ckpt}-{state}")
+    return spark.read.parquet(out).drop("order_month")
+
+
+def fct_orders_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: running the incremental order fact twice on the same source
+    changes nothing (no duplicates, same rows)."""
+    once = fct_orders_incremental(spark, sf_dir)
+    source_rows = warehouse(spark, sf_dir).fct_orders
+    return incremental_model(once, source_rows, "order_id", "order_updated_at", ORDER_LOOKBACK)
+
+
+QUERIES.update({"stream_payments_append": stream_payments_append,
+                "stream_orders_upsert": stream_orders_upsert,
+                "fct_orders_incremental_rerun": fct_orders_incremental_rerun})

@@ -50,6 +50,13 @@ def _ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
+def _raw_ts(s: str) -> Column:
+    """A shifted-domain cutoff in the unshifted domain. Shifting by whole
+    years is monotone, so ``shifted < c`` iff ``raw < c - shift`` for the
+    cutoffs used here (none is on 29 February)."""
+    return _ts(f"{int(s[:4]) - YEAR_SHIFT:04d}{s[4:]}")
+
+
 def _add(ts: Column, unit: str, n: Column | int) -> Column:
     return F.timestamp_add(unit, n if isinstance(n, Column) else F.lit(n), ts)
 
@@ -61,6 +68,13 @@ def _pick(values: list[str], idx: Column) -> Column:
     return out
 
 
+def shift_orders(raw_orders: DataFrame) -> DataFrame:
+    """Driver orders with dates moved by ``YEAR_SHIFT``; the unshifted date
+    stays as ``raw_orderdate`` for pushed-down batch filters."""
+    return (raw_orders.withColumn("raw_orderdate", F.col("o_orderdate"))
+            .withColumn("o_orderdate", _add(F.col("o_orderdate"), "YEAR", YEAR_SHIFT)))
+
+
 class LazyTables(dict):
     """Mapping that builds each DataFrame on first access.
 
@@ -117,21 +131,27 @@ class TestdataSource:
 
     def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # the unshifted column is kept so that batch filters can be stated on
+        # it and reach the Parquet reader as pushed filters
         if name == "orders":
-            df = df.withColumn("o_orderdate", _add(F.col("o_orderdate"), "YEAR", YEAR_SHIFT))
+            df = shift_orders(df)
         elif name == "lineitem":
-            df = df.withColumn("l_shipdate", _add(F.col("l_shipdate"), "YEAR", YEAR_SHIFT))
+            df = (df.withColumn("raw_shipdate", F.col("l_shipdate"))
+                  .withColumn("l_shipdate", _add(F.col("l_shipdate"), "YEAR", YEAR_SHIFT)))
         return df
 
     def table(self, name: str, state: str = "current") -> DataFrame:
         assert state in STATES, state
         return _finish(getattr(self, f"_{name}")(state), name)
 
-    def orders_from(self, raw_orders: DataFrame) -> DataFrame:
-        """Shop orders (current state) from a driver ``orders`` frame - batch
-        or streaming; the year shift is applied here."""
-        shifted = raw_orders.withColumn("o_orderdate", _add(F.col("o_orderdate"), "YEAR", YEAR_SHIFT))
-        return _finish(self._orders("current", shifted), "orders")
+    def orders_from(self, raw_orders: DataFrame, state: str = "current") -> DataFrame:
+        """Shop orders of a state from a driver ``orders`` frame - batch or
+        streaming; the year shift is applied here."""
+        return _finish(self._orders(state, shift_orders(raw_orders)), "orders")
+
+    def payments_from(self, raw_orders: DataFrame, state: str = "current") -> DataFrame:
+        """Stripe payments of a state from a driver ``orders`` frame."""
+        return _finish(self._payments(state, shift_orders(raw_orders)), "payments")
 
     def visitor_events(self, raw_events: DataFrame) -> DataFrame:
         """Events keyed by visitor with shop event types - batch or streaming."""
@@ -201,7 +221,7 @@ class TestdataSource:
     def _inventory(self, state):
         li = self.read("lineitem")
         if state == "b1":
-            li = li.where(F.col("l_shipdate") < _ts(ORDER_CUTOFF))
+            li = li.where(F.col("raw_shipdate") < _raw_ts(ORDER_CUTOFF))
         return li.select(
             (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("inventory_id"),
             F.col("l_partkey").alias("product_id"),
@@ -231,9 +251,10 @@ class TestdataSource:
         in_b1 = (d < _ts(ORDER_CUTOFF)) & ~F.col("is_late")
         in_b2 = (d >= _ts(ORDER_CUTOFF)) | F.col("is_late") | F.col("is_update")
         if state == "b1":
-            o = o.where(in_b1).withColumn("is_update", F.lit(False))
+            o = (o.where(F.col("raw_orderdate") < _raw_ts(ORDER_CUTOFF)).where(in_b1)
+                 .withColumn("is_update", F.lit(False)))
         elif state == "b2":
-            o = o.where(in_b2)
+            o = o.where(F.col("raw_orderdate") >= _raw_ts(ORDER_LATE_FROM)).where(in_b2)
         updated = F.col("is_update")
         return o.select(
             "*",
@@ -256,9 +277,9 @@ class TestdataSource:
         li = self.read("lineitem")
         late_item = F.col("l_shipdate") >= _ts(ORDER_CUTOFF)
         if state == "b1":
-            li = li.where(~late_item)
+            li = li.where(F.col("raw_shipdate") < _raw_ts(ORDER_CUTOFF))
         elif state == "b2":
-            li = li.where(late_item)
+            li = li.where(F.col("raw_shipdate") >= _raw_ts(ORDER_CUTOFF))
         return li.select(
             (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("order_item_id"),
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
@@ -287,8 +308,8 @@ class TestdataSource:
                         _ts(LOAD_1).alias("_etl_loaded_at"))
 
     # ---------------------------------------------------------------- stripe
-    def _payments(self, state):
-        o = self._orders_state(state)
+    def _payments(self, state, raw: DataFrame | None = None):
+        o = self._orders_state(state, raw)
         k = F.col("o_orderkey")
         cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
         pay_status = (F.when(F.col("status") == "Completed", "Succeeded")
