@@ -147,3 +147,24 @@ def test_next_in_group_matches_window(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = {r.id: r.n for r in df.select("id", F.lead("ts").over(w).alias("n")).collect()}
     assert got == want
+
+
+def test_schema_sync_adds_and_drops_columns(spark):
+    from emporium.operators.incremental import sync_columns, upsert_frame
+
+    target = spark.createDataFrame([(1, "old", "gone")], "id long, v string, dropped string")
+    batch = spark.createDataFrame([(2, "new", 7)], "id long, v string, added int")
+    out = upsert_frame(target, batch, "id")
+    assert out.columns == ["id", "v", "added"]
+    assert {(r.id, r.v, r.added) for r in out.collect()} == {(1, "old", None), (2, "new", 7)}
+    assert sync_columns(target, batch).columns == ["id", "v", "added"]
+
+
+def test_poisoned_watermark_trap(spark):
+    """T1: one far-future row moves the cutoff; later rows are skipped unless a
+    sanity horizon is given (off by default)."""
+    target = spark.createDataFrame([(1, T(2024, 5, 1)), (2, T(2027, 12, 25))], "id long, ts timestamp_ntz")
+    source = spark.createDataFrame([(3, T(2024, 5, 2))], "id long, ts timestamp_ntz")
+    assert lookback_batch(source, target, "ts", "72 HOURS").count() == 0
+    capped = lookback_batch(source, target, "ts", "72 HOURS", max_ts=F.lit("2025-01-01").cast("timestamp_ntz"))
+    assert [r.id for r in capped.collect()] == [3]
