@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from emporium.functions.macros import cents_to_dollars, instant_wall_clock, wall_clock_instant
 from emporium.operators.incremental import append_absent_table, upsert_table
+from emporium.sources.testdata import DRIVER_SCHEMAS
 
 # Fixed values of the streaming jobs.
 SESSION_GAP = "30 minutes"
@@ -31,17 +32,11 @@ EVENT_WATERMARK = "24 hours"
 ORDER_WATERMARK = "72 hours"
 ORDER_LOOKBACK = "72 HOURS"
 
-DRIVER_EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
-DRIVER_ORDERS_SCHEMA = T.StructType([
-    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
-    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
-    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())])
+DRIVER_EVENTS_SCHEMA = DRIVER_SCHEMAS["events"]   # DDL strings
+DRIVER_ORDERS_SCHEMA = DRIVER_SCHEMAS["orders"]
 
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
+def file_stream(spark: SparkSession, folder: str, schema: T.StructType | str, glob: str | None = None,
                 max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema)
     if glob:
