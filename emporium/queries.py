@@ -18,25 +18,32 @@ from emporium.session import ensure_checkpoint_dir
 from emporium.sources.testdata import TestdataSource
 
 
-_SOURCES: dict[tuple, TestdataSource] = {}
-_WAREHOUSES: dict[tuple, Warehouse] = {}
+_SOURCES: dict[tuple, tuple[SparkSession, TestdataSource]] = {}
+_WAREHOUSES: dict[tuple, tuple[SparkSession, Warehouse]] = {}
+
+
+def _alive(spark: SparkSession, cached: SparkSession) -> bool:
+    return cached is spark and not spark.sparkContext._jsc.sc().isStopped()
 
 
 def source(spark: SparkSession, sf_dir: str) -> TestdataSource:
-    """One adapter per (session, folder): plans are immutable, so sharing
-    them saves re-analysis and lets Spark reuse identical exchanges."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _SOURCES:
+    """One adapter per (live session, folder): plans are immutable, so
+    sharing them saves re-analysis and lets Spark reuse identical exchanges."""
+    key = (id(spark), sf_dir)
+    hit = _SOURCES.get(key)
+    if hit is None or not _alive(spark, hit[0]):
         ensure_checkpoint_dir(spark)
-        _SOURCES[key] = TestdataSource(spark, sf_dir)
-    return _SOURCES[key]
+        hit = _SOURCES[key] = (spark, TestdataSource(spark, sf_dir))
+    return hit[1]
 
 
 def warehouse(spark: SparkSession, sf_dir: str, state: str = "current") -> Warehouse:
-    key = (id(spark._jsparkSession), sf_dir, state)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, source(spark, sf_dir).tables(state))
-    return _WAREHOUSES[key]
+    key = (id(spark), sf_dir, state)
+    hit = _WAREHOUSES.get(key)
+    if hit is None or not _alive(spark, hit[0]) or hit[1].raw is not None and \
+            hit[1].raw is not source(spark, sf_dir).tables_cache(state):
+        hit = _WAREHOUSES[key] = (spark, Warehouse(spark, source(spark, sf_dir).tables_cache(state)))
+    return hit[1]
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:

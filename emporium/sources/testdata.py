@@ -194,6 +194,13 @@ class TestdataSource:
     def tables(self, state: str = "current") -> "LazyTables":
         return LazyTables(RAW_SCHEMAS, lambda t: self.table(t, state))
 
+    def tables_cache(self, state: str = "current") -> "LazyTables":
+        """The same lazy table set for every caller of this source and state."""
+        key = ("__tables__", state)
+        if key not in self._frames:
+            self._frames[key] = self.tables(state)
+        return self._frames[key]
+
     # ---------------------------------------------------------------- app_db
     def _users(self, state):
         c = self.read("customer")
