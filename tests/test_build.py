@@ -23,3 +23,16 @@ def test_full_build_then_incremental(spark, scratch):
     q = fct_orders_incremental(spark, SF_SMALL)
     assert sorted(r.order_id for r in q.select("order_id").collect()) == \
         sorted(r.order_id for r in fo.select("order_id").collect())
+
+
+def test_full_refresh_rebuilds(spark, scratch):
+    from emporium.plans.build import build
+    from emporium.queries import warehouse
+
+    root = f"{scratch}/wh"
+    build(spark, warehouse(spark, SF_SMALL, "b1"), root)
+    build(spark, warehouse(spark, SF_SMALL), root, full_refresh=True)
+    fo = spark.read.parquet(f"{root}/fct_orders")
+    full = warehouse(spark, SF_SMALL).fct_orders
+    assert fo.count() == full.count()
+    assert fo.drop("order_month").exceptAll(full).count() == 0

@@ -168,3 +168,27 @@ def test_poisoned_watermark_trap(spark):
     assert lookback_batch(source, target, "ts", "72 HOURS").count() == 0
     capped = lookback_batch(source, target, "ts", "72 HOURS", max_ts=F.lit("2025-01-01").cast("timestamp_ntz"))
     assert [r.id for r in capped.collect()] == [3]
+
+
+def test_asof_hot_key_is_split_and_exact(spark):
+    """One customer holds a third of the orders and sessions: results equal
+    brute force, and no scan group holds more than one bucket of that key."""
+    from emporium.operators.sequence import time_bucket
+
+    rnd = random.Random(11)
+    base = T(2024, 1, 1)
+    sessions = [(f"S{i:04d}", 1 if i % 3 == 0 else rnd.randint(2, 40),
+                 base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60))) for i in range(900)]
+    orders = [(i, 1 if i % 3 == 0 else rnd.randint(2, 40),
+               base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60))) for i in range(900)]
+    o = spark.createDataFrame(orders, "order_id long, customer_id long, order_date timestamp_ntz")
+    s = spark.createDataFrame(sessions, "session_id string, user_id long, session_start timestamp_ntz")
+    got = {r.order_id: r.attribution_session_id for r in
+           asof_latest(o, s, "customer_id", "order_date", "user_id", "session_start", "session_id",
+                       ["session_id"], prefix="attribution_", bucket="7 days").collect()}
+    assert got == _brute_asof(orders, sessions)
+    hot_rows = (o.where("customer_id = 1").select(F.col("order_date").alias("t"))
+                .unionByName(s.where("user_id = 1").select(F.col("session_start").alias("t"))))
+    per_bucket = hot_rows.groupBy(time_bucket("t", "7 days").alias("b")).count()
+    assert per_bucket.count() >= 8                      # the hot key is spread over many tasks
+    assert per_bucket.agg(F.max("count")).first()[0] < hot_rows.count() / 4
