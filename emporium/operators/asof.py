@@ -13,8 +13,17 @@ a heavy key. Instead both sides are unioned onto one timeline and scanned:
    the best right row of each bucket; a running maximum over earlier buckets
    answers left rows whose own bucket holds no earlier right row.
 
-A key holding a third of the data is split across its buckets; no task sees
-more than one bucket of one key in step 1.
+Buckets come from one of two strategies:
+
+* ``"range"`` (default): the unioned rows are range-partitioned on
+  (key, time, side, tie) and the partition number is the bucket. Range
+  boundaries are drawn from a sample, so every (key, bucket) group holds at
+  most about one partition's share of the rows - a key holding a third of the
+  data spans about a third of the partitions, whatever its time profile. The
+  partition number is frozen with a reliable ``checkpoint()`` so both uses
+  of it see the same buckets.
+* ``"time"``: fixed-width time buckets (no extra shuffle or checkpoint);
+  splits a hot key only as far as its rows spread over time.
 """
 
 from __future__ import annotations
@@ -23,11 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporium.operators.sequence import time_bucket
+from emporium.session import ensure_checkpoint_dir
 
 
 def asof_latest(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
                 right_key: str, right_ts: str, right_tie: str, payload: list[str],
-                prefix: str = "", bucket: str = "7 days") -> DataFrame:
+                prefix: str = "", bucket: str = "7 days", strategy: str = "range",
+                num_buckets: int | None = None) -> DataFrame:
     """Left rows plus ``payload`` columns (renamed ``prefix + name``) of the
     latest right row with right_ts <= left_ts and equal key; nulls if none.
 
@@ -46,7 +57,22 @@ def asof_latest(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
         F.col(left_key).alias("__k"), F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
         F.lit(None).cast(pay_type).alias("__pay"), left_struct.alias("__left"))
     r = r.withColumn("__left", F.lit(None).cast(l.schema["__left"].dataType))
-    u = r.unionByName(l).withColumn("__b", time_bucket("__t", bucket))
+    u = r.unionByName(l)
+    if strategy == "time":
+        u = u.withColumn("__b", time_bucket("__t", bucket))
+    elif strategy == "range":
+        spark = left.sparkSession
+        ensure_checkpoint_dir(spark)
+        n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # tie columns let the range boundaries split rows with equal (key, time)
+        u = (u.withColumn("__tr", F.when(F.col("__side") == 0, F.col("__pay").getField(right_tie).cast("string")))
+             .withColumn("__tl", F.when(F.col("__side") == 1, F.xxhash64("__left")))
+             .repartitionByRange(n, "__k", "__t", "__side", "__tr", "__tl")
+             .withColumn("__b", F.spark_partition_id().cast("long"))
+             .drop("__tr", "__tl")
+             .checkpoint())
+    else:
+        raise ValueError(strategy)
 
     w_in = (Window.partitionBy("__k", "__b").orderBy("__t", "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

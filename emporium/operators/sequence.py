@@ -37,11 +37,29 @@ def _bucket_id(ts: str, width: str) -> Column:
 
 
 def next_in_group(df: DataFrame, keys: list[str], ts: str, tie: str,
-                  bucket: str = "1 hour", out: str = "next_ts") -> DataFrame:
+                  bucket: str = "1 hour", out: str = "next_ts", strategy: str = "range",
+                  num_buckets: int | None = None) -> DataFrame:
     """Add ``out`` = the ``ts`` of the next row of the same ``keys`` ordered by
-    (ts, tie); null for the last row."""
+    (ts, tie); null for the last row.
+
+    ``strategy="range"`` takes buckets from a range partitioning on
+    (keys, ts, tie), frozen by a reliable checkpoint: every (key, bucket)
+    group is at most one partition's share, however the key's rows spread in
+    time. ``strategy="time"`` uses fixed-width time buckets instead.
+    """
     b = "__bucket"
-    d = df.withColumn(b, _bucket_id(ts, bucket))
+    if strategy == "time":
+        d = df.withColumn(b, _bucket_id(ts, bucket))
+    elif strategy == "range":
+        from emporium.session import ensure_checkpoint_dir
+
+        spark = df.sparkSession
+        ensure_checkpoint_dir(spark)
+        n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        d = (df.repartitionByRange(n, *keys, ts, tie)
+             .withColumn(b, F.spark_partition_id().cast("long")).checkpoint())
+    else:
+        raise ValueError(strategy)
     w = Window.partitionBy(*keys, b).orderBy(F.col(ts), F.col(tie))
     inner = d.withColumn(out, F.lead(ts).over(w))
     firsts = d.groupBy(*keys, b).agg(F.min(ts).alias("__first"))

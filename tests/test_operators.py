@@ -143,10 +143,12 @@ def test_next_in_group_matches_window(spark):
     rows = [(i, rnd.choice(["a", "b", "c"]), base + dt.timedelta(seconds=rnd.randint(0, 86400 * 2)))
             for i in range(400)]
     df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
-    got = {r.id: r.next_ts for r in next_in_group(df, ["k"], "ts", "id", bucket="1 hour").collect()}
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = {r.id: r.n for r in df.select("id", F.lead("ts").over(w).alias("n")).collect()}
-    assert got == want
+    for strategy in ("range", "time"):
+        got = {r.id: r.next_ts for r in
+               next_in_group(df, ["k"], "ts", "id", bucket="1 hour", strategy=strategy).collect()}
+        assert got == want, strategy
 
 
 def test_schema_sync_adds_and_drops_columns(spark):
@@ -183,12 +185,30 @@ def test_asof_hot_key_is_split_and_exact(spark):
                base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60))) for i in range(900)]
     o = spark.createDataFrame(orders, "order_id long, customer_id long, order_date timestamp_ntz")
     s = spark.createDataFrame(sessions, "session_id string, user_id long, session_start timestamp_ntz")
-    got = {r.order_id: r.attribution_session_id for r in
-           asof_latest(o, s, "customer_id", "order_date", "user_id", "session_start", "session_id",
-                       ["session_id"], prefix="attribution_", bucket="7 days").collect()}
-    assert got == _brute_asof(orders, sessions)
+    for strategy in ("range", "time"):
+        got = {r.order_id: r.attribution_session_id for r in
+               asof_latest(o, s, "customer_id", "order_date", "user_id", "session_start", "session_id",
+                           ["session_id"], prefix="attribution_", bucket="7 days",
+                           strategy=strategy).collect()}
+        assert got == _brute_asof(orders, sessions), strategy
     hot_rows = (o.where("customer_id = 1").select(F.col("order_date").alias("t"))
                 .unionByName(s.where("user_id = 1").select(F.col("session_start").alias("t"))))
     per_bucket = hot_rows.groupBy(time_bucket("t", "7 days").alias("b")).count()
     assert per_bucket.count() >= 8                      # the hot key is spread over many tasks
     assert per_bucket.agg(F.max("count")).first()[0] < hot_rows.count() / 4
+
+
+def test_asof_range_handles_single_instant_burst(spark):
+    """A hot key whose rows all share a few instants cannot be split by time;
+    the range strategy splits it on (time, side, tie) and stays exact."""
+    base = T(2024, 3, 1)
+    sessions = [(f"S{i:04d}", 1, base + dt.timedelta(seconds=i % 3)) for i in range(600)]
+    sessions += [(f"X{i:03d}", 2, base + dt.timedelta(seconds=i)) for i in range(50)]
+    orders = [(i, 1, base + dt.timedelta(seconds=i % 4)) for i in range(600)]
+    orders += [(1000 + i, 2, base + dt.timedelta(seconds=i, milliseconds=500)) for i in range(50)]
+    o = spark.createDataFrame(orders, "order_id long, customer_id long, order_date timestamp_ntz")
+    s = spark.createDataFrame(sessions, "session_id string, user_id long, session_start timestamp_ntz")
+    got = {r.order_id: r.attribution_session_id for r in
+           asof_latest(o, s, "customer_id", "order_date", "user_id", "session_start", "session_id",
+                       ["session_id"], prefix="attribution_", strategy="range", num_buckets=16).collect()}
+    assert got == _brute_asof(orders, sessions)
