@@ -57,7 +57,10 @@ def rpt_channel_performance(fct_sessions: DataFrame, attribution: DataFrame) ->
         F.count(F.lit(1)).alias("session_count"),
         F.countDistinct("user_id").alias("unique_user_count"),
         F.count(F.when(F.col("converted"), F.lit(1))).alias("converted_session_count"),
-        F.avg("session_duration_seconds").alias("avg_session_duration_seconds"))
+        # mean of the durations from an exact integer sum of microseconds:
+        # a sum of doubles depends on partition order, this does not
+        (F.sum(F.timestamp_diff("MICROSECOND", F.col("session_start"), F.col("session_end"))).cast("double")
+         / F.count("session_duration_seconds") / F.lit(1e6)).alias("avg_session_duration_seconds"))
     cr = attribution.groupBy(F.col("attribution_channel").alias("channel")).agg(
         F.countDistinct("order_id").alias("attributed_order_count"),
         F.sum("order_total_dollars").cast("decimal(18,2)").alias("attributed_revenue_dollars"))
