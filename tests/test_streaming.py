@@ -52,3 +52,26 @@ def test_session_stream_drops_nothing_closed(spark, scratch):
     got = sorted((r.session_start, r.event_count) for r in spark.read.parquet(out).collect())
     # watermark = last event - 24 h: the session at minute 3000 is still open
     assert got == [(T(2024, 1, 1, 0, 0), 2), (T(2024, 1, 1, 0, 50), 2), (T(2024, 1, 1, 3, 20), 1)]
+
+
+def test_session_stream_drops_rows_behind_the_watermark(spark, scratch):
+    """A second micro-batch brings an event older than the 24 h watermark of
+    the first: it is dropped, as the lateness bound says."""
+    from emporium.sources.testdata import TestdataSource
+
+    folder, out, ck = f"{scratch}/ev", f"{scratch}/out", f"{scratch}/ck"
+    day = [(1, T(2024, 1, 1, 10), 5, "view", 1.0, "{}"), (2, T(2024, 1, 3, 10), 5, "purchase", 1.0, "{}")]
+    spark.createDataFrame(day, jobs.DRIVER_EVENTS_SCHEMA).write.parquet(f"{folder}/a")
+    src = TestdataSource(spark, folder)
+
+    def run():
+        raw = spark.readStream.schema(jobs.DRIVER_EVENTS_SCHEMA).parquet(f"{folder}/*")
+        jobs.run_to_parquet(jobs.sessionized_events(src.visitor_events(raw)), out, ck)
+
+    run()
+    late = [(3, T(2024, 1, 1, 10, 5), 5, "purchase", 1.0, "{}"),   # far behind the watermark
+            (4, T(2024, 1, 9, 10), 5, "view", 1.0, "{}")]          # moves the watermark on
+    spark.createDataFrame(late, jobs.DRIVER_EVENTS_SCHEMA).write.parquet(f"{folder}/b")
+    run()
+    got = sorted((r.session_start, r.event_count, r.converted) for r in spark.read.parquet(out).collect())
+    assert got == [(T(2024, 1, 1, 10), 1, False), (T(2024, 1, 3, 10), 1, True)]
