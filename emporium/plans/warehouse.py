@@ -8,15 +8,28 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from emporium.plans import core, finance, intermediate, marketing, staging
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+    """``persist_shared``: models the warehouse materialises as tables and that
+    feed several other models (the order/payment join, the session fact,
+    the unified refunds) are persisted (memory, spilling to disk) the first
+    time they are computed, instead of being recomputed by every consumer.
+    Lost cached blocks are recomputed from lineage."""
+
+    SHARED = ("orders_with_payments", "fct_sessions", "fct_refunds")
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], persist_shared: bool = True):
         self.spark = spark
         self.raw = raw
+        self.persist_shared = persist_shared
+
+    def _shared(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist_shared else df
 
     # staging (views)
     @cached_property
@@ -27,7 +40,7 @@ class Warehouse:
     @cached_property
     def orders_with_payments(self) -> DataFrame:
         s = self.stg
-        return intermediate.int_orders_with_payments(s["orders"], s["order_items"], s["payments"])
+        return self._shared(intermediate.int_orders_with_payments(s["orders"], s["order_items"], s["payments"]))
 
     @cached_property
     def inventory_current(self) -> DataFrame:
@@ -67,7 +80,8 @@ class Warehouse:
     @cached_property
     def fct_refunds(self) -> DataFrame:
         s = self.stg
-        return finance.fct_refunds(s["shopify_refunds"], s["stripe_refunds"], s["charges"], s["payments"])
+        return self._shared(finance.fct_refunds(s["shopify_refunds"], s["stripe_refunds"], s["charges"],
+                                                s["payments"]))
 
     @cached_property
     def daily_revenue(self) -> DataFrame:
@@ -80,7 +94,7 @@ class Warehouse:
     # marketing
     @cached_property
     def fct_sessions(self) -> DataFrame:
-        return marketing.fct_sessions_full(self.sessions_mapped, self.stg["events"])
+        return self._shared(marketing.fct_sessions_full(self.sessions_mapped, self.stg["events"]))
 
     @cached_property
     def fct_attribution(self) -> DataFrame:
