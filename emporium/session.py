@@ -52,13 +52,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we pick a scratch folder of our own.
+    in local mode (tests) do we pick a scratch folder of our own. On a
+    cluster a missing setting is an error: a machine-local folder would not
+    survive a lost executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(checkpoints and written tables must survive lost executors)")
     local = tempfile.mkdtemp(prefix="emporium-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
