@@ -117,8 +117,8 @@ def fct_sessions_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _snapshot(table: str, key: str, cols: list[str]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = source(spark, sf_dir)
-        b1 = src.table(table, "b1").select(*cols)
-        b2 = src.table(table, "b2").select(*cols)
+        b1 = src.tables_cache("b1")[table].select(*cols)
+        b2 = src.tables_cache("b2")[table].select(*cols)
         first = snapshot_frame(None, b1, key, "updated_at", LOAD_1)
         return snapshot_frame(first, b2, key, "updated_at", LOAD_2)
     run.__name__ = f"snapshot_{table}"
@@ -128,7 +128,7 @@ def _snapshot(table: str, key: str, cols: list[str]):
 def raw_orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing upsert of the two order extracts equals the current state."""
     src = source(spark, sf_dir)
-    return land([src.table("orders", "b1"), src.table("orders", "b2")], "order_id")
+    return land([src.tables_cache("b1")["orders"], src.tables_cache("b2")["orders"]], "order_id")
 
 
 QUERIES.update({
@@ -203,7 +203,7 @@ FRESHNESS_NOW = "2024-06-16 12:00:00"
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     from emporium.operators.freshness import source_freshness as fresh
 
-    return fresh(source(spark, sf_dir).tables("current"), FRESHNESS_NOW)
+    return fresh(source(spark, sf_dir).tables_cache("current"), FRESHNESS_NOW)
 
 
 def union_order_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,8 +212,8 @@ def union_order_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from emporium.operators.union import union_relations
 
     src = source(spark, sf_dir)
-    return union_relations({"shopify_initial": src.table("orders", "b1"),
-                            "shopify_incremental": src.table("orders", "b2")})
+    return union_relations({"shopify_initial": src.tables_cache("b1")["orders"],
+                            "shopify_incremental": src.tables_cache("b2")["orders"]})
 
 
 def _metric_query(metrics: list[str], by: list[str], grain: str | None, model: str):
