@@ -31,6 +31,13 @@ class Warehouse:
     def _shared(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist_shared else df
 
+    def release(self) -> None:
+        """Drop the cached blocks of the shared models (a long-running session
+        calls this once it is done with this warehouse)."""
+        for name in self.SHARED:
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+
     # staging (views)
     @cached_property
     def stg(self) -> dict[str, DataFrame]:

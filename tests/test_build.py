@@ -36,3 +36,15 @@ def test_full_refresh_rebuilds(spark, scratch):
     full = warehouse(spark, SF_SMALL).fct_orders
     assert fo.count() == full.count()
     assert fo.drop("order_month").exceptAll(full).count() == 0
+
+
+def test_release_unpersists_shared_models(spark):
+    from emporium.plans.warehouse import Warehouse
+    from emporium.sources.testdata import TestdataSource
+
+    w = Warehouse(spark, TestdataSource(spark, SF_SMALL).tables())
+    df = w.orders_with_payments
+    assert df.storageLevel.useMemory
+    df.count()
+    w.release()
+    assert not df.storageLevel.useMemory
