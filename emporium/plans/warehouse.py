@@ -16,12 +16,12 @@ from emporium.plans import core, finance, intermediate, marketing, staging
 
 class Warehouse:
     """``persist_shared``: models the warehouse materialises as tables and that
-    feed several other models (the order/payment join, the session fact,
-    the unified refunds) are persisted (memory, spilling to disk) the first
+    feed several other models (the order/payment join, current inventory,
+    the session fact, the unified refunds) are persisted (memory, spilling to disk) the first
     time they are computed, instead of being recomputed by every consumer.
     Lost cached blocks are recomputed from lineage."""
 
-    SHARED = ("orders_with_payments", "fct_sessions", "fct_refunds")
+    SHARED = ("orders_with_payments", "inventory_current", "fct_sessions", "fct_refunds")
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], persist_shared: bool = True):
         self.spark = spark
@@ -51,7 +51,8 @@ class Warehouse:
 
     @cached_property
     def inventory_current(self) -> DataFrame:
-        return intermediate.int_product_inventory_current(self.stg["inventory"], self.stg["products"])
+        return self._shared(intermediate.int_product_inventory_current(self.stg["inventory"],
+                                                                       self.stg["products"]))
 
     @cached_property
     def sessions_mapped(self) -> DataFrame:
