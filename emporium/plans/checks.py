@@ -10,6 +10,7 @@ from emporium.operators.quality import Check
 
 # Accepted values declared for the marts.
 TIERS = ("gold", "silver", "bronze")
+CATEGORIES = ("electronics", "accessories", "lifestyle")
 STOCK_STATUSES = ("in_stock", "low_stock", "out_of_stock")
 PAYMENT_STATUSES = ("succeeded", "pending", "failed", "refunded")
 SOURCE_SYSTEMS = ("shopify", "stripe")
@@ -83,25 +84,53 @@ MART_CHECKS: list[Check] = [
 ]
 
 STAGING_CHECKS: list[Check] = [
-    *_pk("stg_users", "user_id"), *_nn("stg_users", "full_name"), _av("stg_users", "tier", TIERS),
-    *_pk("stg_products", "product_id"), *_nneg("stg_products", "price_cents"),
-    *_pk("stg_inventory", "inventory_id"), *_nneg("stg_inventory", "quantity"),
-    *_pk("stg_addresses", "address_id"), *_nn("stg_addresses", "user_id"),
-    *_pk("stg_orders", "order_id"), _av("stg_orders", "status", ORDER_STATUSES),
-    *_nneg("stg_orders", "total_amount_cents"),
-    *_pk("stg_order_items", "order_item_id"), *_nneg("stg_order_items", "quantity", "unit_price_cents"),
+    # app_db
+    *_pk("stg_users", "user_id"), *_nn("stg_users", "full_name", "tier"), _av("stg_users", "tier", TIERS),
+    *_nn("stg_users", "created_at", "updated_at"),
+    *_pk("stg_products", "product_id"), *_nn("stg_products", "product_name", "category"),
+    _av("stg_products", "category", CATEGORIES), *_nn("stg_products", "price_cents"),
+    *_nneg("stg_products", "price_cents"), *_nn("stg_products", "price_dollars", "created_at"),
+    *_pk("stg_inventory", "inventory_id"),
+    *_nn("stg_inventory", "product_id", "warehouse_location", "quantity"), *_nneg("stg_inventory", "quantity"),
+    *_pk("stg_addresses", "address_id"), *_nn("stg_addresses", "user_id", "country", "is_default"),
+    # shopify
+    *_pk("stg_orders", "order_id"), *_nn("stg_orders", "customer_id", "order_date", "status"),
+    _av("stg_orders", "status", ORDER_STATUSES), *_nn("stg_orders", "total_amount_cents"),
+    *_nneg("stg_orders", "total_amount_cents"), *_nn("stg_orders", "total_amount_dollars", "order_updated_at"),
+    *_pk("stg_order_items", "order_item_id"),
+    *_nn("stg_order_items", "order_id", "product_id", "quantity"), *_nneg("stg_order_items", "quantity"),
+    *_nn("stg_order_items", "unit_price_cents"), *_nneg("stg_order_items", "unit_price_cents"),
+    *_nn("stg_order_items", "unit_price_dollars"),
+    # the generic referential test, attached here (upstream defines it without using it)
     Check("stg_order_items", "order_id", "referential_integrity", ("stg_orders", "order_id")),
-    *_pk("stg_shopify_refunds", "refund_id"), *_nneg("stg_shopify_refunds", "refund_amount_cents"),
-    *_pk("stg_payments", "payment_id"), _av("stg_payments", "status", PAYMENT_STATUSES),
+    *_pk("stg_shopify_refunds", "refund_id"), *_nn("stg_shopify_refunds", "order_id", "reason"),
+    *_nn("stg_shopify_refunds", "refund_amount_cents"), *_nneg("stg_shopify_refunds", "refund_amount_cents"),
+    *_nn("stg_shopify_refunds", "refund_amount_dollars", "refunded_at"),
+    # stripe
+    *_pk("stg_payments", "payment_id"), *_nn("stg_payments", "order_id", "amount_cents"),
+    *_nneg("stg_payments", "amount_cents"), *_nn("stg_payments", "amount_dollars", "currency"),
+    Check("stg_payments", "currency", "valid_currency_code"), *_nn("stg_payments", "status"),
+    _av("stg_payments", "status", PAYMENT_STATUSES), *_nn("stg_payments", "payment_method"),
     _av("stg_payments", "payment_method", PAYMENT_METHODS),
-    Check("stg_payments", "currency", "valid_currency_code"),
-    *_pk("stg_charges", "charge_id"), Check("stg_charges", "currency", "valid_currency_code"),
-    *_pk("stg_stripe_refunds", "refund_id"), *_nneg("stg_stripe_refunds", "amount_cents"),
-    *_pk("stg_disputes", "dispute_id"), _av("stg_disputes", "status", DISPUTE_STATUSES),
-    *_pk("stg_sessions", "session_id"), _av("stg_sessions", "device_type", DEVICE_TYPES),
+    *_pk("stg_charges", "charge_id"), *_nn("stg_charges", "payment_id", "amount_cents"),
+    *_nneg("stg_charges", "amount_cents"), *_nn("stg_charges", "amount_dollars", "currency"),
+    Check("stg_charges", "currency", "valid_currency_code"), *_nn("stg_charges", "status"),
+    _av("stg_charges", "status", PAYMENT_STATUSES),
+    *_pk("stg_stripe_refunds", "refund_id"), *_nn("stg_stripe_refunds", "charge_id", "amount_cents"),
+    *_nneg("stg_stripe_refunds", "amount_cents"),
+    *_nn("stg_stripe_refunds", "amount_dollars", "reason", "status"),
+    *_pk("stg_disputes", "dispute_id"), *_nn("stg_disputes", "charge_id", "amount_cents"),
+    *_nneg("stg_disputes", "amount_cents"), *_nn("stg_disputes", "amount_dollars", "reason", "status"),
+    _av("stg_disputes", "status", DISPUTE_STATUSES),
+    # web_analytics
+    *_pk("stg_sessions", "session_id"), *_nn("stg_sessions", "session_start", "session_end", "device_type"),
+    _av("stg_sessions", "device_type", DEVICE_TYPES), *_nn("stg_sessions", "channel"),
     _av("stg_sessions", "channel", CHANNELS),
-    *_pk("stg_events", "event_id"), _av("stg_events", "event_type", EVENT_TYPES),
-    *_pk("stg_page_views", "page_view_id"), *_nneg("stg_page_views", "duration_seconds"),
+    *_pk("stg_events", "event_id"), *_nn("stg_events", "session_id", "event_type"),
+    _av("stg_events", "event_type", EVENT_TYPES), *_nn("stg_events", "event_timestamp"),
+    *_pk("stg_page_views", "page_view_id"),
+    *_nn("stg_page_views", "session_id", "page_url", "view_timestamp", "duration_seconds"),
+    *_nneg("stg_page_views", "duration_seconds"),
 ]
 
 ALL_CHECKS = MART_CHECKS + STAGING_CHECKS
