@@ -17,8 +17,9 @@ def source_freshness(raw: dict[str, DataFrame], now: Column | str,
                      loaded_at: str = "_etl_loaded_at") -> DataFrame:
     """One row per raw table: max loaded time, age in hours, pass/warn/error.
 
-    Each table contributes a one-row global aggregate (Parquet min/max
-    statistics make it cheap); the union is as many rows as tables.
+    Each table contributes a one-row global aggregate that reads only the
+    load-time column (column pruning, partial max per task); the union is as
+    many rows as tables.
     """
     now_c = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now.cast("timestamp_ntz")
     out = None
