@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import audit
@@ -23,14 +23,20 @@ from emporium.plans import core, finance, marketing
 from emporium.plans.checks import MART_CHECKS
 from emporium.plans.warehouse import Warehouse
 
-# (model, partition column, partition expression) of the fact tables.
+# Partition column and its SQL expression per fact table (expressions are
+# built into Columns on use, so importing this module needs no session).
 FACT_LAYOUT = {
-    "fct_orders": ("order_month", F.date_format("order_date", "yyyy-MM")),
-    "fct_payments": ("created_month", F.date_format("created_at", "yyyy-MM")),
-    "fct_sessions": ("session_day", F.date_format("session_start", "yyyy-MM-dd")),
+    "fct_orders": ("order_month", "date_format(order_date, 'yyyy-MM')"),
+    "fct_payments": ("created_month", "date_format(created_at, 'yyyy-MM')"),
+    "fct_sessions": ("session_day", "date_format(session_start, 'yyyy-MM-dd')"),
 }
 
 
+def fact_layout(name: str) -> tuple[str, Column]:
+    col, expr = FACT_LAYOUT[name]
+    return col, F.expr(expr)
+
+
 def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev",
           full_refresh: bool = False) -> dict:
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -44,7 +50,7 @@ def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev"
         results.append({"resource_type": "model", "name": name, "status": "success"})
 
     def incremental(name: str, df: DataFrame, key: str, ts: str, lookback: str) -> None:
-        col, expr = FACT_LAYOUT[name]
+        col, expr = fact_layout(name)
         if full_refresh:
             full_refresh_table(df, f"{root}/{name}", col, expr)
         else:
@@ -54,7 +60,7 @@ def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev"
     write("int_orders_with_payments", w.orders_with_payments)
     owp = table("int_orders_with_payments")
     incremental("fct_orders", core.fct_orders_full(owp), "order_id", "order_updated_at", core.ORDER_LOOKBACK)
-    col, expr = FACT_LAYOUT["fct_payments"]
+    col, expr = fact_layout("fct_payments")
     if full_refresh:
         full_refresh_table(w.fct_payments, f"{root}/fct_payments", col, expr)
     else:
