@@ -36,7 +36,8 @@ def fct_sessions_full(sessions_mapped: DataFrame, stg_events: DataFrame) -> Data
         (F.coalesce("purchase_count", zero) > 0).alias("converted")).select(*FCT_SESSION_COLUMNS)
 
 
-def fct_attribution(fct_orders: DataFrame, fct_sessions: DataFrame, bucket: str = "7 days") -> DataFrame:  # M9
+def fct_attribution(fct_orders: DataFrame, fct_sessions: DataFrame, bucket: str = "7 days",
+                    strategy: str = "range") -> DataFrame:  # M9
     """Last touch: per completed order, the customer's newest converted,
     identified session starting at or before the order (ties: highest
     session_id). Orders without one keep null attribution columns."""
@@ -46,7 +47,7 @@ def fct_attribution(fct_orders: DataFrame, fct_sessions: DataFrame, bucket: str
         "session_id", "user_id", "session_start", "channel", "landing_page")
     out = asof_latest(orders, sessions, "customer_id", "order_date", "user_id", "session_start",
                       "session_id", ["session_id", "channel", "landing_page", "session_start"],
-                      prefix="attribution_", bucket=bucket)
+                      prefix="attribution_", bucket=bucket, strategy=strategy)
     return out.select("order_id", "customer_id", "order_date", "order_total_dollars",
                       "attribution_session_id", "attribution_channel", "attribution_landing_page",
                       "attribution_session_start")

@@ -328,3 +328,16 @@ def fct_orders_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update({"stream_payments_append": stream_payments_append,
                 "stream_orders_upsert": stream_orders_upsert,
                 "fct_orders_incremental_rerun": fct_orders_incremental_rerun})
+
+
+def attribution_asof_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 with fixed 7-day time buckets instead of range buckets: the same
+    union-and-scan as-of, cheaper when timelines are spread out; must equal
+    ``attribution_last_touch``."""
+    from emporium.plans.marketing import fct_attribution
+
+    w = warehouse(spark, sf_dir)
+    return fct_attribution(w.fct_orders, w.fct_sessions, bucket="7 days", strategy="time")
+
+
+QUERIES["attribution_asof_union"] = attribution_asof_union
