@@ -68,15 +68,22 @@ def incremental_model(target: DataFrame | None, source: DataFrame, key: str, ts_
 
 
 # ------------------------------------------------------------------ tables
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _read(spark: SparkSession, path: str, partition_col: str | None = None) -> DataFrame:
+    """Read a written table. Spark infers partition value types on read
+    (``2024-01-05`` becomes a date), so the partition column is cast back to
+    the string form the writer produced; touched-partition lists and
+    rewrites then compare like with like."""
+    df = spark.read.parquet(path)
+    if partition_col and partition_col in df.columns:
+        df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
+    return df
 
 
 def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = None,
                        partition_expr: Column | None = None) -> None:
     """O3/O4: rebuild the table from scratch (atomic per job commit)."""
     if partition_col is not None and partition_col not in df.columns:
-        df = df.withColumn(partition_col, partition_expr)
+        df = df.withColumn(partition_col, partition_expr.cast("string"))
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(partition_col) if partition_col else w).parquet(path)
 
@@ -99,12 +106,12 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, ts
     if not path_exists(spark, path):
         full_refresh_table(source, path, partition_col, partition_expr)
         return {"mode": "full", "touched": None}
-    target = _read(spark, path)
+    target = _read(spark, path, partition_col)
     cutoff = lookback_cutoff(target, ts_col, lookback).first()["__cutoff"]
     if cutoff is None:
         return {"mode": "incremental", "touched": []}
     batch = (source.where(F.col(ts_col) >= F.lit(cutoff))
-             .withColumn(partition_col, partition_expr)).checkpoint()
+             .withColumn(partition_col, partition_expr.cast("string"))).checkpoint()
     if batch.isEmpty():
         return {"mode": "incremental", "touched": []}
     moved_from = (target.select(key, partition_col)
@@ -131,7 +138,8 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     if not path_exists(spark, path):
         full_refresh_table(source, path, partition_col, partition_expr)
         return {"mode": "full"}
-    target = _read(spark, path)
-    new = append_absent_frame(target, source, key).withColumn(partition_col, partition_expr).checkpoint()
+    target = _read(spark, path, partition_col)
+    new = (append_absent_frame(target, source, key)
+           .withColumn(partition_col, partition_expr.cast("string")).checkpoint())
     new.write.mode("append").partitionBy(partition_col).parquet(path)
     return {"mode": "incremental"}

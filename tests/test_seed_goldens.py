@@ -79,3 +79,42 @@ def test_second_batch_landing(wh2):
 
 def test_customer_dimension_unique(wh2):
     assert wh2.dim_customers.groupBy("customer_key").count().where("count > 1").count() == 0
+
+
+def test_two_batch_build_matches_goldens(spark, scratch):
+    """Build on the initial seeds, land batch 2, build incrementally: the
+    survey's after-batch-2 values."""
+    from emporium.operators.snapshot import snapshot_frame
+    from emporium.plans.build import build
+    from emporium.plans.warehouse import Warehouse
+    from emporium.sources.seeds import load_seed_tables
+
+    root = f"{scratch}/wh"
+    w1 = Warehouse(spark, load_seed_tables(spark, SEED_DIR, ("initial",)))
+    build(spark, w1, root)
+    w2 = Warehouse(spark, load_seed_tables(spark, SEED_DIR, ("initial", "incremental")))
+    build(spark, w2, root)
+
+    fo = spark.read.parquet(f"{root}/fct_orders")
+    assert fo.count() == 24
+    done = fo.where("order_status = 'completed'")
+    assert (done.count(), done.agg(F.sum("order_total_dollars")).first()[0]) == (21, Decimal("1439.71"))
+    assert spark.read.parquet(f"{root}/rpt_daily_revenue").count() == 717
+    fs = spark.read.parquet(f"{root}/fct_sessions")
+    assert fs.count() == 30
+    assert fs.where("session_id = 'S025'").first().session_duration_seconds == 3600.0
+    att = {r.attribution_channel: (r.n, r.d) for r in spark.read.parquet(f"{root}/fct_attribution")
+           .groupBy("attribution_channel").agg(F.count("*").alias("n"),
+                                               F.sum("order_total_dollars").alias("d")).collect()}
+    assert att == {"direct": (3, Decimal("154.97")), "email": (2, Decimal("204.96")),
+                   "organic_search": (3, Decimal("144.95")), "paid_search": (5, Decimal("334.95")),
+                   "social": (2, Decimal("264.97")), None: (6, Decimal("334.91"))}
+    prod = {r.product_id: r.stock_status for r in spark.read.parquet(f"{root}/dim_products").collect()}
+    assert prod[110] == "low_stock" and sum(1 for v in prod.values() if v == "in_stock") == 15
+    assert spark.read.parquet(f"{root}/dim_customers").count() == 16
+
+    cols = ["user_id", "email", "name", "tier", "created_at", "updated_at"]
+    h1 = snapshot_frame(None, w1.raw["users"].select(*cols), "user_id", "updated_at", "2024-06-01 06:00:00")
+    h2 = snapshot_frame(h1, w2.raw["users"].select(*cols), "user_id", "updated_at", "2024-06-16 06:00:00")
+    assert h2.count() == 19 and h2.where("valid_to is null").count() == 17
+    assert sorted(r.user_id for r in h2.where("valid_to is not null").collect()) == [3, 9]
