@@ -227,3 +227,13 @@ def test_upsert_table_with_date_like_partitions(spark, scratch):
     upsert_table(spark, path, v2, "id", "ts", "24 HOURS", "day", part)
     got = {(r.id, r.v) for r in spark.read.parquet(path).collect()}
     assert got == {(1, "a"), (2, "b"), (3, "c2"), (4, "d")}
+
+
+def test_snapshot_table_all_keys_deleted(spark, scratch):
+    path = f"{scratch}/snap_all"
+    s1 = spark.createDataFrame([(1, "a", T(2024, 1, 1))], "k long, v string, updated_at timestamp_ntz")
+    empty = spark.createDataFrame([], "k long, v string, updated_at timestamp_ntz")
+    snapshot_table(spark, path, s1, "k", "updated_at", "2024-01-02 00:00:00", "r1")
+    snapshot_table(spark, path, empty, "k", "updated_at", "2024-02-01 00:00:00", "r2")
+    rows = [(r.k, r.valid_to) for r in read_snapshot(spark, path).collect()]
+    assert rows == [(1, T(2024, 2, 1))]

@@ -30,3 +30,12 @@ def test_snapshot_invariants_flag_bad_rows(spark):
                               "k long, valid_from timestamp_ntz, valid_to timestamp_ntz")
     got = {(r.key, r.violation) for r in snapshot_invariants(h, "k").collect()}
     assert got == {("1", "multiple_current"), ("2", "valid_from_not_before_valid_to")}
+
+
+def test_failing_rows(spark):
+    from emporium.operators.quality import failing_rows
+
+    df = spark.createDataFrame([(1, -5), (1, 3), (2, None)], "id long, amt long")
+    assert [r.amt for r in failing_rows(df, Check("t", "amt", "not_negative")).collect()] == [-5]
+    assert [(r.id, r["count"]) for r in failing_rows(df, Check("t", "id", "unique")).collect()] == [(1, 2)]
+    assert failing_rows(df, Check("t", "amt", "not_null")).count() == 1
