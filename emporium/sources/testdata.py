@@ -120,6 +120,9 @@ class LazyTables(dict):
     def __contains__(self, key):
         return key in self._names
 
+    def get(self, key, default=None):
+        return self[key] if key in self._names else default
+
     def items(self):
         return [(k, self[k]) for k in self._names]
 
