@@ -12,10 +12,15 @@ for the oracle. Two load batches are modelled:
 
 app_db tables are full extracts (rows can vanish: hard deletes); shopify,
 stripe and web tables are incremental (late rows and status updates).
+
+The two derived raw tables that need an aggregation (refunds per order,
+sessions per visitor-day) are persisted once built, standing in for the
+landed tables they would be in production.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,7 +345,7 @@ class TestdataSource:
         li = self.read("lineitem").where(F.col("l_returnflag") == "R")
         agg = li.groupBy("l_orderkey").agg(
             F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
-            F.max("l_shipdate").alias("last_ship"))
+            F.max("l_shipdate").alias("last_ship")).persist(StorageLevel.MEMORY_AND_DISK)
         k = F.col("l_orderkey")
         return agg.select(
             k.alias("order_id"),
@@ -435,7 +440,7 @@ class TestdataSource:
         s = e.groupBy("session_id", "visitor_id").agg(
             F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
             F.min_by("page_url", "ts").alias("landing_page"),
-            F.max("_etl_loaded_at").alias("_etl_loaded_at"))
+            F.max("_etl_loaded_at").alias("_etl_loaded_at")).persist(StorageLevel.MEMORY_AND_DISK)
         v = F.col("visitor_id")
         return s.select(
             "session_id",
