@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import best_fit_packing, source_mixing, substring_dedup
 
 QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op5_source_mixing": source_mixing.op5_source_mixing,
+    "op9_best_fit_packing": best_fit_packing.op9_best_fit_packing,
 }
 
 ORACLE_SQL = {
     "op3_substring_dedup": substring_dedup.OP3_SQL,
+    "op5_source_mixing": source_mixing.OP5_SQL,
 }
