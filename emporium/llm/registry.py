@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import best_fit_packing, source_mixing, substring_dedup
+from . import best_fit_packing, quality_trees, source_mixing, substring_dedup, toxicity
 
 QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op5_source_mixing": source_mixing.op5_source_mixing,
+    "op7_quality_trees": quality_trees.op7_quality_trees,
     "op9_best_fit_packing": best_fit_packing.op9_best_fit_packing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
