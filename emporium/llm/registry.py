@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from . import best_fit_packing, quality_trees, source_mixing, substring_dedup, toxicity
+from . import (
+    best_fit_packing,
+    lm_score,
+    quality_trees,
+    source_mixing,
+    substring_dedup,
+    toxicity,
+    warc_zip,
+)
 
 QUERIES = {
+    "op2_lm_score": lm_score.op2_lm_score,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op5_source_mixing": source_mixing.op5_source_mixing,
     "op7_quality_trees": quality_trees.op7_quality_trees,
+    "op8_warc_zip": warc_zip.op8_warc_zip,
     "op9_best_fit_packing": best_fit_packing.op9_best_fit_packing,
     "op10_toxicity": toxicity.op10_toxicity,
 }
@@ -15,4 +25,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op5_source_mixing": source_mixing.OP5_SQL,
+    "op8_warc_zip": warc_zip.OP8_SQL,
 }
