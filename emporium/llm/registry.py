@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     best_fit_packing,
     lm_score,
+    near_dedup,
     quality_trees,
     source_mixing,
     substring_dedup,
@@ -13,6 +14,7 @@ from . import (
 )
 
 QUERIES = {
+    "op1_hyperminhash": near_dedup.op1_hyperminhash,
     "op2_lm_score": lm_score.op2_lm_score,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op5_source_mixing": source_mixing.op5_source_mixing,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_hyperminhash": near_dedup.OP1_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op5_source_mixing": source_mixing.OP5_SQL,
     "op8_warc_zip": warc_zip.OP8_SQL,
