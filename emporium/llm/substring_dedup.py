@@ -132,7 +132,7 @@ def _smallest(table: pa.Table, exact_bits: int) -> pa.Table:
                        for (s, b, _), a, z in zip(got, bounds, bounds[1:])])
 
 
-def _remove(table: pa.Table, replies: pa.Table, window: int, exact_bits: int, schema: pa.Schema) -> pa.Table:
+def _remove(table: pa.Table, replies: pa.Table, window: int, exact_bits: int, as_is: bool, schema: pa.Schema) -> pa.Table:
     """Drop the covered words of a block's documents."""
     if not table.num_rows:
         return schema.empty_table()
@@ -158,6 +158,9 @@ def _remove(table: pa.Table, replies: pa.Table, window: int, exact_bits: int, sc
     buf, off = C.flat(table.column("text"))
     data, kept = buf.tobytes(), []
     for d, n in enumerate(removed):
+        if as_is and not n:
+            kept.append(data[off[d]:off[d + 1]])
+            continue
         tokens = data[off[d]:off[d + 1]].split()
         if n:
             drop = covered[w.first[d]:w.first[d + 1]]
@@ -171,13 +174,14 @@ def _remove(table: pa.Table, replies: pa.Table, window: int, exact_bits: int, sc
 
 
 def remove_repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                    carry: Sequence[str] = (), cells_per_window: int = CELLS_PER_WINDOW,
+                    carry: Sequence[str] = (), as_is: bool = False, cells_per_window: int = CELLS_PER_WINDOW,
                     block_bytes: int = C.BLOCK_BYTES, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
     """Drop every word covered by a ``window``-word run that also starts in a document with a smaller id.
 
     Returns one row per input row: ``id``, ``n_words``, ``n_removed``,
-    ``kept_text`` (kept words joined by one space) and, with ``carry``, a
-    struct ``carried`` of the named input columns.
+    ``kept_text`` (kept words joined by one space; with ``as_is``, a text that
+    loses nothing stays as it is) and, with ``carry``, a struct ``carried`` of
+    the named input columns.
 
     Edge cases: a null text counts as empty and gives "" with zero words; a
     null id is larger than every other, so it loses its copies to any other
@@ -214,7 +218,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
         arrow.append(("carried", to_arrow_type(kind)))
     schema = pa.schema(arrow)
     return placed.cogroup(smallest.groupBy("block")).applyInArrow(
-        lambda a, b: _remove(a, b, window, exact_bits, schema), T.StructType(fields))
+        lambda a, b: _remove(a, b, window, exact_bits, as_is, schema), T.StructType(fields))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
