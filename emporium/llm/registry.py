@@ -6,6 +6,7 @@ from . import (
     best_fit_packing,
     lm_score,
     near_dedup,
+    quality_rules,
     quality_trees,
     source_mixing,
     substring_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_hyperminhash": near_dedup.op1_hyperminhash,
     "op2_lm_score": lm_score.op2_lm_score,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_source_mixing": source_mixing.op5_source_mixing,
     "op7_quality_trees": quality_trees.op7_quality_trees,
     "op8_warc_zip": warc_zip.op8_warc_zip,
@@ -27,6 +29,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_hyperminhash": near_dedup.OP1_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
+    "op4_quality_rules": quality_rules.OP4_SQL,
     "op5_source_mixing": source_mixing.OP5_SQL,
     "op8_warc_zip": warc_zip.OP8_SQL,
 }
