@@ -123,7 +123,7 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK,
     tested = (table.join(tests)  # one row
               .withColumn("p", lower_tail(F.col("lost"), F.col("n_good"), risk / len(RULES)))
               .withColumn("open", F.min((F.col("p") <= F.lit(doubt) / (F.col("strata") * len(RULES))).cast("int")).over(down) == 1))
-    gain = F.col("caught") / F.greatest("n_bad", F.lit(1)) - 2 * F.col("lost") / F.greatest("n_good", F.lit(1))
+    gain = F.col("caught") / F.greatest("n_bad", F.lit(1)) - 10 * F.col("lost") / F.greatest("n_good", F.lit(1))
     best = (tested.where("open").withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule")
             .agg(F.max(F.struct("gain", "step"))["step"].alias("step")))
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("step"))).alias(f"from_{r}") for r in RULES])
@@ -185,7 +185,7 @@ WITH d AS (
     (SELECT count(DISTINCT stratum) FROM c) AS strata FROM c
 ), o AS (
   SELECT *, min(CAST(p <= 0.05 / (strata * 5) AS INTEGER)) OVER (PARTITION BY stratum, rule ORDER BY step DESC) AS open,
-         caught / greatest(n_bad, 1) - 2 * lost / greatest(n_good, 1) AS gain FROM p
+         caught / greatest(n_bad, 1) - 10 * lost / greatest(n_good, 1) AS gain FROM p
 ), b AS (SELECT stratum, rule, arg_max(step, gain * 1000 + step / 100000) AS cutoff FROM o WHERE open = 1 AND gain > 0 GROUP BY stratum, rule
 ), f AS (SELECT DISTINCT doc_id FROM s JOIN b USING (stratum, rule) WHERE step >= cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

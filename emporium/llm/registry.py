@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     best_fit_packing,
+    block_max_wand,
     lm_score,
     near_dedup,
     quality_rules,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_source_mixing": source_mixing.op5_source_mixing,
+    "op6_block_max_wand": block_max_wand.op6_block_max_wand,
     "op7_quality_trees": quality_trees.op7_quality_trees,
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op9_best_fit_packing": best_fit_packing.op9_best_fit_packing,
@@ -31,5 +33,6 @@ ORACLE_SQL = {
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op5_source_mixing": source_mixing.OP5_SQL,
+    "op6_block_max_wand": block_max_wand.OP6_SQL,
     "op8_warc_zip": warc_zip.OP8_SQL,
 }
