@@ -129,7 +129,7 @@ def fit(words: list[bytes], counts: np.ndarray, order: int = ORDER, discount: fl
     return Model(order, keys, np.log(p[1] / p[0]).astype(np.float32), history, np.log(weights[1] / weights[0]).astype(np.float32), share, 1.0, 0.0)
 
 
-def evidence(column, model: Model, slice_bytes: int = 16 << 20) -> np.ndarray:
+def evidence(column, model: Model, slice_bytes: int = 4 << 20) -> np.ndarray:
     """Log likelihood ratio of toxic mixture and ordinary model, per word, of each text; 0 without words."""
     buf, off = C.flat(column)
     out = []
@@ -227,12 +227,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     """
     model = train(docs, labels, per_class, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    d = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"),
+    inside = "text" in carry  # the text then travels once, inside the struct
+    d = docs.select(docs["doc_id"].cast("long").alias("id"), *([] if inside else [docs["text"].cast("string").alias("text")]),
                     *([F.struct(*[docs[c].alias(c) for c in carry]).alias("carried")] if carry else []))
 
     def run(batches):
         for b in batches:
-            columns = [b.column("id"), pa.array(score_texts(b.column("text"), shared.value), pa.float64())]
+            text = b.column("carried").field("text") if inside else b.column("text")
+            columns = [b.column("id"), pa.array(score_texts(text, shared.value), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns + ([b.column("carried")] if carry else []), names=["id", "score"] + ["carried"] * bool(carry))
 
     kinds = "id long, score double" + (f", carried {d.schema['carried'].dataType.simpleString()}" if carry else "")
