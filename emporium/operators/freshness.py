@@ -1,6 +1,7 @@
 """Source freshness (F1): age of the newest ``_etl_loaded_at`` per table
 against warn/error limits per source. ``now`` is a parameter so that the
-check is reproducible; pass ``F.current_timestamp()`` in production."""
+check is reproducible; pass ``F.current_timestamp()`` in production. The
+limits say "after", so a table warns or errors once it is strictly older."""
 
 from __future__ import annotations
 
@@ -30,7 +31,7 @@ def source_freshness(raw: dict[str, DataFrame], now: Column | str,
         part = raw[table].agg(F.max(loaded_at).alias("max_loaded_at")).select(
             F.lit(source).alias("source_name"), F.lit(table).alias("table_name"), "max_loaded_at",
             age.alias("age_hours"),
-            F.when(F.col("max_loaded_at").isNull() | (age >= err), "error")
-             .when(age >= warn, "warn").otherwise("pass").alias("status"))
+            F.when(F.col("max_loaded_at").isNull() | (age > err), "error")
+             .when(age > warn, "warn").otherwise("pass").alias("status"))
         out = part if out is None else out.unionByName(part)
     return out

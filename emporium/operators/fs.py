@@ -22,3 +22,29 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
         fs, p = _fs(spark, path)
         if fs.exists(p):
             fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None if it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: the new content is complete before it takes the name."""
+    fs, p = _fs(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
+    stream = fs.create(fresh, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(fresh, p)

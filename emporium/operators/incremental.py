@@ -12,9 +12,13 @@ Two layers:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from emporium.operators import table_state
 from emporium.operators.fs import delete_paths, path_exists
 
 
@@ -68,78 +72,148 @@ def incremental_model(target: DataFrame | None, source: DataFrame, key: str, ts_
 
 
 # ------------------------------------------------------------------ tables
-def _read(spark: SparkSession, path: str, partition_col: str | None = None) -> DataFrame:
-    """Read a written table. Spark infers partition value types on read
-    (``2024-01-05`` becomes a date), so the partition column is cast back to
-    the string form the writer produced; touched-partition lists and
-    rewrites then compare like with like."""
-    df = spark.read.parquet(path)
-    if partition_col and partition_col in df.columns:
-        df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
-    return df
-
-
 def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = None,
-                       partition_expr: Column | None = None) -> None:
-    """O3/O4: rebuild the table from scratch (atomic per job commit)."""
+                       partition_expr: Column | None = None, key: str | None = None,
+                       ts_col: str | None = None) -> None:
+    """O3/O4: rebuild the table from scratch and describe it in its state file.
+
+    A table of no rows is a table too: its state has the schema, so it can be
+    read, and incremental runs find it empty.
+    """
     if partition_col is not None and partition_col not in df.columns:
         df = df.withColumn(partition_col, partition_expr.cast("string"))
+    spark = df.sparkSession
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(partition_col) if partition_col else w).parquet(path)
-
-
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, ts_col: str,
+    state = table_state.TableState(table_state.schema_of(df), partition_col, key, ts_col)
+    table_state.save(spark, path, state)
+    if partition_col and key:
+        state.partitions = table_state.measure(table_state.read_table(spark, path), partition_col, key, ts_col)
+        table_state.save(spark, path, state)
+
+
+def _opened(spark: SparkSession, path: str, key: str, ts_col: str | None, partition_col: str) -> table_state.TableState:
+    """State of a table to be changed; what is missing in it, or was being changed by a run that died, is measured."""
+    state = table_state.load(spark, path)
+    target = table_state.read_table(spark, path)
+    if state is None:
+        target = target.withColumn(partition_col, F.col(partition_col).cast("string"))
+        state = table_state.TableState(table_state.schema_of(target), partition_col, key, ts_col)
+        state.partitions = table_state.measure(target, partition_col, key, ts_col)
+    elif state.key != key or state.ts_col != ts_col:
+        state.key, state.ts_col = key, ts_col
+        state.partitions = table_state.measure(target, partition_col, key, ts_col)
+    elif state.pending:
+        dirty = state.pending["partitions"]
+        found = table_state.measure(target.where(F.col(partition_col).isin(dirty)), partition_col, key, ts_col)
+        state.partitions = {k: v for k, v in state.partitions.items() if k not in dirty} | found
+    return state
+
+
+def _same_layout(old: T.StructType, new: DataFrame) -> bool:
+    """Whether old files can be read as ``new``: no column gone, none of another type."""
+    types = {f.name: f.dataType for f in new.schema.fields}
+    return all(types.get(f.name) == f.dataType for f in old.fields)
+
+
+def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[str | None], DataFrame], key: str, ts_col: str,
                  lookback: str, partition_col: str, partition_expr: Column) -> dict:
     """Apply one delete+insert run to a partitioned Parquet table.
 
-    Steps: (1) cutoff from a one-row aggregate of the table; it is a single
-    scalar, collected so the source scan gets a literal, pushed-down filter;
-    (2) the batch is checkpointed (reliable, in the shared checkpoint
-    folder) so retries after a lost executor re-read it instead of
-    recomputing it; (3) touched partitions = partitions of the batch plus
-    partitions of existing rows whose key is in the batch (a semi join over
-    key and partition columns only) - a short list, collected; (4) rows of
-    those partitions minus batch keys, plus the batch, are checkpointed and
-    written with dynamic partition overwrite; (5) touched partitions that end
-    up empty are deleted explicitly, because dynamic overwrite leaves them.
+    ``source`` is the model, or a function of the cutoff (text) that builds
+    the model from it, so that the filter can reach the scans below joins.
+
+    1. The cutoff is the newest timestamp in the table's state less the
+       lookback; no scan. An empty table has none and gets no rows.
+    2. The batch is checkpointed (reliable, in the shared folder), so retries
+       after a lost executor re-read it.
+    3. Rows to be replaced can only lie in partitions whose key range meets
+       the batch's; their keys are semi-joined. The touched partitions are a
+       short list.
+    4. The touched partitions, less the batch's keys, plus the batch, are
+       checkpointed and written with dynamic partition overwrite; partitions
+       that end up empty are deleted, because dynamic overwrite leaves them.
+       The state file notes the run before it changes data and is brought up
+       to date after, so a run that died in between is made good by the next.
+
+    Columns follow the batch (O6): new ones are null in older rows, and if
+    one is gone or changes its type every partition is rewritten without it,
+    so that its old values cannot come back later.
     """
+    whole = source if callable(source) else (lambda cutoff: source if cutoff is None else source.where(F.col(ts_col) >= F.lit(cutoff).cast("timestamp_ntz")))
     if not path_exists(spark, path):
-        full_refresh_table(source, path, partition_col, partition_expr)
+        full_refresh_table(whole(None), path, partition_col, partition_expr, key, ts_col)
         return {"mode": "full", "touched": None}
-    target = _read(spark, path, partition_col)
-    cutoff = lookback_cutoff(target, ts_col, lookback).first()["__cutoff"]
-    if cutoff is None:
-        return {"mode": "incremental", "touched": []}
-    batch = (source.where(F.col(ts_col) >= F.lit(cutoff))
-             .withColumn(partition_col, partition_expr.cast("string"))).checkpoint()
+    state = _opened(spark, path, key, ts_col, partition_col)
+    newest = state.newest()
+    if newest is None and not state.pending:
+        return {"mode": "incremental", "touched": [], "cutoff": None}
+    cutoff = None
+    if newest is not None:
+        one = spark.range(1).select((F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")).cast("string")).first()
+        cutoff = one[0]
+    if state.pending and state.pending["cutoff"] is not None:
+        cutoff = min(x for x in (cutoff, state.pending["cutoff"]) if x is not None)
+    batch = whole(cutoff).where(F.col(ts_col) >= F.lit(cutoff).cast("timestamp_ntz"))
+    batch = batch.withColumn(partition_col, partition_expr.cast("string")).checkpoint()
     if batch.isEmpty():
-        return {"mode": "incremental", "touched": []}
-    moved_from = (target.select(key, partition_col)
-                  .join(batch.select(key), key, "left_semi").select(partition_col))
-    touched = [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
+        return {"mode": "incremental", "touched": [], "cutoff": cutoff}
+    target = table_state.read_table(spark, path)
+    keys = batch.agg(F.min(key), F.max(key)).first()
+    if _same_layout(state.struct, batch):
+        near = target.where(F.col(partition_col).isin(state.overlapping(*keys)))
+        moved_from = near.select(key, partition_col).join(batch.select(key), key, "left_semi").select(partition_col)
+        touched = [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
+    else:
+        touched = sorted(set(state.partitions) | {r[0] for r in batch.select(partition_col).distinct().collect()})
     rewritten = (sync_columns(target.where(F.col(partition_col).isin(touched)), batch)
                  .join(batch.select(key), key, "left_anti")
                  .unionByName(batch)).checkpoint()
+    state.pending = {"cutoff": cutoff, "partitions": touched}
+    table_state.save(spark, path, state)
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    present = {r[0] for r in rewritten.select(partition_col).distinct().collect()}
+    present = table_state.measure(rewritten, partition_col, key, ts_col)
     emptied = [p for p in touched if p not in present]
     delete_paths(spark, [f"{path}/{partition_col}={p}" for p in emptied])
-    return {"mode": "incremental", "touched": sorted(map(str, touched)), "emptied": emptied}
+    state.partitions = {k: v for k, v in state.partitions.items() if k not in touched} | present
+    state.schema, state.pending = table_state.schema_of(batch), None
+    table_state.save(spark, path, state)
+    return {"mode": "incremental", "touched": sorted(map(str, touched)), "emptied": emptied, "cutoff": cutoff}
 
 
 def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key: str,
                         partition_col: str, partition_expr: Column) -> dict:
     """O8: append source rows whose key is absent; existing rows never change.
 
-    The new rows are checkpointed before the append so a retried write sees
+    Keys are looked up only in partitions whose key range meets the source's.
+    The new rows are checkpointed before the append, so a retried write sees
     the same rows; a rerun finds them present and appends nothing.
     """
     if not path_exists(spark, path):
-        full_refresh_table(source, path, partition_col, partition_expr)
+        full_refresh_table(source, path, partition_col, partition_expr, key)
         return {"mode": "full"}
-    target = _read(spark, path, partition_col)
-    new = (append_absent_frame(target, source, key)
-           .withColumn(partition_col, partition_expr.cast("string")).checkpoint())
+    state = _opened(spark, path, key, None, partition_col)
+    keys = source.agg(F.min(key), F.max(key)).first()
+    target = table_state.read_table(spark, path)
+    near = target.where(F.col(partition_col).isin(state.overlapping(*keys)))
+    new = (append_absent_frame(near, source, key)
+           .withColumn(partition_col, partition_expr.cast("string")))
+    # columns the table does not have yet stay null in its older rows; columns it has and the source lacks are null in the new
+    added = [f for f in new.schema.fields if f.name not in state.struct.names]
+    columns = [F.col(f.name).cast(f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in state.struct.fields]
+    new = new.select(*columns, *[F.col(f.name) for f in added]).checkpoint()
+    found = table_state.measure(new, partition_col, key, None)
+    if not found:
+        return {"mode": "incremental"}
+    state.pending = {"cutoff": None, "partitions": sorted(found)}
+    if added:
+        state.schema = table_state.schema_of(new)
+    table_state.save(spark, path, state)
     new.write.mode("append").partitionBy(partition_col).parquet(path)
+    for name, (_, a, z) in found.items():
+        old = state.partitions.get(name, [None, a, z])
+        state.partitions[name] = [None, min(a, old[1], key=table_state._order), max(z, old[2], key=table_state._order)]
+    state.pending = None
+    table_state.save(spark, path, state)
     return {"mode": "incremental"}

@@ -97,14 +97,17 @@ def query_metrics(model_df: DataFrame, metrics: list[str], by: list[str] | None
     dimensions) and optionally by the time dimension truncated to ``grain``
     (output column ``metric_time``). All measures are computed in one pass."""
     models = {METRICS[m].model for m in metrics}
-    assert len(models) == 1, "metrics from one semantic model per query"
+    if len(models) != 1:
+        raise ValueError("metrics from one semantic model per query")
     sm = SEMANTIC_MODELS[models.pop()]
     by = list(by or [])
     for d in by:
-        assert d in sm.dimensions, d
+        if d not in sm.dimensions:
+            raise ValueError(f"unknown dimension {d!r}")
     keys = [F.col(d) for d in by]
     if grain:
-        assert grain in GRAINS, grain
+        if grain not in GRAINS:
+            raise ValueError(f"unknown grain {grain!r}")
         keys = [F.date_trunc(grain, F.col(sm.time_dimension)).cast("date").alias("metric_time")] + keys
     needed: set[str] = set()
     for m in metrics:

@@ -141,7 +141,9 @@ def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFra
     tag = uuid.uuid4().hex[:12]
     views = {m: f"__quality_{tag}_{i}" for i, m in enumerate(needed)}
     for m, v in views.items():
-        models[m].createOrReplaceTempView(v)
+        # a projection of its own: dropping a view also drops what is cached for its plan,
+        # and the frames that callers hand in may be cached
+        models[m].select("*", F.lit(tag).alias("__view")).createOrReplaceTempView(v)
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)

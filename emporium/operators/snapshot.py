@@ -22,20 +22,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.functions.macros import surrogate_key
+from emporium.operators import table_state
 from emporium.operators.fs import delete_paths, path_exists
 
 SCD_COLUMNS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 
 
 def dedupe_source(source: DataFrame, key: str, updated_at: str) -> DataFrame:
-    cols = source.columns
-    rest = [c for c in cols if c not in (key, updated_at)]
-    neg = F.timestamp_diff("MICROSECOND", F.col(updated_at),
-                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    order = F.struct(neg.alias("__neg"), *[F.col(c).alias(f"__r{i}") for i, c in enumerate(rest)],
-                     F.struct(*[F.col(c) for c in cols]).alias("__row"))
+    """One row a key: newest ``updated_at``, ties to the smallest other columns. The row is read off the ordering itself."""
+    rest = [c for c in source.columns if c not in (key, updated_at)]
+    neg = F.timestamp_diff("MICROSECOND", F.col(updated_at), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    order = F.struct(neg.alias("__neg"), *[F.col(c).alias(f"__r{i}") for i, c in enumerate(rest)], F.col(updated_at).alias("__at"))
+    named = {key: F.col(key), updated_at: F.col("__b.__at")} | {c: F.col(f"__b.__r{i}") for i, c in enumerate(rest)}
     return (source.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("__b"))
-            .select(*[F.col(f"__b.__row.{c}").alias(c) for c in cols]))
+            .select(*[named[c].alias(c) for c in source.columns]))
 
 
 def _open_rows(src: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -52,6 +52,13 @@ def snapshot_frame(existing: DataFrame | None, source: DataFrame, key: str, upda
     src = dedupe_source(source, key, updated_at)
     if existing is None:
         return _open_rows(src, key, updated_at)
+    # columns of either side: new ones are null in older versions, gone ones in newer
+    have = {f.name: f.dataType for f in src.schema.fields}
+    for f in existing.schema.fields:
+        if f.name not in have and f.name not in SCD_COLUMNS:
+            src = src.withColumn(f.name, F.lit(None).cast(f.dataType))
+    for name, kind in have.items():
+        existing = existing.withColumn(name, F.col(name).cast(kind) if name in existing.columns else F.lit(None).cast(kind))
     run = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
     cols = src.columns
     closed = existing.where(F.col("valid_to").isNotNull())
@@ -72,29 +79,48 @@ def snapshot_frame(existing: DataFrame | None, source: DataFrame, key: str, upda
     return closed.select(*cols, *SCD_COLUMNS).unionByName(kept_or_closed).unionByName(opened)
 
 
+PART = "scd_part"
+
+
 def snapshot_table(spark: SparkSession, path: str, source: DataFrame, key: str, updated_at: str,
                    run_ts: str, run_id: str, invalidate_hard_deletes: bool = True) -> dict:
     """Apply one run to a Parquet history table partitioned by ``scd_part``:
-    ``current`` holds open rows, ``closed-<run_id>`` the rows closed by that
-    run. One job writes both with dynamic partition overwrite, so a rerun
-    of the same run id rewrites the same partitions (idempotent), and closed
-    history is never rewritten.
+    ``current`` holds open rows, ``closed-<run_id>`` the rows that runs of this id closed.
+
+    The closed rows are written first, together with those that an earlier
+    run of the same id closed, then the open rows. A run that dies in between
+    leaves a version both open and closed; readers take it as closed, and the
+    next run drops the doubled version. Closed rows of other runs are never
+    touched.
     """
-    part = "scd_part"
     if not path_exists(spark, path):
-        first = snapshot_frame(None, source, key, updated_at, run_ts, invalidate_hard_deletes)
-        first.withColumn(part, F.lit("current")).write.mode("overwrite").partitionBy(part).parquet(path)
+        first = snapshot_frame(None, source, key, updated_at, run_ts, invalidate_hard_deletes).withColumn(PART, F.lit("current"))
+        first.write.mode("overwrite").partitionBy(PART).parquet(path)
+        table_state.save(spark, path, table_state.TableState(table_state.schema_of(first), PART))
         return {"mode": "first"}
-    table = spark.read.parquet(path)
-    cur = table.where(F.col(part) == "current").drop(part)
-    nxt = snapshot_frame(cur, source, key, updated_at, run_ts, invalidate_hard_deletes)
-    out = nxt.withColumn(part, F.when(F.col("valid_to").isNull(), F.lit("current"))
-                         .otherwise(F.lit(f"closed-{run_id}"))).checkpoint()
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
-    if out.where(F.col(part) == "current").isEmpty():
-        delete_paths(spark, [f"{path}/{part}=current"])
+    own = f"closed-{run_id}"
+    table = table_state.read_table(spark, path)
+    before = _without_doubles(table.where(F.col(PART).isin("current", own))).drop(PART)
+    out = snapshot_frame(before, source, key, updated_at, run_ts, invalidate_hard_deletes)
+    out = out.withColumn(PART, F.when(F.col("valid_to").isNull(), F.lit("current")).otherwise(F.lit(own))).checkpoint()
+    state = table_state.TableState(table_state.schema_of(out), PART)
+    table_state.save(spark, path, state)  # names every old column too, so either version can be read with it
+    for part in (own, "current"):
+        rows = out.where(F.col(PART) == part)
+        if rows.isEmpty():
+            if part == "current":
+                delete_paths(spark, [f"{path}/{PART}=current"])
+            continue
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     return {"mode": "incremental"}
 
 
+def _without_doubles(history: DataFrame) -> DataFrame:
+    """Drop open rows whose version is also there as closed."""
+    closed = history.where(F.col("valid_to").isNotNull()).select("scd_id").distinct()
+    return history.where(F.col("valid_to").isNotNull()).unionByName(
+        history.where(F.col("valid_to").isNull()).join(closed, "scd_id", "left_anti"))
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("scd_part")
+    return _without_doubles(table_state.read_table(spark, path)).drop(PART)

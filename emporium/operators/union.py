@@ -50,6 +50,5 @@ def union_sources(spark: SparkSession, root: str, schema_pattern: str, table: st
                   fmt: str = "parquet") -> DataFrame:
     paths = discover_relations(spark, root, schema_pattern, table)
     if not paths:
-        raise NoRelationsFound(
-            f"No relations found matching schema pattern '{schema_pattern}' and table '{table}'")
+        raise NoRelationsFound(f"nothing to union under {root}: no schema like {schema_pattern!r} holds a table {table!r}")
     return union_relations({s: spark.read.format(fmt).load(p) for s, p in paths.items()})

@@ -1,26 +1,30 @@
-"""A full build: materialise the marts as Parquet tables, run the declared
-checks against the written tables and append one audit row.
+"""A full build: judge freshness, materialise the marts as Parquet tables, take
+the snapshots, run all declared checks and append one audit row.
 
 Views (staging) and ephemeral models (intermediate) stay lazy DataFrames and
 are inlined into the tables that use them (O1, O2); marts are written with a
-full refresh (O3, O4) or incrementally (O7, O8). Models are written in
-dependency order, and every later model reads the written Parquet of the
-earlier ones, which also cuts lineage: a lost executor recomputes from the
-written table, not from the raw sources.
+full refresh (O3, O4) or incrementally (O7, O8). Later models read the
+written Parquet of the earlier ones, which also cuts lineage. The order fact
+is built from the cutoff on: only recent orders, their items and payments
+are read and joined.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import audit
 from emporium.operators.incremental import append_absent_table, full_refresh_table, upsert_table
+from emporium.operators.freshness import source_freshness
 from emporium.operators.quality import quality_report
+from emporium.operators.snapshot import snapshot_table
+from emporium.operators.table_state import read_table
 from emporium.plans import core, finance, marketing
-from emporium.plans.checks import MART_CHECKS
+from emporium.plans.checks import ALL_CHECKS, assert_no_orphaned_order_items, assert_revenue_reconciles
 from emporium.plans.warehouse import Warehouse
 
 # Partition column and its SQL expression per fact table (expressions are
@@ -38,56 +42,96 @@ def fact_layout(name: str) -> tuple[str, Column]:
 
 
 def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev",
-          full_refresh: bool = False) -> dict:
+          full_refresh: bool = False, now: str | None = None, run_id: str | None = None) -> dict:
+    """One run: freshness, models, snapshots, all checks, and always an audit row.
+
+    ``now`` is the time freshness is judged at and hard deletes are closed at
+    (default: the clock). A stale source is reported and does not stop the
+    run. If a step raises, its result is ``error``, what depends on it is not
+    tried, and the audit row is written before the error goes on.
+    """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now, run_id = now or started.strftime("%Y-%m-%d %H:%M:%S"), run_id or uuid.uuid4().hex
     results: list[dict] = []
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}")
-
-    def write(name: str, df: DataFrame) -> None:
-        full_refresh_table(df, f"{root}/{name}")
-        results.append({"resource_type": "model", "name": name, "status": "success"})
-
-    def incremental(name: str, df: DataFrame, key: str, ts: str, lookback: str) -> None:
-        col, expr = fact_layout(name)
-        if full_refresh:
-            full_refresh_table(df, f"{root}/{name}", col, expr)
-        else:
-            upsert_table(spark, f"{root}/{name}", df, key, ts, lookback, col, expr)
-        results.append({"resource_type": "model", "name": name, "status": "success"})
-
-    write("int_orders_with_payments", w.orders_with_payments)
-    owp = table("int_orders_with_payments")
-    incremental("fct_orders", core.fct_orders_full(owp), "order_id", "order_updated_at", core.ORDER_LOOKBACK)
-    col, expr = fact_layout("fct_payments")
-    if full_refresh:
-        full_refresh_table(w.fct_payments, f"{root}/fct_payments", col, expr)
-    else:
-        append_absent_table(spark, f"{root}/fct_payments", w.fct_payments, "payment_id", col, expr)
-    results.append({"resource_type": "model", "name": "fct_payments", "status": "success"})
-    write("dim_customers", w.dim_customers)
-    write("dim_products", w.dim_products)
-    write("dim_dates", w.dim_dates)
-    write("metricflow_time_spine", core.metricflow_time_spine(table("dim_dates")))
-    write("fct_refunds", w.fct_refunds)
-    fo = table("fct_orders").drop("order_month")
-    write("rpt_daily_revenue", finance.rpt_daily_revenue(fo, table("fct_refunds"), table("dim_dates")))
-    incremental("fct_sessions", w.fct_sessions, "session_id", "session_start", marketing.SESSION_LOOKBACK)
-    fs = table("fct_sessions").drop("session_day")
-    write("fct_attribution", marketing.fct_attribution(fo, fs))
-    write("rpt_channel_performance", marketing.rpt_channel_performance(fs, table("fct_attribution")))
-
-    built = {n: table(n) for n in ("dim_customers", "dim_products", "dim_dates", "fct_refunds",
-                                   "rpt_daily_revenue", "fct_attribution", "rpt_channel_performance")}
-    built["fct_orders"] = fo
-    built["fct_sessions"] = fs
-    built["fct_payments"] = table("fct_payments").drop("created_month")
-    checks = [c for c in MART_CHECKS if c.model in built]
-    report = quality_report(built, checks).checkpoint()
-    for r in report.collect():  # one row per check: bounded by the check list, not the data
-        results.append({"resource_type": "test", "name": f"{r.model}.{r.column_name}.{r.test}",
-                        "status": r.status})
-    audit.log_run(spark, f"{root}/run_audit", audit.audit_row(spark, started, target_name, results))
+    try:
+        for r in source_freshness(w.raw, now).collect():  # a row a raw table
+            results.append({"resource_type": "freshness", "name": r.table_name,
+                            "status": {"error": "warn"}.get(r.status, r.status)})
+        checked = _models(spark, w, root, full_refresh, results)
+        for name, table, key, columns in SNAPSHOTS:
+            _step(results, "snapshot", name, lambda t=table, k=key, c=columns, n=name: snapshot_table(
+                spark, f"{root}/{n}", w.raw[t].select(*c), k, "updated_at", now, run_id))
+        _checks(w, checked, results)
+    finally:
+        audit.log_run(spark, f"{root}/run_audit", audit.audit_row(spark, started, target_name, results))
     return {"models": sum(r["resource_type"] == "model" for r in results),
-            "tests": len(checks), "failed": [r["name"] for r in results if r["status"] == "fail"]}
+            "tests": sum(r["resource_type"] == "test" for r in results),
+            "stale": [r["name"] for r in results if r["resource_type"] == "freshness" and r["status"] == "warn"],
+            "failed": [r["name"] for r in results if r["status"] == "fail"]}
+
+
+#: Snapshot, raw table, key and tracked columns.
+SNAPSHOTS = (
+    ("snap_customers", "users", "user_id", ("user_id", "email", "name", "tier", "created_at", "updated_at")),
+    ("snap_products", "products", "product_id", ("product_id", "name", "category", "price_cents", "created_at", "updated_at")),
+)
+
+
+def _step(results: list[dict], kind: str, name: str, run) -> None:
+    try:
+        run()
+    except Exception:
+        results.append({"resource_type": kind, "name": name, "status": "error"})
+        raise
+    results.append({"resource_type": kind, "name": name, "status": "success"})
+
+
+def _models(spark: SparkSession, w: Warehouse, root: str, full_refresh: bool, results: list[dict]) -> dict[str, DataFrame]:
+    """Write the models in dependency order; returns them, read back, by name."""
+    built: dict[str, DataFrame] = {}
+
+    def write(name: str, make) -> None:
+        _step(results, "model", name, lambda: full_refresh_table(make(), f"{root}/{name}"))
+        built[name] = read_table(spark, f"{root}/{name}")
+
+    def incremental(name: str, make, key: str, ts: str | None = None, lookback: str | None = None) -> None:
+        """``make`` builds the model from a cutoff (None: all of it)."""
+        path, (col, expr) = f"{root}/{name}", fact_layout(name)
+
+        def run():
+            if full_refresh:
+                full_refresh_table(make(None), path, col, expr, key, ts)
+            elif ts is None:
+                append_absent_table(spark, path, make(None), key, col, expr)
+            else:
+                upsert_table(spark, path, make, key, ts, lookback, col, expr)
+        _step(results, "model", name, run)
+        built[name] = read_table(spark, path).drop(col)
+
+    incremental("fct_orders", lambda cutoff: core.fct_orders_since(w.stg, cutoff), "order_id", "order_updated_at", core.ORDER_LOOKBACK)
+    incremental("fct_payments", lambda cutoff: w.fct_payments, "payment_id")
+    write("dim_customers", lambda: w.dim_customers)
+    write("dim_products", lambda: w.dim_products)
+    write("dim_dates", lambda: w.dim_dates)
+    write("metricflow_time_spine", lambda: core.metricflow_time_spine(built["dim_dates"]))
+    write("fct_refunds", lambda: w.fct_refunds)
+    write("rpt_daily_revenue", lambda: finance.rpt_daily_revenue(built["fct_orders"], built["fct_refunds"], built["dim_dates"]))
+    sessions = lambda cutoff: w.fct_sessions if cutoff is None else w.fct_sessions.where(
+        F.col("session_start") >= F.lit(cutoff).cast("timestamp_ntz"))
+    incremental("fct_sessions", sessions, "session_id", "session_start", marketing.SESSION_LOOKBACK)
+    write("fct_attribution", lambda: marketing.fct_attribution(built["fct_orders"], built["fct_sessions"]))
+    write("rpt_channel_performance", lambda: marketing.rpt_channel_performance(built["fct_sessions"], built["fct_attribution"]))
+    return built
+
+
+def _checks(w: Warehouse, built: dict[str, DataFrame], results: list[dict]) -> None:
+    """Every declared check and both singular ones: written tables as written, staging and intermediate models as planned."""
+    frames = {f"stg_{t}": w.stg[t] for t in w.raw} | {
+        "int_orders_with_payments": w.orders_with_payments, "int_sessions_mapped_to_users": w.sessions_mapped,
+        "int_product_inventory_current": w.inventory_current} | built
+    for r in quality_report(frames, ALL_CHECKS).collect():  # one row per check: bounded by the check list, not the data
+        results.append({"resource_type": "test", "name": f"{r.model}.{r.column_name}.{r.test}", "status": r.status})
+    singular = {"no_orphaned_order_items": assert_no_orphaned_order_items(w.stg["order_items"], w.stg["orders"]),
+                "revenue_reconciles": assert_revenue_reconciles(built["fct_orders"], built["fct_payments"])}
+    for name, failing in singular.items():
+        results.append({"resource_type": "test", "name": name, "status": "pass" if failing.isEmpty() else "fail"})

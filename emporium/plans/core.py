@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.functions.macros import date_spine, surrogate_key
+from emporium.functions.macros import date_spine, date_spine_between, surrogate_key
 from emporium.operators.latest import latest_per_key
+from emporium.plans.intermediate import int_orders_with_payments
 
 # The calendar range of the date dimension.
 DATE_SPINE_START = "2023-01-01"
@@ -73,10 +74,21 @@ def dim_products(stg_products: DataFrame, inventory_current: DataFrame) -> DataF
                                                 "low_stock").otherwise("in_stock").alias("stock_status"))
 
 
-def dim_dates(spark: SparkSession, start: str = DATE_SPINE_START, end: str = DATE_SPINE_END) -> DataFrame:  # M3
+def dim_dates(spark: SparkSession, start: str = DATE_SPINE_START, end: str = DATE_SPINE_END,
+              covering: DataFrame | None = None) -> DataFrame:  # M3
+    """The calendar from ``start`` to ``end``, widened to the days in the
+    first column of ``covering`` if that is given (one row of bounds, never
+    collected)."""
+    if covering is None:
+        spine = date_spine(spark, start, end)
+    else:
+        day = F.col(covering.columns[0]).cast("date")
+        bounds = covering.agg(F.least(F.min(day), F.lit(start).cast("date")).alias("lo"),
+                              F.greatest(F.max(day), F.lit(end).cast("date")).alias("hi"))
+        spine = date_spine_between(bounds, "lo", "hi")
     d = F.col("date_day")
     dow = F.dayofweek(d) - 1  # Sunday = 0
-    return date_spine(spark, start, end).select(
+    return spine.select(
         "date_day", F.year(d).alias("year"), F.month(d).alias("month"),
         F.dayofmonth(d).alias("day_of_month"), dow.alias("day_of_week"),
         F.quarter(d).alias("quarter"), F.weekofyear(d).alias("week_of_year"),
@@ -91,5 +103,19 @@ def fct_orders_full(orders_with_payments: DataFrame) -> DataFrame:  # M4, full r
     return orders_with_payments.select(*FCT_ORDER_COLUMNS)
 
 
+def fct_orders_since(stg: dict[str, DataFrame], cutoff: str | None) -> DataFrame:
+    """The order fact of orders updated at or after ``cutoff`` (text; None: all).
+
+    The filter is a literal on the staged orders, so it reaches their scan,
+    and only items and payments of those orders are aggregated and joined.
+    """
+    orders, items, payments = stg["orders"], stg["order_items"], stg["payments"]
+    if cutoff is not None:
+        orders = orders.where(F.col("order_updated_at") >= F.lit(cutoff).cast("timestamp_ntz"))
+        ids = orders.select("order_id")
+        items, payments = items.join(ids, "order_id", "left_semi"), payments.join(ids, "order_id", "left_semi")
+    return fct_orders_full(int_orders_with_payments(orders, items, payments))
+
+
 def fct_payments_full(stg_payments: DataFrame) -> DataFrame:  # M5, full rebuild
     return stg_payments.select(*FCT_PAYMENT_COLUMNS)

@@ -32,8 +32,9 @@ def rpt_daily_revenue(fct_orders: DataFrame, refunds: DataFrame, dates: DataFram
     between the first and last completed order day.
 
     The order-day and refund-day aggregates have at most one row per calendar
-    day, and the spine is the fixed 3-year calendar, so the joins below run on
-    day-grain data whose size is bounded by the calendar, not by the facts.
+    day, so the joins below run on day-grain data. ``dates`` should cover all
+    order days (the warehouse's default does); with a fixed calendar, see
+    ``orders_outside`` for what the report leaves out.
     The bounds come from a one-row aggregate joined in - never collected.
     """
     orders = fct_orders.where(F.col("order_status") == "completed")
@@ -66,6 +67,15 @@ def rpt_daily_revenue(fct_orders: DataFrame, refunds: DataFrame, dates: DataFram
                     (gross - refund).cast("decimal(18,2)").alias("net_revenue_dollars")))
 
 
+def orders_outside(fct_orders: DataFrame, start: str, end: str) -> DataFrame:
+    """Completed orders whose day a fixed calendar leaves out of the daily report, before and after it."""
+    day = F.col("order_date").cast("date")
+    side = F.when(day < F.lit(start).cast("date"), "before").when(day > F.lit(end).cast("date"), "after")
+    return (fct_orders.where(F.col("order_status") == "completed").select(side.alias("side"), "order_total_dollars")
+            .where(F.col("side").isNotNull()).groupBy("side")
+            .agg(F.count(F.lit(1)).alias("order_count"), F.sum("order_total_dollars").cast("decimal(18,2)").alias("gross_revenue_dollars")))
+
+
 def refund_audit(refunds: DataFrame) -> DataFrame:  # X1
     """Shopify vs Stripe refunds per order: full outer join of the two halves'
     per-order totals; a row is reported when they disagree or one is missing."""

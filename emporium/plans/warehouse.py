@@ -8,35 +8,24 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from emporium.plans import core, finance, intermediate, marketing, staging
 
 
 class Warehouse:
-    """``persist_shared``: models the warehouse materialises as tables and that
-    feed several other models (the order/payment join, current inventory,
-    the session fact, the unified refunds) are persisted (memory, spilling to disk) the first
-    time they are computed, instead of being recomputed by every consumer.
-    Lost cached blocks are recomputed from lineage."""
+    """Every model is a plan over the raw tables; nothing is kept in memory,
+    so each query reads only the columns and rows it needs. ``build`` reads
+    models that others use back from their written tables.
 
-    SHARED = ("orders_with_payments", "inventory_current", "fct_sessions", "fct_refunds")
+    ``calendar``: first and last day of the date dimension. Without it the
+    declared calendar is widened to the days of all orders, so that no
+    order day falls outside the reports."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], persist_shared: bool = True):
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], calendar: tuple[str, str] | None = None):
         self.spark = spark
         self.raw = raw
-        self.persist_shared = persist_shared
-
-    def _shared(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist_shared else df
-
-    def release(self) -> None:
-        """Drop the cached blocks of the shared models (a long-running session
-        calls this once it is done with this warehouse)."""
-        for name in self.SHARED:
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
+        self.calendar = calendar
 
     # staging (views)
     @cached_property
@@ -47,12 +36,11 @@ class Warehouse:
     @cached_property
     def orders_with_payments(self) -> DataFrame:
         s = self.stg
-        return self._shared(intermediate.int_orders_with_payments(s["orders"], s["order_items"], s["payments"]))
+        return intermediate.int_orders_with_payments(s["orders"], s["order_items"], s["payments"])
 
     @cached_property
     def inventory_current(self) -> DataFrame:
-        return self._shared(intermediate.int_product_inventory_current(self.stg["inventory"],
-                                                                       self.stg["products"]))
+        return intermediate.int_product_inventory_current(self.stg["inventory"], self.stg["products"])
 
     @cached_property
     def sessions_mapped(self) -> DataFrame:
@@ -70,7 +58,9 @@ class Warehouse:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return core.dim_dates(self.spark)
+        if self.calendar is not None:
+            return core.dim_dates(self.spark, *self.calendar)
+        return core.dim_dates(self.spark, covering=self.stg["orders"].select("order_date"))
 
     @cached_property
     def time_spine(self) -> DataFrame:
@@ -88,8 +78,7 @@ class Warehouse:
     @cached_property
     def fct_refunds(self) -> DataFrame:
         s = self.stg
-        return self._shared(finance.fct_refunds(s["shopify_refunds"], s["stripe_refunds"], s["charges"],
-                                                s["payments"]))
+        return finance.fct_refunds(s["shopify_refunds"], s["stripe_refunds"], s["charges"], s["payments"])
 
     @cached_property
     def daily_revenue(self) -> DataFrame:
@@ -99,10 +88,14 @@ class Warehouse:
     def refund_audit(self) -> DataFrame:
         return finance.refund_audit(self.fct_refunds)
 
+    @cached_property
+    def outside_calendar(self) -> DataFrame:
+        return finance.orders_outside(self.fct_orders, core.DATE_SPINE_START, core.DATE_SPINE_END)
+
     # marketing
     @cached_property
     def fct_sessions(self) -> DataFrame:
-        return self._shared(marketing.fct_sessions_full(self.sessions_mapped, self.stg["events"]))
+        return marketing.fct_sessions_full(self.sessions_mapped, self.stg["events"])
 
     @cached_property
     def fct_attribution(self) -> DataFrame:

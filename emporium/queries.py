@@ -1,15 +1,21 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame
-over the raw shop tables the adapter derives from the driver's tables."""
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over
+the raw shop tables the adapter derives from the driver's tables.
+
+Most are lazy plans. Those that go through table writers, streams, bucketed
+scans or an incremental cutoff run jobs when they are called."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emporium.operators.incremental import append_absent_frame, incremental_model
+from emporium.operators.incremental import append_absent_frame, incremental_model, lookback_cutoff, upsert_frame
 from emporium.operators.snapshot import snapshot_frame
-from emporium.plans.core import ORDER_LOOKBACK
+from emporium.operators.table_state import read_table
+from emporium.plans import core
+from emporium.plans.core import ORDER_LOOKBACK, fct_orders_since
 from emporium.plans.marketing import SESSION_LOOKBACK
 from emporium.plans.warehouse import Warehouse
 from emporium.sources.seeds import land
@@ -18,32 +24,14 @@ from emporium.session import ensure_checkpoint_dir
 from emporium.sources.testdata import TestdataSource
 
 
-_SOURCES: dict[tuple, tuple[SparkSession, TestdataSource]] = {}
-_WAREHOUSES: dict[tuple, tuple[SparkSession, Warehouse]] = {}
-
-
-def _alive(spark: SparkSession, cached: SparkSession) -> bool:
-    return cached is spark and not spark.sparkContext._jsc.sc().isStopped()
-
-
 def source(spark: SparkSession, sf_dir: str) -> TestdataSource:
-    """One adapter per (live session, folder): plans are immutable, so
-    sharing them saves re-analysis and lets Spark reuse identical exchanges."""
-    key = (id(spark), sf_dir)
-    hit = _SOURCES.get(key)
-    if hit is None or not _alive(spark, hit[0]):
-        ensure_checkpoint_dir(spark)
-        hit = _SOURCES[key] = (spark, TestdataSource(spark, sf_dir))
-    return hit[1]
+    ensure_checkpoint_dir(spark)
+    return TestdataSource(spark, sf_dir)
 
 
-def warehouse(spark: SparkSession, sf_dir: str, state: str = "current") -> Warehouse:
-    key = (id(spark), sf_dir, state)
-    hit = _WAREHOUSES.get(key)
-    if hit is None or not _alive(spark, hit[0]) or hit[1].raw is not None and \
-            hit[1].raw is not source(spark, sf_dir).tables_cache(state):
-        hit = _WAREHOUSES[key] = (spark, Warehouse(spark, source(spark, sf_dir).tables_cache(state)))
-    return hit[1]
+def warehouse(spark: SparkSession, sf_dir: str, state: str = "current", calendar: tuple[str, str] | None = None) -> Warehouse:
+    """Models over one state of the folder, planned anew on each call: files that changed are seen."""
+    return Warehouse(spark, source(spark, sf_dir).tables_cache(state), calendar)
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -62,6 +50,12 @@ def _staging(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 daily_revenue = _model("daily_revenue")
 
+
+def daily_revenue_fixed_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 on the declared three-year calendar only; ``orders_outside_calendar`` has what it leaves out."""
+    return warehouse(spark, sf_dir, calendar=(core.DATE_SPINE_START, core.DATE_SPINE_END)).daily_revenue
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # S1-S14
@@ -83,6 +77,8 @@ QUERIES.update({
     "fct_payments": _model("fct_payments"),
     "fct_refunds": _model("fct_refunds"),
     "daily_revenue": daily_revenue,
+    "daily_revenue_fixed_calendar": daily_revenue_fixed_calendar,
+    "orders_outside_calendar": _model("outside_calendar"),
     "refund_audit": _model("refund_audit"),
     "fct_sessions": _model("fct_sessions"),
     "attribution_last_touch": _model("fct_attribution"),
@@ -92,12 +88,24 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- O6-O9
+def _orders_batch(spark: SparkSession, sf_dir: str, target: DataFrame) -> DataFrame:
+    """Order-fact rows within the lookback of the newest order of ``target``.
+
+    The cutoff is resolved first (one scalar) and becomes a literal filter on
+    the orders scan; the batch is checkpointed, as it is both inserted and
+    matched against the target.
+    """
+    cutoff = lookback_cutoff(target, "order_updated_at", ORDER_LOOKBACK).select(F.col("__cutoff").cast("string")).first()[0]
+    if cutoff is None:
+        return target.limit(0)
+    return fct_orders_since(warehouse(spark, sf_dir).stg, cutoff).checkpoint()
+
+
 def fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 after two runs: full build on batch 1, then delete+insert of the
     current state with the 72 h lookback on order_updated_at."""
-    target = warehouse(spark, sf_dir, "b1").fct_orders
-    source = warehouse(spark, sf_dir).fct_orders
-    return incremental_model(target, source, "order_id", "order_updated_at", ORDER_LOOKBACK)
+    first = warehouse(spark, sf_dir, "b1")
+    return upsert_frame(first.fct_orders, _orders_batch(spark, sf_dir, first.stg["orders"]), "order_id")
 
 
 def fct_payments_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +139,22 @@ def raw_orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land([src.tables_cache("b1")["orders"], src.tables_cache("b2")["orders"]], "order_id")
 
 
+def seed_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5: both order extracts written as header CSV, read back with the declared schema and landed."""
+    from emporium.sources.seeds import read_seed
+    import uuid
+
+    from emporium.session import shared_dir
+
+    root, src = shared_dir(spark, f"seeds-{uuid.uuid4().hex[:10]}"), source(spark, sf_dir)
+    for batch, state in (("initial", "b1"), ("incremental", "b2")):
+        (src.tables_cache(state)["orders"].write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+         .csv(f"{root}/shopify/orders_{batch}.csv"))
+    return land([read_seed(spark, root, "orders", b) for b in ("initial", "incremental")], "order_id")
+
+
 QUERIES.update({
+    "seed_orders_csv": seed_orders_csv,
     "fct_orders_incremental": fct_orders_incremental,
     "fct_payments_incremental": fct_payments_incremental,
     "fct_sessions_incremental": fct_sessions_incremental,
@@ -184,9 +207,14 @@ def assert_revenue_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10 on the customer history with planted defects: some open rows doubled, some closed ones turned around."""
     from emporium.operators.quality import snapshot_invariants as inv
 
-    return inv(QUERIES["snapshot_customers"](spark, sf_dir), "user_id")
+    history = QUERIES["snapshot_customers"](spark, sf_dir).select("user_id", "valid_from", "valid_to")
+    doubled = history.where(F.col("valid_to").isNull() & (F.col("user_id") % 37 == 5))
+    turned = history.where(F.col("valid_to").isNotNull() & (F.col("user_id") % 41 == 3)).select(
+        "user_id", F.col("valid_to").alias("valid_from"), F.col("valid_from").alias("valid_to"))
+    return inv(history.unionByName(doubled).unionByName(turned), "user_id")
 
 
 def spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,14 +224,50 @@ def spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps(warehouse(spark, sf_dir).daily_revenue, "revenue_date")
 
 
-# Fixed evaluation time for the freshness query (reproducible ages).
-FRESHNESS_NOW = "2024-06-16 12:00:00"
+# Fixed evaluation times of the freshness queries (reproducible ages): one lies
+# exactly on the limits, one off them.
+FRESHNESS_NOW, FRESHNESS_LATER = "2024-06-16 12:00:00", "2024-06-16 15:20:00"
 
 
-def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from emporium.operators.freshness import source_freshness as fresh
+def _freshness(now: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from emporium.operators.freshness import source_freshness as fresh
 
-    return fresh(source(spark, sf_dir).tables_cache("current"), FRESHNESS_NOW)
+        return fresh(source(spark, sf_dir).tables_cache("current"), now)
+    return run
+
+
+source_freshness = _freshness(FRESHNESS_NOW)
+
+
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 fed with real results: the models checked, every check's outcome, and what follows for the run's status.
+
+    Ids and times differ from run to run, so the query shows the other columns.
+    """
+    from emporium.operators import audit
+    from emporium.operators.quality import quality_report as report
+    from emporium.plans.checks import ALL_CHECKS
+    import datetime as dt
+
+    frames = model_frames(warehouse(spark, sf_dir))
+    results = [{"resource_type": "model", "status": "success"} for n in frames if not n.startswith("stg_")]
+    results += [{"resource_type": "test", "status": r.status} for r in report(frames, ALL_CHECKS).collect()]  # a row a check
+    row = audit.audit_row(spark, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), "dev", results)
+    return row.select("target_name", "model_count", "test_count", "status")
+
+
+def union_sources_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 by discovery: both extracts are landed as tables of two schemas, found by pattern and stacked."""
+    from emporium.operators.union import union_sources
+    import uuid
+
+    from emporium.session import shared_dir
+
+    root, src = shared_dir(spark, f"landing-{uuid.uuid4().hex[:10]}"), source(spark, sf_dir)
+    for schema, state in (("shopify_initial", "b1"), ("shopify_incremental", "b2"), ("stripe_initial", "b1")):
+        src.tables_cache(state)["orders"].write.parquet(f"{root}/{schema}/orders")
+    return union_sources(spark, root, "shopify_*", "orders")
 
 
 def union_order_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +296,9 @@ QUERIES.update({
     "snapshot_invariants": snapshot_invariants,
     "spine_gaps": spine_gaps,
     "source_freshness": source_freshness,
+    "source_freshness_later": _freshness(FRESHNESS_LATER),
+    "run_audit": run_audit,
+    "union_sources_discovered": union_sources_discovered,
     "union_sources": union_order_extracts,
     "metric_revenue_by_day": _metric_query(["revenue", "orders"], [], "day", "fct_orders"),
     "metric_aov": _metric_query(["average_order_value", "revenue", "orders"],
@@ -255,7 +322,8 @@ def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1 over the driver's events file as a bounded stream (availableNow)."""
+    """ST1 over the driver's events file as a bounded stream (availableNow).
+    Sessions still open when the file ends (within the watermark) are not emitted."""
     from emporium.streaming import jobs
 
     raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_EVENTS_SCHEMA, glob="events.parquet")
@@ -265,7 +333,8 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST4 over the driver's orders file as a bounded stream (availableNow)."""
+    """ST4 over the driver's orders file as a bounded stream (availableNow).
+    Days still open when the file ends (within the watermark) are not emitted."""
     from emporium.streaming import jobs
 
     raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
@@ -290,7 +359,7 @@ def stream_payments_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
         pays = core.fct_payments_full(staging.stg_payments(src.payments_from(raw, state)))
         jobs.run_foreach_batch(pays, jobs.payments_append_sink(spark, out), f"{ckpt}-{state}")
-    return spark.read.parquet(out).drop("created_month")
+    return read_table(spark, out).drop("created_month")
 
 
 def stream_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,20 +383,54 @@ def stream_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = jobs.file_stream(spark, sf_dir, jobs.DRIVER_ORDERS_SCHEMA, glob="orders.parquet")
         jobs.run_foreach_batch(src.orders_from(raw, state), jobs.orders_upsert_sink(spark, out, to_fact),
                                f"{ckpt}-{state}")
-    return spark.read.parquet(out).drop("order_month")
+    return read_table(spark, out).drop("order_month")
 
 
 def fct_orders_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13: running the incremental order fact twice on the same source
     changes nothing (no duplicates, same rows)."""
     once = fct_orders_incremental(spark, sf_dir)
-    source_rows = warehouse(spark, sf_dir).fct_orders
-    return incremental_model(once, source_rows, "order_id", "order_updated_at", ORDER_LOOKBACK)
+    return upsert_frame(once, _orders_batch(spark, sf_dir, once), "order_id")
+
+
+def fct_orders_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O6 and O7 through the table writer: a first build, a run whose source
+    has one column more, and the same run again."""
+    from emporium.operators.incremental import upsert_table
+    from emporium.plans.build import fact_layout
+    import uuid
+
+    from emporium.session import shared_dir
+
+    path, (col, expr) = shared_dir(spark, f"tables/fct_orders-{uuid.uuid4().hex[:10]}"), fact_layout("fct_orders")
+    first, later = warehouse(spark, sf_dir, "b1"), warehouse(spark, sf_dir)
+    size = F.when(F.col("total_quantity") >= 100, "large").otherwise("small")
+    upsert_table(spark, path, first.fct_orders, "order_id", "order_updated_at", ORDER_LOOKBACK, col, expr)
+    for _ in range(2):
+        upsert_table(spark, path, lambda cutoff: fct_orders_since(later.stg, cutoff).withColumn("order_size", size),
+                     "order_id", "order_updated_at", ORDER_LOOKBACK, col, expr)
+    return read_table(spark, path).drop(col)
+
+
+def snapshot_customers_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 through the table writer, the second run twice under one run id."""
+    from emporium.operators.snapshot import read_snapshot, snapshot_table
+    import uuid
+
+    from emporium.session import shared_dir
+
+    path, src = shared_dir(spark, f"tables/snap_customers-{uuid.uuid4().hex[:10]}"), source(spark, sf_dir)
+    cols = ["user_id", "email", "name", "tier", "created_at", "updated_at"]
+    for state, at, run_id in (("b1", LOAD_1, "one"), ("b2", LOAD_2, "two"), ("b2", LOAD_2, "two")):
+        snapshot_table(spark, path, src.tables_cache(state)["users"].select(*cols), "user_id", "updated_at", at, run_id)
+    return read_snapshot(spark, path)
 
 
 QUERIES.update({"stream_payments_append": stream_payments_append,
                 "stream_orders_upsert": stream_orders_upsert,
-                "fct_orders_incremental_rerun": fct_orders_incremental_rerun})
+                "fct_orders_incremental_rerun": fct_orders_incremental_rerun,
+                "fct_orders_schema_sync": fct_orders_schema_sync,
+                "snapshot_customers_table": snapshot_customers_table})
 
 
 def attribution_asof_union(spark: SparkSession, sf_dir: str) -> DataFrame:

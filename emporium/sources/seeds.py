@@ -40,14 +40,14 @@ def land(batches: list[DataFrame], key: str, tie_breakers: list[str] | None = No
         df = df.unionByName(b)
     cols = df.columns
     tb = tie_breakers or [c for c in cols if c not in (key, "_etl_loaded_at")]
-    # min over (-loaded_at, tie breakers...) == newest load, then smallest tie-breakers
+    # min over (-loaded_at, tie breakers, the rest) == newest load, then smallest tie-breakers; the row is read off the ordering
+    rest = [*tb, *[c for c in cols if c not in tb and c != key]]
     order = F.struct(
         F.timestamp_diff("MICROSECOND", F.col("_etl_loaded_at"),
                         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("__neg_loaded"),
-        *[F.col(c).alias(f"__tb{i}") for i, c in enumerate(tb)],
-        F.struct(*[F.col(c) for c in cols]).alias("__row"))
-    return (df.groupBy(key).agg(F.min(order).alias("__best"))
-            .select(*[F.col(f"__best.__row.{c}").alias(c) for c in cols]))
+        *[F.col(c).alias(f"__c{i}") for i, c in enumerate(rest)])
+    named = {key: F.col(key)} | {c: F.col(f"__best.__c{i}") for i, c in enumerate(rest)}
+    return df.groupBy(key).agg(F.min(order).alias("__best")).select(*[named[c].alias(c) for c in cols])
 
 
 def load_seed_tables(spark: SparkSession, seed_dir: str, batches=("initial",)) -> dict[str, DataFrame]:

@@ -13,15 +13,14 @@ for the oracle. Two load batches are modelled:
 app_db tables are full extracts (rows can vanish: hard deletes); shopify,
 stripe and web tables are incremental (late rows and status updates).
 
-The two derived raw tables that need an aggregation (refunds per order,
-sessions per visitor-day) are persisted once built, standing in for the
-landed tables they would be in production.
+A few traps are planted so that checks have something to find: product
+categories outside the declared list, and order items of unknown orders.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from emporium.sources.schemas import RAW_SCHEMAS
@@ -62,6 +61,9 @@ DEVICES = ["Desktop", "Mobile", "Tablet"]
 PAYMENT_METHODS = ["credit_card", "PayPal", "gift_card", "Bank_Transfer"]
 CURRENCIES = ["USD", "eur", "Gbp"]
 DISPUTE_STATUSES = ["Under_Review", "Won", "Lost"]
+CATEGORIES = ["Electronics", "Accessories", "Lifestyle"]
+STRAY_CATEGORY_EVERY = 97     # p_partkey % 97 = 0: a category outside the declared ones
+ORPHAN_EVERY = 211            # items of orders with l_orderkey % 211 = 0 point to no order
 
 STATES = ("b1", "b2", "current")
 
@@ -180,10 +182,15 @@ class TestdataSource:
         elif name == "lineitem":
             df = (df.withColumn("raw_shipdate", F.col("l_shipdate"))
                   .withColumn("l_shipdate", _add(F.col("l_shipdate"), "YEAR", YEAR_SHIFT)))
+            # (order, line) repeats in the data: an ordinal over all columns makes it a key. Equal rows are
+            # interchangeable. Where no id is asked for, the optimizer drops this window.
+            same = W.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.col(c.split()[0]) for c in DRIVER_SCHEMAS["lineitem"].split(", ")])
+            df = df.withColumn("line_id", (F.col("l_orderkey") * 1000 + F.col("l_linenumber")) * 1000 + F.row_number().over(same) - 1)
         return df
 
     def table(self, name: str, state: str = "current") -> DataFrame:
-        assert state in STATES, state
+        if state not in STATES:
+            raise ValueError(f"state {state!r} is none of {STATES}")
         return _finish(getattr(self, f"_{name}")(state), name)
 
     def orders_from(self, raw_orders: DataFrame, state: str = "current") -> DataFrame:
@@ -260,7 +267,7 @@ class TestdataSource:
         cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
         out = p if state == "b1" else p.where(k % 100 != 97)
         return out.select(
-            k.alias("product_id"), F.col("p_name").alias("name"), F.col("p_type").alias("category"),
+            k.alias("product_id"), F.col("p_name").alias("name"), F.when(k % STRAY_CATEGORY_EVERY == 0, F.col("p_type")).otherwise(_pick(CATEGORIES, k % 3)).alias("category"),
             F.when(changed, cents + 100).otherwise(cents).alias("price_cents"),
             created.alias("created_at"),
             F.when(changed, _ts(PRODUCT_CHANGED_AT)).otherwise(created).alias("updated_at"),
@@ -272,7 +279,7 @@ class TestdataSource:
         if state == "b1":
             li = li.where(F.col("raw_shipdate") < _raw_ts(ORDER_CUTOFF))
         return li.select(
-            (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("inventory_id"),
+            F.col("line_id").alias("inventory_id"),
             F.col("l_partkey").alias("product_id"),
             F.concat(F.lit("WH-"), F.col("l_suppkey").cast("string")).alias("warehouse_location"),
             F.when(F.col("l_returnflag") == "R", F.lit(0))
@@ -332,8 +339,8 @@ class TestdataSource:
         elif state == "b2":
             li = li.where(F.col("raw_shipdate") >= _raw_ts(ORDER_CUTOFF))
         return li.select(
-            (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+            F.col("line_id").alias("order_item_id"),
+            F.when(F.col("l_orderkey") % ORPHAN_EVERY == 0, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("order_id"), F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
              .alias("unit_price_cents"),
@@ -345,7 +352,7 @@ class TestdataSource:
         li = self.read("lineitem").where(F.col("l_returnflag") == "R")
         agg = li.groupBy("l_orderkey").agg(
             F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
-            F.max("l_shipdate").alias("last_ship")).persist(StorageLevel.MEMORY_AND_DISK)
+            F.max("l_shipdate").alias("last_ship"))
         k = F.col("l_orderkey")
         return agg.select(
             k.alias("order_id"),
@@ -353,11 +360,25 @@ class TestdataSource:
             F.when(k % 101 == 0, -F.col("cents")).otherwise(F.col("cents")).alias("cents"),
             _add(F.col("last_ship"), "DAY", 7).alias("refunded_at"))
 
-    def _shopify_refunds(self, state):
+    def _refunds_of(self, state):
+        """Refunds whose order is there: batch 1 has those of its orders, batch 2 all others."""
         r = self._refund_base()
+        if state == "current":
+            return r
+        first = self._orders_state("b1").select(F.col("o_orderkey").alias("order_id"))
+        return r.join(first, "order_id", "left_semi" if state == "b1" else "left_anti")
+
+    @staticmethod
+    def _refund_load(state):
+        if state != "current":
+            return _ts(LOAD_1 if state == "b1" else LOAD_2)
+        return F.when(F.col("refunded_at") >= _ts(ORDER_CUTOFF), _ts(LOAD_2)).otherwise(_ts(LOAD_1))
+
+    def _shopify_refunds(self, state):
+        r = self._refunds_of(state)
         return r.select(F.col("order_id").alias("refund_id"), "order_id", "reason",
                         F.col("cents").alias("refund_amount_cents"), "refunded_at",
-                        _ts(LOAD_1).alias("_etl_loaded_at"))
+                        self._refund_load(state).alias("_etl_loaded_at"))
 
     # ---------------------------------------------------------------- stripe
     @_memo
@@ -385,23 +406,22 @@ class TestdataSource:
             "_etl_loaded_at")
 
     def _stripe_refunds(self, state):
-        r = self._refund_base().where(F.col("order_id") % 10 != 3)
+        r = self._refunds_of(state).where(F.col("order_id") % 10 != 3)
         k = F.col("order_id")
         return r.select(
             (k * 10 + 2).alias("refund_id"), (k * 10 + 1).alias("charge_id"),
             (F.abs("cents") + F.when(k % 10 == 4, 100).otherwise(0)).alias("amount_cents"),
             "reason", F.lit("Succeeded").alias("status"),
             _add(F.col("refunded_at"), "HOUR", 1).alias("created_at"),
-            _ts(LOAD_1).alias("_etl_loaded_at"))
+            self._refund_load(state).alias("_etl_loaded_at"))
 
     def _disputes(self, state):
-        p = self._payments("current").where(F.col("order_id") % 50 == 0)
+        p = self._payments(state).where(F.col("order_id") % 50 == 0)
         k = F.col("order_id")
         return p.select(
             (k * 10 + 3).alias("dispute_id"), (k * 10 + 1).alias("charge_id"), "amount_cents",
             F.lit("fraudulent").alias("reason"), _pick(DISPUTE_STATUSES, k % 3).alias("status"),
-            _add(F.col("created_at"), "DAY", 3).alias("created_at"),
-            _ts(LOAD_1).alias("_etl_loaded_at"))
+            _add(F.col("created_at"), "DAY", 3).alias("created_at"), "_etl_loaded_at")
 
     # --------------------------------------------------------- web analytics
     @_memo
@@ -440,7 +460,7 @@ class TestdataSource:
         s = e.groupBy("session_id", "visitor_id").agg(
             F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
             F.min_by("page_url", "ts").alias("landing_page"),
-            F.max("_etl_loaded_at").alias("_etl_loaded_at")).persist(StorageLevel.MEMORY_AND_DISK)
+            F.max("_etl_loaded_at").alias("_etl_loaded_at"))
         v = F.col("visitor_id")
         return s.select(
             "session_id",
@@ -461,6 +481,3 @@ class TestdataSource:
             F.coalesce(dur.cast("bigint"), F.lit(0).cast("bigint")).alias("duration_seconds"),
             "_etl_loaded_at")
 
-
-def raw_tables(spark: SparkSession, sf_dir: str, state: str = "current") -> dict[str, DataFrame]:
-    return TestdataSource(spark, sf_dir).tables(state)

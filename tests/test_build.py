@@ -7,7 +7,7 @@ def test_full_build_then_incremental(spark, scratch):
 
     root = f"{scratch}/wh"
     first = build(spark, warehouse(spark, SF_SMALL, "b1"), root)
-    assert first["models"] == 12
+    assert first["models"] == 11
     n1 = spark.read.parquet(f"{root}/fct_orders").count()
     second = build(spark, warehouse(spark, SF_SMALL), root)
     fo = spark.read.parquet(f"{root}/fct_orders")
@@ -16,13 +16,12 @@ def test_full_build_then_incremental(spark, scratch):
     audit = spark.read.parquet(f"{root}/run_audit")
     assert audit.count() == 2
     assert set(r.status for r in audit.collect()) <= {"success", "error"}
-    assert second["tests"] > 50
+    assert second["tests"] == 205  # every declared check and both singular ones
     # incremental result equals the registered incremental query
     from emporium.queries import fct_orders_incremental
 
     q = fct_orders_incremental(spark, SF_SMALL)
-    assert sorted(r.order_id for r in q.select("order_id").collect()) == \
-        sorted(r.order_id for r in fo.select("order_id").collect())
+    assert sorted(map(str, q.collect())) == sorted(map(str, fo.drop("order_month").select(q.columns).collect()))
 
 
 def test_full_refresh_rebuilds(spark, scratch):
@@ -38,13 +37,3 @@ def test_full_refresh_rebuilds(spark, scratch):
     assert fo.drop("order_month").exceptAll(full).count() == 0
 
 
-def test_release_unpersists_shared_models(spark):
-    from emporium.plans.warehouse import Warehouse
-    from emporium.sources.testdata import TestdataSource
-
-    w = Warehouse(spark, TestdataSource(spark, SF_SMALL).tables())
-    df = w.orders_with_payments
-    assert df.storageLevel.useMemory
-    df.count()
-    w.release()
-    assert not df.storageLevel.useMemory
