@@ -57,13 +57,13 @@ def int_product_inventory_current(stg_inventory: DataFrame, stg_products: DataFr
 
 def int_sessions_mapped_to_users(stg_sessions: DataFrame, stg_users: DataFrame) -> DataFrame:  # I3
     """Sessions LEFT JOIN users. Anonymous sessions match nobody, but all have
-    the null key; a second key, a hash of the session for them and 0 for all
-    others, spreads them over the partitions instead of piling them up in one."""
-    u = stg_users.select(F.col("user_id").alias("__user"), F.lit(0).alias("__spread"), F.col("full_name").alias("user_name"),
+    the null key; a hash of the session in its place spreads them over the
+    partitions instead of piling them up in one, and the join condition still
+    wants a user id, so a hash that happens to be some id matches nothing."""
+    u = stg_users.select(F.col("user_id").alias("__user"), F.col("full_name").alias("user_name"),
                          F.col("email").alias("user_email"), F.col("tier").alias("user_tier"))
-    spread = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64("session_id"), F.lit(65536)).cast("int")).otherwise(F.lit(0))
-    s = stg_sessions.withColumn("__spread", spread)
-    return s.join(u, (s["user_id"] == u["__user"]) & (s["__spread"] == u["__spread"]), "left").select(
+    s = stg_sessions.withColumn("__key", F.coalesce("user_id", F.xxhash64("session_id")))
+    return s.join(u, (s["__key"] == u["__user"]) & s["user_id"].isNotNull(), "left").select(
         "session_id", "user_id", "user_name", "user_email", "user_tier", "session_start",
         "session_end", "device_type", "channel", "landing_page",
         F.col("user_id").isNull().alias("is_anonymous"),
