@@ -39,3 +39,23 @@ def test_failing_rows(spark):
     assert [r.amt for r in failing_rows(df, Check("t", "amt", "not_negative")).collect()] == [-5]
     assert [(r.id, r["count"]) for r in failing_rows(df, Check("t", "id", "unique")).collect()] == [(1, 2)]
     assert failing_rows(df, Check("t", "amt", "not_null")).count() == 1
+
+
+def test_declared_checks_are_all_there():
+    """Per type as the schema files declare them, plus the attached referential check and the duration bound."""
+    from collections import Counter
+
+    from emporium.plans.checks import ALL_CHECKS
+
+    assert Counter(c.test for c in ALL_CHECKS) == {
+        "not_null": 126, "unique": 29, "not_negative": 28, "accepted_values": 14, "valid_currency_code": 3,
+        "row_count_between": 1, "referential_integrity": 1, "expression": 1}
+
+
+def test_planted_traps_are_found(spark):
+    from conftest import SF_SMALL
+    from emporium.queries import QUERIES
+
+    assert QUERIES["assert_no_orphaned_order_items"](spark, SF_SMALL).count() > 0
+    assert {r.violation for r in QUERIES["snapshot_invariants"](spark, "/root/testdata/sf0.01").select("violation").distinct().collect()} == {
+        "multiple_current", "valid_from_not_before_valid_to"}
