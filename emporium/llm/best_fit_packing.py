@@ -28,7 +28,7 @@ from . import common as C
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 16384
-#: Words whose ids a Python worker keeps; about 200 MB at the most.
+#: Words whose ids a Python worker keeps, in flat arrays: some 40 MB at the most.
 CACHE_WORDS = 1 << 20
 VOCABULARY = "word_bpe_49k.json"
 
@@ -48,8 +48,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[int, np.ndarray] = {}
         self.limit = cache_words
+        self._forget()
+
+    def _forget(self) -> None:
+        """The cache: ascending word hashes, and where each word's ids begin in one table and how many they are."""
+        self.keys = np.empty(0, np.uint64)
+        self.begin, self.size, self.table = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint32)
 
     def word(self, w: str) -> np.ndarray:
         t = self.tokenizer
@@ -74,17 +79,22 @@ class WordEncoder:
         start, end, first = C.word_bounds(low, off)
         h = np.concatenate([C.hash_words(low, start[a:b], end[a:b]) for a, b in _runs(len(start))]) if len(start) else np.empty(0, np.uint64)
         keys, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.cache) + len(keys) > self.limit:
-            self.cache.clear()
-        data, found = low.tobytes(), []
-        for k, a, z in zip(keys.tolist(), start[at].tolist(), end[at].tolist()):
-            ids = self.cache.get(k)
-            if ids is None:
-                ids = self.cache[k] = self.word(data[a:z].decode())
-            found.append(ids)
-        sizes = np.array([len(x) for x in found], np.int64)
-        table = np.concatenate(found) if found else np.empty(0, np.uint32)
-        begin = np.cumsum(sizes) - sizes
+        if len(self.keys) + len(keys) > self.limit:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        new, data = np.flatnonzero(~known), low.tobytes()
+        if len(new):
+            found = [self.word(data[a:z].decode()) for a, z in zip(start[at[new]].tolist(), end[at[new]].tolist())]
+            size = np.array([len(x) for x in found], np.int32)
+            begin = len(self.table) + np.cumsum(size, dtype=np.int64) - size
+            self.table = np.concatenate([self.table, *found])
+            self.keys, self.begin, self.size = (np.insert(old, place[new], fresh) for old, fresh in (
+                (self.keys, keys[new]), (self.begin, begin), (self.size, size)))
+        place = np.searchsorted(self.keys, keys)
+        table, begin, sizes = self.table, self.begin[place], self.size[place].astype(np.int64)
         each = sizes[inverse]
         total = np.concatenate([[0], np.cumsum(each)])
         ids = table[np.repeat(begin[inverse] - total[:-1], each) + np.arange(total[-1])]
@@ -142,7 +152,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     path = path or vocabulary_path()
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     return C.as_documents(docs, id_col, text_col).mapInArrow(
-        lambda batches: _pieces(batches, path, capacity, end_id, keep_ids), schema)
+        C.of_batches(lambda batches: _pieces(batches, path, capacity, end_id, keep_ids)), schema)
 
 
 def best_fit_decreasing(lengths, capacity: int = CAPACITY) -> tuple[list[int], list[int]]:
@@ -200,7 +210,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     groups = max(1, math.ceil(pieces.count() / group_pieces))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     return (pieces.withColumn("group", F.pmod(F.xxhash64("id", "piece"), F.lit(groups)).cast("int"))
-            .groupBy("group").applyInArrow(lambda t: _pack_group(t, capacity), schema))
+            .groupBy("group").applyInArrow(C.of_group(lambda t: _pack_group(t, capacity)), schema))
 
 
 def op9_best_fit_packing(spark, sf_dir: str) -> DataFrame:

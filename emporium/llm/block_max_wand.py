@@ -241,9 +241,9 @@ def search(docs: DataFrame, is_query: Column, k: int = K, id_col: str = "doc_id"
     from pyspark.sql.types import StructType
 
     q_schema, h_schema = (to_arrow_schema(StructType.fromDDL(x)) for x in (QUERIES, HITS))
-    asked = placed.groupBy("block").applyInArrow(lambda t: _ask(t, bits), C.MESSAGE)
-    answers = asked.groupBy("shard").applyInArrow(_answer, C.MESSAGE)
-    found = C.written(placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _queries(a, b, q_schema), QUERIES), "queries")
+    asked = placed.groupBy("block").applyInArrow(C.of_group(lambda t: _ask(t, bits)), C.MESSAGE)
+    answers = asked.groupBy("shard").applyInArrow(C.of_group(_answer), C.MESSAGE)
+    found = C.written(placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(C.of_groups(lambda a, b: _queries(a, b, q_schema)), QUERIES), "queries")
     stats = found.agg(F.sum("documents"), F.sum("words"), F.sum(F.octet_length("terms") + F.octet_length("frequencies"))).first()
     n_docs, n_words, size = (int(x or 0) for x in stats)
     parts = max(1, math.ceil(size / query_bytes))
@@ -253,7 +253,7 @@ def search(docs: DataFrame, is_query: Column, k: int = K, id_col: str = "doc_id"
                .select("id", "terms", "frequencies", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
                .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     hits = here.groupBy("block", "part").cogroup(queries.groupBy("block", "part")).applyInArrow(
-        lambda a, b: _search(a, b, k, n_docs, n_words, h_schema), HITS)
+        C.of_groups(lambda a, b: _search(a, b, k, n_docs, n_words, h_schema)), HITS)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last()))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 

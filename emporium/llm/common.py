@@ -16,9 +16,11 @@ need no special case, and nothing is ever gathered on the driver.
 
 from __future__ import annotations
 
+import ctypes
+import io
 import math
 import os
-import tempfile
+import time
 import uuid
 import zipfile
 from typing import NamedTuple
@@ -46,22 +48,37 @@ NULL_ID = np.iinfo(np.int64).max
 U64 = np.uint64
 
 
+#: Size of the batches between Spark and its Python workers. The defaults are meant for narrow rows; of texts,
+#: each batch would be held several times over, in the JVM and in the worker, at tens of MB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2500", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
 # --- Spark side -------------------------------------------------------------
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that do not run in the repository's folder."""
+    """Prepare a session: batch sizes that suit texts, and this package, as a zip in the shared folder, for Python
+    workers that do not run in the repository's folder."""
     sc = spark.sparkContext
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
     if getattr(sc, "_emporium_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if os.path.isdir(root):
-        path = os.path.join(tempfile.mkdtemp(prefix="emporium-"), "emporium_pkg.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
             for folder, _, names in os.walk(root):
                 for name in names:
                     if name.endswith(".py"):
                         full = os.path.join(folder, name)
                         z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        path = f"{new_folder(spark, 'package')}/emporium_pkg.zip"
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+        try:
+            stream.write(bytearray(data.getvalue()))
+        finally:
+            stream.close()
         sc.addPyFile(path)
     sc._emporium_shipped = True
 
@@ -102,10 +119,59 @@ def power_of_two(x: float) -> int:
     return max(0, math.ceil(math.log2(max(x, 1))))
 
 
+# --- memory of Python workers ---------------------------------------------------
+
+_TRIMMED = [0.0]
+
+
+def trim(at_once: bool = False) -> None:
+    """Hand memory that earlier batches or groups of this worker have freed back to the system.
+
+    Workers live through many tasks; without this, the allocators of Arrow
+    and libc keep the largest of them for good.
+    """
+    now = time.monotonic()
+    if not at_once and now - _TRIMMED[0] < 0.1:
+        return
+    _TRIMMED[0] = now
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another libc
+        pass
+
+
+def of_group(f):
+    """``f`` of a group's table; what it used goes back to the system before the worker waits for the next."""
+    def run(table):
+        out = f(table)
+        trim(True)
+        return out
+    return run
+
+
+def of_groups(f):
+    """As :func:`of_group`, of the tables of two cogrouped sides."""
+    def run(left, right):
+        out = f(left, right)
+        trim(True)
+        return out
+    return run
+
+
+def of_batches(f):
+    """As :func:`of_group`, of a task's batches."""
+    def run(batches):
+        yield from f(batches)
+        trim(True)
+    return run
+
+
 # --- words of an Arrow column -------------------------------------------------
 
 def flat(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all strings and the offsets of each; null counts as empty."""
+    trim()
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if isinstance(arr, pa.ChunkedArray):
         arr = pa.concat_arrays(arr.chunks) if arr.num_chunks else pa.array([], arr.type)
@@ -302,6 +368,7 @@ def messages(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 def received(table: pa.Table) -> list[tuple[int, int, bytes]]:
     """Rows of a message table, ordered by (shard, block)."""
+    trim()
     cols = [table.column(n).to_pylist() for n in ("shard", "block", "payload")]
     return sorted(zip(*cols), key=lambda r: r[:2])
 

@@ -216,17 +216,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pair_bits = C.power_of_two(entries / shard_entries)
     word_bits = max(0, pair_bits - 2)
     placed = C.with_blocks(base.withColumn("held_out", is_held_out(F.col("id"))), blocks).groupBy("block")
-    asked = placed.applyInArrow(lambda t: _ask(t, word_bits, pair_bits), C.MESSAGE)
-    answers = asked.groupBy("shard").applyInArrow(lambda t: _answer(t, word_bits), C.MESSAGE)
+    asked = placed.applyInArrow(C.of_group(lambda t: _ask(t, word_bits, pair_bits)), C.MESSAGE)
+    answers = asked.groupBy("shard").applyInArrow(C.of_group(lambda t: _answer(t, word_bits)), C.MESSAGE)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(TABLE))
-    counts = C.written(placed.cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _look_up(a, b, word_bits, schema), TABLE), "lm-counts")
-    grid = counts.mapInArrow(_histogram, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # bounded by the grid
+    counts = C.written(placed.cogroup(answers.groupBy("block")).applyInArrow(C.of_groups(lambda a, b: _look_up(a, b, word_bits, schema)), TABLE), "lm-counts")
+    grid = counts.mapInArrow(C.of_batches(_histogram), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # bounded by the grid
     first = counts.select("vocabulary").first()
     weights = learn_weights(grid.column("code").to_numpy(), grid.column("n").to_numpy().astype(float), first[0] if first else 0)
-    return counts.mapInArrow(lambda batches: _scores(batches, weights), SCORES)
+    return counts.mapInArrow(C.of_batches(lambda batches: _scores(batches, weights)), SCORES)
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:

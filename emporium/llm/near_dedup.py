@@ -195,7 +195,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """
     C.ship(docs.sparkSession)
     base = C.as_documents(docs, id_col, text_col)
-    signs = C.written(base.mapInArrow(_sign, SIGNS), "signs")
+    signs = C.written(base.mapInArrow(C.of_batches(_sign), SIGNS), "signs")
     named = signs.where(F.col("id").isNotNull() & (F.col("n") > 0))
     copies = C.written(named.groupBy("print1", "print2").agg(F.min("id").alias("least"), F.count("*").alias("rows")).where("rows > 1")
                        .select("print1", "print2", "least"), "copies")
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     least_union = -(-100 // max(100 - percent, 1))
     nodes = (named.where(F.col("n") * 100 >= percent * least_union).join(copies, ["print1", "print2"], "left")
              .where(F.coalesce("least", "id") == F.col("id")).select("id", "n", "registers"))
-    bands = C.written(nodes.mapInArrow(_bands, "key long, node long"), "bands")
+    bands = C.written(nodes.mapInArrow(C.of_batches(_bands), "key long, node long"), "bands")
     shared = C.written(bands.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("size"))
                        .where("least <> most").select("key", "least", "size"), "buckets")
     joined = bands.join(shared, "key")
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     texts = base.select(F.col("id").alias("node"), "text")
     # rows of one id and text come once into each group
     grouped = together.unionByName(parts).distinct().join(texts, "node")
-    links = grouped.groupBy("group").applyInArrow(lambda t: _verify(t, percent), "a long, b long")
+    links = grouped.groupBy("group").applyInArrow(C.of_group(lambda t: _verify(t, percent)), "a long, b long")
     label = components(links).select("node", "label")
     out = members.join(label, "node", "left")
     component = F.coalesce("label", "node", "id")

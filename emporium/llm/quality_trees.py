@@ -194,7 +194,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(shared.value.probability(statistics(b.column("text"))))], names=["id", "score"])
 
-    return d.mapInArrow(run, "id long, score double")
+    return d.mapInArrow(C.of_batches(run), "id long, score double")
 
 
 def op7_quality_trees(spark, sf_dir: str) -> DataFrame:

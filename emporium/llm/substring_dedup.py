@@ -201,11 +201,11 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     exact_bits = max(0, shard_bits - 1)
     placed = C.with_blocks(base, blocks).groupBy("block")
 
-    sketches = placed.applyInArrow(lambda t: _sketch(t, window, cell_bits, shard_bits), C.MESSAGE)
-    merged = sketches.groupBy("shard").applyInArrow(lambda t: _merge_sketches(t, cell_bits, shard_bits), C.MESSAGE)
+    sketches = placed.applyInArrow(C.of_group(lambda t: _sketch(t, window, cell_bits, shard_bits)), C.MESSAGE)
+    merged = sketches.groupBy("shard").applyInArrow(C.of_group(lambda t: _merge_sketches(t, cell_bits, shard_bits)), C.MESSAGE)
     suspects = placed.cogroup(merged.groupBy("block")).applyInArrow(
-        lambda a, b: _suspects(a, b, window, cell_bits, shard_bits, exact_bits), C.MESSAGE)
-    smallest = suspects.groupBy("shard").applyInArrow(lambda t: _smallest(t, exact_bits), C.MESSAGE)
+        C.of_groups(lambda a, b: _suspects(a, b, window, cell_bits, shard_bits, exact_bits)), C.MESSAGE)
+    smallest = suspects.groupBy("shard").applyInArrow(C.of_group(lambda t: _smallest(t, exact_bits)), C.MESSAGE)
 
     fields = [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()),
               T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
@@ -218,7 +218,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
         arrow.append(("carried", to_arrow_type(kind)))
     schema = pa.schema(arrow)
     return placed.cogroup(smallest.groupBy("block")).applyInArrow(
-        lambda a, b: _remove(a, b, window, exact_bits, as_is, schema), T.StructType(fields))
+        C.of_groups(lambda a, b: _remove(a, b, window, exact_bits, as_is, schema)), T.StructType(fields))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -193,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, order:
     C.ship(docs.sparkSession)
     sample = C.written(sample_labelled(docs, labels, "toxic", per_class), "toxicity-sample")
     curve = F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(CURVE_FOLD)) == 0
-    found = (sample.where(~curve).select("text", "label").mapInArrow(_count_words, "word binary, label int, n long")
+    found = (sample.where(~curve).select("text", "label").mapInArrow(C.of_batches(_count_words), "word binary, label int, n long")
              .groupBy("word").agg(F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("a"), F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("b")).toArrow())
     counts = np.stack([np.nan_to_num(found.column(c).to_numpy().astype(float)) for c in ("a", "b")], 1) if found.num_rows else np.zeros((0, 2))
     if not (counts.sum(0) > 0).all():  # one class is missing: nothing to compare
@@ -238,7 +238,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
             yield pa.RecordBatch.from_arrays(columns + ([b.column("carried")] if carry else []), names=["id", "score"] + ["carried"] * bool(carry))
 
     kinds = "id long, score double" + (f", carried {d.schema['carried'].dataType.simpleString()}" if carry else "")
-    return d.mapInArrow(run, kinds)
+    return d.mapInArrow(C.of_batches(run), kinds)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
