@@ -100,12 +100,12 @@ def _opened(spark: SparkSession, path: str, key: str, ts_col: str | None, partit
         target = target.withColumn(partition_col, F.col(partition_col).cast("string"))
         state = table_state.TableState(table_state.schema_of(target), partition_col, key, ts_col)
         state.partitions = table_state.measure(target, partition_col, key, ts_col)
-    elif state.key != key or state.ts_col != ts_col:
+    elif state.key != key or state.ts_col != ts_col or not state.names_nulls():
         state.key, state.ts_col = key, ts_col
         state.partitions = table_state.measure(target, partition_col, key, ts_col)
     elif state.pending:
         dirty = state.pending["partitions"]
-        found = table_state.measure(target.where(F.col(partition_col).isin(dirty)), partition_col, key, ts_col)
+        found = table_state.measure(target.where(table_state.in_partitions(partition_col, dirty)), partition_col, key, ts_col)
         state.partitions = {k: v for k, v in state.partitions.items() if k not in dirty} | found
     return state
 
@@ -128,7 +128,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     2. The batch is checkpointed (reliable, in the shared folder), so retries
        after a lost executor re-read it.
     3. Rows to be replaced can only lie in partitions whose key range meets
-       the batch's; their keys are semi-joined. The touched partitions are a
+       the batch's (any, unless keys are integers); their keys are semi-joined. The touched partitions are a
        short list.
     4. The touched partitions, less the batch's keys, plus the batch, are
        checkpointed and written with dynamic partition overwrite; partitions
@@ -159,14 +159,14 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     if batch.isEmpty():
         return {"mode": "incremental", "touched": [], "cutoff": cutoff}
     target = table_state.read_table(spark, path)
-    keys = batch.agg(F.min(key), F.max(key)).first()
+    keys, name = batch.agg(F.min(key), F.max(key)).first(), table_state.partition_name(partition_col)
     if _same_layout(state.struct, batch):
-        near = target.where(F.col(partition_col).isin(state.overlapping(*keys)))
-        moved_from = near.select(key, partition_col).join(batch.select(key), key, "left_semi").select(partition_col)
-        touched = [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
+        near = target.where(table_state.in_partitions(partition_col, state.overlapping(*keys)))
+        moved_from = near.select(key, partition_col).join(batch.select(key), key, "left_semi").select(name)
+        touched = [r[0] for r in batch.select(name).union(moved_from).distinct().collect()]
     else:
-        touched = sorted(set(state.partitions) | {r[0] for r in batch.select(partition_col).distinct().collect()})
-    rewritten = (sync_columns(target.where(F.col(partition_col).isin(touched)), batch)
+        touched = sorted(set(state.partitions) | {r[0] for r in batch.select(name).distinct().collect()})
+    rewritten = (sync_columns(target.where(table_state.in_partitions(partition_col, touched)), batch)
                  .join(batch.select(key), key, "left_anti")
                  .unionByName(batch)).checkpoint()
     state.pending = {"cutoff": cutoff, "partitions": touched}
@@ -186,7 +186,8 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
                         partition_col: str, partition_expr: Column) -> dict:
     """O8: append source rows whose key is absent; existing rows never change.
 
-    Keys are looked up only in partitions whose key range meets the source's.
+    Keys are looked up only in partitions whose key range meets the source's,
+    or in all of them if keys are not integers.
     The new rows are checkpointed before the append, so a retried write sees
     the same rows; a rerun finds them present and appends nothing.
     """
@@ -196,7 +197,7 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     state = _opened(spark, path, key, None, partition_col)
     keys = source.agg(F.min(key), F.max(key)).first()
     target = table_state.read_table(spark, path)
-    near = target.where(F.col(partition_col).isin(state.overlapping(*keys)))
+    near = target.where(table_state.in_partitions(partition_col, state.overlapping(*keys)))
     new = (append_absent_frame(near, source, key)
            .withColumn(partition_col, partition_expr.cast("string")))
     # columns the table does not have yet stay null in its older rows; columns it has and the source lacks are null in the new
@@ -212,8 +213,7 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     table_state.save(spark, path, state)
     new.write.mode("append").partitionBy(partition_col).parquet(path)
     for name, (_, a, z) in found.items():
-        old = state.partitions.get(name, [None, a, z])
-        state.partitions[name] = [None, min(a, old[1], key=table_state._order), max(z, old[2], key=table_state._order)]
+        state.widen(name, a, z)
     state.pending = None
     table_state.save(spark, path, state)
     return {"mode": "incremental"}

@@ -3,9 +3,11 @@
 * ``schema``: the table's columns. Readers state it, so a table without files
   can be read, a column added later is null in older files, and partition
   values keep the type they were written with.
-* ``partitions``: for each partition its newest timestamp and its smallest
-  and largest key. An incremental run takes its cutoff from here instead of
-  scanning the table, and looks for existing keys only where they can be.
+* ``partitions``: for each partition its newest timestamp and, if keys are
+  integers, its smallest and largest key. An incremental run takes its cutoff
+  from here instead of scanning the table, and looks for existing keys only
+  where they can be; keys of other types are looked for everywhere. The
+  partition of null values has the name of its folder.
 * ``pending``: what a run is about to change. It is written before the data;
   if a run dies in between, the next one measures those partitions anew and
   goes back to the dead run's cutoff.
@@ -18,13 +20,17 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.operators.fs import path_exists, read_text, write_text
 
 
+#: Folder, and name in the state, of the partition whose value is null (or empty text, which Spark writes as null).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass
 class TableState:
     schema: str
@@ -42,20 +48,37 @@ class TableState:
         return max((p[0] for p in self.partitions.values() if p[0] is not None), default=None)
 
     def overlapping(self, least, largest) -> list[str]:
-        """Partitions whose keys may lie between two keys (all, while the range is unknown)."""
-        out = []
-        for name, (_, a, z) in self.partitions.items():
-            if a is None or z is None or least is None or not (_order(z) < _order(str(least)) or _order(a) > _order(str(largest))):
-                out.append(name)
-        return out
+        """Partitions whose keys may lie between two keys: all, while a range is unknown or keys are not integers."""
+        kinds = {f.name.lower(): f.dataType for f in self.struct.fields}
+        if not (_integers(kinds.get(str(self.key).lower())) and isinstance(least, int) and isinstance(largest, int)):
+            return list(self.partitions)
+        return [name for name, (_, a, z) in self.partitions.items()
+                if a is None or z is None or not (int(z) < least or int(a) > largest)]
+
+    def widen(self, name: str, a: str | None, z: str | None) -> None:
+        """Rows with keys from ``a`` to ``z`` (as :func:`measure` gives them) have come into a partition."""
+        _, least, largest = self.partitions.get(name, [None, a, z])
+        self.partitions[name] = [None, min((x for x in (a, least) if x is not None), key=int, default=None),
+                                 max((x for x in (z, largest) if x is not None), key=int, default=None)]
+
+    def names_nulls(self) -> bool:
+        """Whether the null partition, if there is one, has its name: earlier states called it ``None``."""
+        names = [*self.partitions, *(self.pending["partitions"] if self.pending else [])]
+        return "None" not in names and None not in names
+
+
+def _integers(kind: T.DataType | None) -> bool:
+    return isinstance(kind, T.IntegralType)
+
+
+def partition_name(partition_col: str) -> Column:
+    """Name of a row's partition in the state, never null."""
+    return F.coalesce(F.nullif(F.col(partition_col).cast("string"), F.lit("")), F.lit(NULL_PARTITION))
 
 
-def _order(key: str):
-    """Numbers by value; other keys by their text, as Spark orders strings."""
-    try:
-        return (0, int(key), b"")
-    except ValueError:
-        return (1, 0, key.encode())
+def in_partitions(partition_col: str, names: list[str]) -> Column:
+    """Rows of the named partitions, the one of nulls among them."""
+    return partition_name(partition_col).isin(names)
 
 
 def _file(path: str) -> str:
@@ -76,10 +99,12 @@ def schema_of(df: DataFrame) -> str:
 
 
 def measure(df: DataFrame, partition_col: str, key: str, ts_col: str | None) -> dict:
-    """Newest timestamp and key range of each partition of ``df``: one row a partition."""
+    """Newest timestamp and range of integer keys of each partition of ``df``: one row a partition."""
     ts = F.max(F.col(ts_col).cast("string")) if ts_col else F.lit(None).cast("string")
-    rows = df.groupBy(partition_col).agg(ts.alias("ts"), F.min(key).cast("string").alias("a"), F.max(key).cast("string").alias("z")).collect()
-    return {str(r[partition_col]): [r.ts, r.a, r.z] for r in rows}
+    known = _integers(df.select(key).schema[0].dataType)
+    a, z = (f(key).cast("string") if known else F.lit(None).cast("string") for f in (F.min, F.max))
+    rows = df.groupBy(partition_name(partition_col).alias("name")).agg(ts.alias("ts"), a.alias("a"), z.alias("z")).collect()
+    return {r["name"]: [r.ts, r.a, r.z] for r in rows}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

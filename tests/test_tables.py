@@ -178,3 +178,46 @@ def test_anonymous_sessions_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 2000 and max(sizes) < 800
     assert out.where("user_id is not null and user_name is null").count() == 0
+
+
+def test_rows_without_a_date_are_found_again(spark, scratch):
+    """The partition of null dates is looked in, kept when other rows of it change, and left when a row gets its date."""
+    pay = lambda rows: spark.createDataFrame(rows, "id long, v string, at timestamp_ntz")
+    for _ in range(3):
+        append_absent_table(spark, f"{scratch}/a", pay([(1, "a", None), (2, "b", T(2024, 1, 1))]), "id", "month", F.date_format("at", "yyyy-MM"))
+    assert sorted(r.id for r in read_table(spark, f"{scratch}/a").collect()) == [1, 2]
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "id long, v string, at timestamp_ntz, ts timestamp_ntz")
+        upsert_table(spark, f"{scratch}/u", df, "id", "ts", "30 DAYS", "month", F.date_format("at", "yyyy-MM"))
+        return sorted((r.id, r.v) for r in read_table(spark, f"{scratch}/u").collect())
+    run([(1, "a", None, T(2024, 1, 1)), (2, "a", None, T(2024, 1, 1)), (3, "a", T(2024, 1, 1), T(2024, 1, 1))])
+    assert run([(2, "b", None, T(2024, 1, 2))]) == [(1, "a"), (2, "b"), (3, "a")]
+    assert run([(1, "c", T(2024, 2, 1), T(2024, 1, 3))]) == [(1, "c"), (2, "b"), (3, "a")]
+    assert run([(2, "d", T(2024, 2, 1), T(2024, 1, 4))]) == [(1, "c"), (2, "d"), (3, "a")]
+    assert table_state.NULL_PARTITION not in table_state.load(spark, f"{scratch}/u").partitions
+
+
+def test_a_state_with_the_old_name_of_nulls_is_measured_anew(spark, scratch):
+    path, rows = f"{scratch}/a", [(1, "a", None), (2, "b", T(2024, 1, 1))]
+    again = lambda: append_absent_table(spark, path, frame(spark, rows), "id", "month", month())
+    again()
+    state = table_state.load(spark, path)
+    state.partitions["None"] = state.partitions.pop(table_state.NULL_PARTITION)
+    table_state.save(spark, path, state)
+    again()
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("kind, keys", [("string", ["9", "10", "100", "x"]), ("decimal(10,2)", ["0.50", "9.00", "10.25", "11.00"])])
+def test_keys_that_are_not_integers_are_found_again(spark, scratch, kind, keys):
+    def months(picked):
+        df = spark.createDataFrame([(keys[k], "a", T(2024, m, 1)) for k, m in picked], "id string, v string, ts timestamp_ntz")
+        return df.withColumn("id", F.col("id").cast(kind))
+    for _ in range(2):
+        append_absent_table(spark, f"{scratch}/a", months([(0, 1), (1, 1), (2, 1), (3, 2)]), "id", "month", month())
+        append_absent_table(spark, f"{scratch}/a", months([(1, 3), (2, 3)]), "id", "month", month())
+    assert sorted(str(r.id) for r in read_table(spark, f"{scratch}/a").collect()) == sorted(keys)
+    for picked in ([(0, 1), (1, 1), (2, 2), (3, 2)], [(1, 3), (2, 3)]):
+        upsert_table(spark, f"{scratch}/u", months(picked), "id", "ts", "90 DAYS", "month", month())
+    assert sorted((str(r.id), r.month) for r in read_table(spark, f"{scratch}/u").collect()) == sorted(zip(keys, ["2024-01", "2024-03", "2024-03", "2024-02"]))
