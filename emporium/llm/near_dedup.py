@@ -122,6 +122,7 @@ SIGNS = "id long, n long, print1 long, print2 long, registers binary"
 def _sign(batches):
     for batch in batches:
         texts, ids = batch.column("text"), batch.column("id")
+        others = [name for name in batch.schema.names if name == "carried"]
         _, off = C.flat(texts)
         for i, j in C.slices(off, 8 << 20):
             values, first = shingle_sets(texts.slice(i, j - i))
@@ -134,7 +135,8 @@ def _sign(batches):
             regs = registers(values, first)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(i, j - i), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints),
-                 pa.array([r.tobytes() for r in regs], pa.binary())], names=[x.split()[0] for x in SIGNS.split(", ")])
+                 pa.array([r.tobytes() for r in regs], pa.binary()), *(batch.column(c).slice(i, j - i) for c in others)],
+                names=[x.split()[0] for x in SIGNS.split(", ")] + others)
 
 
 def _bands(batches):
@@ -184,9 +186,12 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
 # --- the operator -------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-                    cluster_nodes: int = CLUSTER_NODES) -> DataFrame:
+                    cluster_nodes: int = CLUSTER_NODES, carry=()) -> DataFrame:
     """``id``, ``n_shingles``, ``component`` (smallest id reachable by links) and ``kept`` of each input row.
 
+    ``carry`` names input columns to pass on in a struct ``carried``; they are
+    written with the registers, so they should be narrow.
+
     Edge cases: a text without words (or null) has an empty set and is linked
     with nothing; fewer than five words are one shingle; equal rows are one
     document; rows that share an id but not the text count as one document
@@ -195,13 +200,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """
     C.ship(docs.sparkSession)
     base = C.as_documents(docs, id_col, text_col)
-    signs = C.written(base.mapInArrow(C.of_batches(_sign), SIGNS), "signs")
+    wide = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+                       F.struct(*[docs[c].alias(c) for c in carry]).alias("carried")) if carry else base
+    more = ["carried"] if carry else []
+    kinds = SIGNS + (f", carried {wide.schema['carried'].dataType.simpleString()}" if carry else "")
+    signs = C.written(wide.mapInArrow(C.of_batches(_sign), kinds), "signs")
     named = signs.where(F.col("id").isNotNull() & (F.col("n") > 0))
     copies = C.written(named.groupBy("print1", "print2").agg(F.min("id").alias("least"), F.count("*").alias("rows")).where("rows > 1")
                        .select("print1", "print2", "least"), "copies")
-    slim = signs.select("id", "n", "print1", "print2")
+    slim = signs.select("id", "n", "print1", "print2", *more)
     known = F.col("id").isNotNull() & (F.col("n") > 0)
-    members = slim.join(copies, ["print1", "print2"], "left").select("id", "n", F.when(known, F.coalesce("least", "id")).alias("node"))
+    members = slim.join(copies, ["print1", "print2"], "left").select("id", "n", F.when(known, F.coalesce("least", "id")).alias("node"), *more)
     # two different sets that are linked have a union of at least so many shingles; smaller sets only link with equals
     least_union = -(-100 // max(100 - percent, 1))
     nodes = (named.where(F.col("n") * 100 >= percent * least_union).join(copies, ["print1", "print2"], "left")
@@ -230,7 +239,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     out = members.join(label, "node", "left")
     component = F.coalesce("label", "node", "id")
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component"),
-                      F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), *more)
 
 
 def op1_hyperminhash(spark, sf_dir: str) -> DataFrame:

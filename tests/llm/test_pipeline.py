@@ -104,3 +104,15 @@ def test_stages_on_odd_input(spark, docs, none):  # noqa: F811
     once = P.near_dedup(spark, docs, SF_SMALL)
     ids = [r.doc_id for r in once.collect() if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and once.where("doc_id is null").count() == docs.where("doc_id is null").count()
+
+
+def test_rows_of_one_id(spark):
+    """A row that is a copy goes, the unique one with its id stays; of several unique ones always the same stays."""
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}
+    start = [(1, text["a"], "s"), (5, text["b"], "s"), (5, text["a"], "s"), (7, text["c"], "s"), (7, text["d"], "s"), (7, text["d"], "t")]
+    found = []
+    for rows_ in (start, start[::-1]):
+        df = spark.createDataFrame(rows_, "doc_id long, text string, source string").coalesce(1)
+        found.append(sorted((r.doc_id, r.text, r.source) for r in P.near_dedup(spark, df, SF_SMALL).collect()))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [1, 5, 7]
+    assert found[0][:2] == [(1, text["a"], "s"), (5, text["b"], "s")]
