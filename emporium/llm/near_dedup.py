@@ -16,10 +16,11 @@ mantissa bits, 16 bits in all.
    the full sets. It emits a spanning forest of the links, never all pairs.
 4. Components of these links, smallest id first, are the result.
 
-A cluster above ``cluster_nodes`` is verified bucket by bucket instead, and a
-bucket above it by pairs of slices, so no task holds more than two slices;
-the final components put the parts together. At similarity 0.85 a pair
-shares one of 42 bands but for a chance of about 2e-9.
+A cluster above ``cluster_nodes`` or ``cluster_bytes`` of text is verified
+bucket by bucket instead, and a bucket above them by pairs of slices. Slices
+are dealt by hash to hold about half of the bounds, and no group holds more
+than two; the final components put the parts together. At similarity 0.85 a
+pair shares one of 42 bands but for a chance of about 2e-9.
 """
 
 from __future__ import annotations
@@ -41,8 +42,9 @@ BANDS = BUCKETS // BAND_REGISTERS
 PERCENT = 85
 #: Documents with more shingles need two filled registers in a band; for smaller ones a single may have to do.
 SPARSE = 100
-#: Most nodes verified in one task.
+#: Most nodes verified in one group, and most bytes of their texts; the hashes take some more than the texts.
 CLUSTER_NODES = 8192
+CLUSTER_BYTES = 64 << 20
 #: Standard deviations that an estimate may lie below the least similarity.
 MARGIN = 5.0
 
@@ -116,7 +118,7 @@ def estimate(one: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 # --- tasks ------------------------------------------------------------------------
 
-SIGNS = "id long, n long, print1 long, print2 long, registers binary"
+SIGNS = "id long, n long, size long, print1 long, print2 long, registers binary"
 
 
 def _sign(batches):
@@ -134,7 +136,7 @@ def _sign(batches):
                     p[full] = np.add.reduceat(C.mix(values * C.BASES[k] + np.uint64(k + 1)), first[full])
             regs = registers(values, first)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(i, j - i), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints),
+                [ids.slice(i, j - i), pa.array(sizes), pa.array(np.diff(off[i:j + 1])), *(pa.array(p.view(np.int64)) for p in prints),
                  pa.array([r.tobytes() for r in regs], pa.binary()), *(batch.column(c).slice(i, j - i) for c in others)],
                 names=[x.split()[0] for x in SIGNS.split(", ")] + others)
 
@@ -186,7 +188,7 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
 # --- the operator -------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-                    cluster_nodes: int = CLUSTER_NODES, carry=()) -> DataFrame:
+                    cluster_nodes: int = CLUSTER_NODES, carry=(), cluster_bytes: int = CLUSTER_BYTES) -> DataFrame:
     """``id``, ``n_shingles``, ``component`` (smallest id reachable by links) and ``kept`` of each input row.
 
     ``carry`` names input columns to pass on in a struct ``carried``; they are
@@ -220,14 +222,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                        .where("least <> most").select("key", "least", "size"), "buckets")
     joined = bands.join(shared, "key")
     clusters = components(joined.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    sizes = clusters.groupBy("label").agg(F.count("*").alias("members"))
-    sized = C.written(clusters.join(sizes, "label"), "clusters")
-    together = sized.where(F.col("members") <= cluster_nodes).select("node", F.col("label").alias("group"))
-    # larger clusters: by bucket, and a bucket above the bound by pairs of slices
-    large = joined.join(sized.where(F.col("members") > cluster_nodes).select("node"), "node")
-    slices = F.greatest(F.lit(1), F.ceil(F.col("size") / cluster_nodes * 2)).cast("int")
+    # all rows of a node's id come into its group
+    weights = signs.where("id is not null").groupBy(F.col("id").alias("node")).agg(F.sum("size").alias("weight"))
+    weighed = C.written(clusters.join(weights, "node"), "weights")
+    sizes = weighed.groupBy("label").agg(F.count("*").alias("members"), F.sum("weight").alias("bytes"))
+    sized = C.written(weighed.join(sizes, "label"), "clusters")
+    fits = (F.col("members") <= cluster_nodes) & (F.col("bytes") <= cluster_bytes)
+    together = sized.where(fits).select("node", F.col("label").alias("group"))
+    # larger clusters: by bucket, and a bucket above a bound by pairs of slices
+    large = joined.join(sized.where(~fits).select("node", "weight"), "node")
+    buckets = large.groupBy("key").agg(F.sum("weight").alias("bytes"))
+    slices = F.greatest(F.lit(1), F.ceil(F.col("size") / cluster_nodes * 2), F.ceil(F.col("bytes") / cluster_bytes * 2)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
-    parts = (large.withColumn("slices", slices).withColumn("own", own)
+    parts = (large.join(buckets, "key").withColumn("slices", slices).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
              .where((F.col("slices") == 1) | (F.col("own") != F.col("other")))
              .select("node", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group")))

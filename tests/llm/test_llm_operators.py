@@ -91,6 +91,22 @@ def test_near_duplicates(docs, rows, cap):
     assert len(set(label.values())) < len(label) - 15
 
 
+def test_near_duplicates_bound_bytes(spark, monkeypatch):
+    """Forty near copies of 3.4 kB and an exact copy: verified in groups of about the bound, not all together."""
+    base, bound, whole = [f"b{i}" for i in range(700)], 40_000, near_dedup._verify
+    near = [(k, " ".join(base[:9 * k] + [f"e{k}"] + base[9 * k + 1:])) for k in range(40)]
+
+    def checked(table, percent):
+        if sum(len(t) for t in table.column("text").to_pylist()) > 2 * bound:
+            raise ValueError("too many bytes in one group")
+        return whole(table, percent)
+    monkeypatch.setattr(near_dedup, "_verify", checked)
+    df = spark.createDataFrame(near + [(99, near[3][1])], "doc_id long, text string")
+    assert {(r.component, r.kept == (r.id == 0)) for r in near_dedup.near_duplicates(df, cluster_bytes=bound).collect()} == {(0, True)}
+    with pytest.raises(Exception, match="too many bytes"):  # the cluster as a whole is above the bound
+        near_dedup.near_duplicates(df).collect()
+
+
 def test_hyperminhash_estimate():
     g = np.random.default_rng(1)
     for share in (0.5, 0.85, 0.95):
