@@ -3,9 +3,10 @@
 Each source queues its documents in shuffled order, once for each pass over
 it. A copy's virtual finish time is the source's words up to its end over the
 source's target, so at virtual time v every source has sent v times its
-target. The copies are range-sorted by finish time and the stream is cut when
-the budget is used up, which is at virtual time 1: the targets add up to it.
-The copy in service there is cut with it.
+target. The budget is used up at virtual time 1, as the targets add up to it,
+so the cut is computed for each source by itself, at its own target, and the
+copy in service there is cut with it. Only :func:`mixed_documents` sorts
+copies by finish time.
 
 Running sums never pass through one task: documents fall into hash ranges of
 their shuffle key, sums of whole ranges give each range its start, and only
