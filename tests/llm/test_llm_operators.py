@@ -67,11 +67,11 @@ def shingles(t):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute_components(pairs):
+def brute_components(pairs, percent=85):
     sets = [(i, shingles(t)) for i, t in pairs if i is not None]
     label = {i: i for i, _ in sets}
     changed = True
-    links = [(i, j) for a, (i, x) in enumerate(sets) for j, y in sets[a + 1:] if x and y and 100 * len(x & y) >= 85 * len(x | y)]
+    links = [(i, j) for a, (i, x) in enumerate(sets) for j, y in sets[a + 1:] if x and y and 100 * len(x & y) >= percent * len(x | y)]
     while changed:
         changed = False
         for i, j in links:
@@ -107,6 +107,49 @@ def test_near_duplicates_bound_bytes(spark, monkeypatch):
         near_dedup.near_duplicates(df).collect()
 
 
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_pairs_at_the_limit_share_a_bucket(percent):
+    """Two sets just at the similarity: small ones always meet, larger ones all but never miss."""
+    g = np.random.default_rng(4)
+    missed, tried = 0, 0
+    for n in list(range(near_dedup._least_size(percent), 60)) * 6 + [80, 200, 700] * 25:
+        most = n * (100 - percent) // percent  # shingles that only one of them has, at most
+        one = int(g.integers(0, most + 1))
+        draw = np.unique(g.integers(0, 1 << 63, n + most, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+        both, left, right = draw[:n], draw[n:n + one], draw[n + one:]
+        sets = [np.sort(np.concatenate([both, x])) for x in (left, right)]
+        if 100 * len(both) < percent * len(draw) or not len(left) + len(right):
+            continue
+        first = np.cumsum([0] + [len(x) for x in sets])
+        values = np.concatenate(sets)
+        row, key = near_dedup.bucket_keys(values, first, near_dedup.registers(values, first), percent)
+        met = len(np.intersect1d(key[row == 0], key[row == 1])) > 0
+        assert met or min(map(len, sets)) >= near_dedup.TINY
+        missed, tried = missed + (not met), tried + 1
+    assert tried > 100 and missed <= 1
+
+
+def test_densified_registers():
+    g = np.random.default_rng(5)
+    draw = np.unique(g.integers(0, 1 << 63, 90, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    regs = near_dedup.registers(np.concatenate([draw, draw[:60]]), np.array([0, len(draw), len(draw) + 60, len(draw) + 60]))
+    full = near_dedup.densified(regs)
+    assert (full[:2] > 0).all() and (full[2] == 0).all() and (full[regs > 0] == regs[regs > 0]).all()
+    assert set(full[0]) == set(regs[0][regs[0] > 0]) and 0.5 < (full[0] == full[1]).mean() < 0.85
+
+
+def test_large_group_takes_rows_in_proportion(spark, monkeypatch):
+    """Copies that are all linked are verified once each, whatever the bound; what shares buckets without being linked is split."""
+    base = [f"b{i}" for i in range(300)]
+    near = [(k, " ".join(base[:k] + [f"e{k}"] + base[k + 1:])) for k in range(120)]
+    far = [(1000 + k, " ".join(w if (i + k) % 24 else f"f{k}-{i}" for i, w in enumerate(base))) for k in range(24)]
+    monkeypatch.setattr(near_dedup, "_verify", lambda t, percent, real=near_dedup._verify: (
+        real(t, percent) if t.num_rows <= 40 else (_ for _ in ()).throw(ValueError("too many rows in one group"))))
+    got = {r.id: r.component for r in near_dedup.near_duplicates(spark.createDataFrame(near + far, "doc_id long, text string"), cluster_nodes=20).collect()}
+    label = brute_components(near + far)
+    assert got == label and len({label[k] for k, _ in near}) == 1 and len({label[k] for k, _ in far}) == 24
+
+
 def test_hyperminhash_estimate():
     g = np.random.default_rng(1)
     for share in (0.5, 0.85, 0.95):
