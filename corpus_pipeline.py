@@ -17,6 +17,9 @@ from emporium.llm.source_mixing import mixed_documents
 from emporium.llm.substring_dedup import remove_repeated
 from emporium.llm.toxicity import score_toxicity
 
+#: Least similarity in percent of near duplicates that lose all but one.
+NEAR_PERCENT = 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models do not hold for toxic."""
@@ -27,12 +30,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; rows without an id all stay.
 
-    Of rows that share an id, one stays: of those that ``near_duplicates``
+    Documents are linked where their sets of five-word shingles have a similarity of 0.8 or more. Of rows that share an id, one stays: of those that ``near_duplicates``
     keeps, the one with the least row hash. An exact copy of a smaller id
     goes by itself; rows of one id are one document where it has near copies.
     """
     hashed = docs.withColumn("row_hash", F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns]))
-    rows = near_duplicates(hashed, carry=["row_hash"]).where("kept and id is not null")
+    rows = near_duplicates(hashed, percent=NEAR_PERCENT, carry=["row_hash"]).where("kept and id is not null")
     kept = rows.groupBy(F.col("id").alias("doc_id")).agg(F.min("carried.row_hash").alias("least"))
     one = hashed.join(kept, "doc_id").where("row_hash = least").dropDuplicates(["doc_id"])
     return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
