@@ -5,6 +5,9 @@ from __future__ import annotations
 from . import (
     best_fit_packing,
     block_max_wand,
+    fill_middle,
+    importance,
+    language_id,
     lm_score,
     near_dedup,
     quality_rules,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_warc_zip": warc_zip.op8_warc_zip,
     "op9_best_fit_packing": best_fit_packing.op9_best_fit_packing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_language_id": language_id.op11_language_id,
+    "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_fill_in_middle": fill_middle.op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -35,4 +41,5 @@ ORACLE_SQL = {
     "op5_source_mixing": source_mixing.OP5_SQL,
     "op6_block_max_wand": block_max_wand.OP6_SQL,
     "op8_warc_zip": warc_zip.OP8_SQL,
+    "op13_fill_in_middle": fill_middle.OP13_SQL,
 }
