@@ -24,6 +24,12 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
             fs.delete(p, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, none if there is no such folder."""
+    fs, p = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small file, None if it does not exist."""
     fs, p = _fs(spark, path)

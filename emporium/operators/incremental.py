@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.operators import table_state
-from emporium.operators.fs import delete_paths, path_exists
+from emporium.operators.fs import delete_paths
 
 
 def sync_columns(target: DataFrame, like: DataFrame) -> DataFrame:
@@ -77,19 +77,29 @@ def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = Non
                        ts_col: str | None = None) -> None:
     """O3/O4: rebuild the table from scratch and describe it in its state file.
 
-    A table of no rows is a table too: its state has the schema, so it can be
-    read, and incremental runs find it empty.
+    The rows go to a fresh version folder; saving the state, which names that
+    folder, is what replaces the table. A rebuild that fails before leaves
+    the old rows as they were, and a first build that fails leaves no table.
+    The folders of older versions are deleted after the switch, so a reader
+    that planned on one of them before has to plan again, as after any
+    overwrite. A table of no rows is a table too: its state has the schema.
     """
     if partition_col is not None and partition_col not in df.columns:
         df = df.withColumn(partition_col, partition_expr.cast("string"))
-    spark = df.sparkSession
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(partition_col) if partition_col else w).parquet(path)
-    state = table_state.TableState(table_state.schema_of(df), partition_col, key, ts_col)
-    table_state.save(spark, path, state)
-    if partition_col and key:
-        state.partitions = table_state.measure(table_state.read_table(spark, path), partition_col, key, ts_col)
+    spark, version = df.sparkSession, table_state.new_version()
+    state = table_state.TableState(table_state.schema_of(df), partition_col, key, ts_col, version=version)
+    files = table_state.location(path, state)
+    try:
+        (df.write.partitionBy(partition_col) if partition_col else df.write).parquet(files)
+        if partition_col and key:
+            state.partitions = table_state.measure(spark.read.schema(state.struct).parquet(files), partition_col, key, ts_col)
         table_state.save(spark, path, state)
+    except Exception:
+        now = table_state.load(spark, path)
+        if now is None or now.version != version:  # unless the state was saved after all
+            delete_paths(spark, [files])
+        raise
+    table_state.drop_other_versions(spark, path, version)
 
 
 def _opened(spark: SparkSession, path: str, key: str, ts_col: str | None, partition_col: str) -> table_state.TableState:
@@ -141,7 +151,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     so that its old values cannot come back later.
     """
     whole = source if callable(source) else (lambda cutoff: source if cutoff is None else source.where(F.col(ts_col) >= F.lit(cutoff).cast("timestamp_ntz")))
-    if not path_exists(spark, path):
+    if not table_state.table_exists(spark, path):
         full_refresh_table(whole(None), path, partition_col, partition_expr, key, ts_col)
         return {"mode": "full", "touched": None}
     state = _opened(spark, path, key, ts_col, partition_col)
@@ -155,9 +165,16 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     if state.pending and state.pending["cutoff"] is not None:
         cutoff = min(x for x in (cutoff, state.pending["cutoff"]) if x is not None)
     batch = whole(cutoff).where(F.col(ts_col) >= F.lit(cutoff).cast("timestamp_ntz"))
+    done = _merge(spark, path, state, batch, key, ts_col, partition_col, partition_expr, cutoff)
+    return {"mode": "incremental", "cutoff": cutoff} | done
+
+
+def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch: DataFrame, key: str, ts_col: str | None,
+           partition_col: str, partition_expr: Column, cutoff: str | None) -> dict:
+    """Steps 2 to 4 of :func:`upsert_table`: replace the rows of the batch's keys by the batch."""
     batch = batch.withColumn(partition_col, partition_expr.cast("string")).checkpoint()
     if batch.isEmpty():
-        return {"mode": "incremental", "touched": [], "cutoff": cutoff}
+        return {"touched": []}
     target = table_state.read_table(spark, path)
     keys, name = batch.agg(F.min(key), F.max(key)).first(), table_state.partition_name(partition_col)
     if _same_layout(state.struct, batch):
@@ -171,15 +188,41 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
                  .unionByName(batch)).checkpoint()
     state.pending = {"cutoff": cutoff, "partitions": touched}
     table_state.save(spark, path, state)
+    files = table_state.location(path, state)
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(partition_col).parquet(files))
     present = table_state.measure(rewritten, partition_col, key, ts_col)
     emptied = [p for p in touched if p not in present]
-    delete_paths(spark, [f"{path}/{partition_col}={p}" for p in emptied])
+    delete_paths(spark, [f"{files}/{partition_col}={p}" for p in emptied])
     state.partitions = {k: v for k, v in state.partitions.items() if k not in touched} | present
     state.schema, state.pending = table_state.schema_of(batch), None
     table_state.save(spark, path, state)
-    return {"mode": "incremental", "touched": sorted(map(str, touched)), "emptied": emptied, "cutoff": cutoff}
+    return {"touched": sorted(map(str, touched)), "emptied": emptied}
+
+
+def capture_table(spark: SparkSession, path: str, changed: Callable[[str | None], DataFrame], loaded_until: str, key: str, ts_col: str,
+                  partition_col: str, partition_expr: Column) -> dict:
+    """Delete+insert by change capture: rows whose inputs were loaded since the last run replace those of the same key.
+
+    ``changed`` builds the rows (whole rows of the model) that anything
+    loaded after a watermark, given as text, has a part in; with None it
+    builds them all. ``loaded_until`` is the newest load time of the inputs;
+    it becomes the watermark once the rows are written, so a run that dies is
+    made good by the next, from the same watermark.
+    """
+    state = table_state.load(spark, path)
+    if state is None or state.watermark is None:
+        full_refresh_table(changed(None), path, partition_col, partition_expr, key, ts_col)
+        state = table_state.load(spark, path)
+        done = {"mode": "full", "touched": None}
+    else:
+        state = _opened(spark, path, key, ts_col, partition_col)
+        if loaded_until <= state.watermark and not state.pending:
+            return {"mode": "incremental", "touched": []}
+        done = {"mode": "incremental"} | _merge(spark, path, state, changed(state.watermark), key, ts_col, partition_col, partition_expr, None)
+    state.watermark = max(loaded_until, state.watermark or loaded_until)
+    table_state.save(spark, path, state)
+    return done
 
 
 def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key: str,
@@ -191,7 +234,7 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     The new rows are checkpointed before the append, so a retried write sees
     the same rows; a rerun finds them present and appends nothing.
     """
-    if not path_exists(spark, path):
+    if not table_state.table_exists(spark, path):
         full_refresh_table(source, path, partition_col, partition_expr, key)
         return {"mode": "full"}
     state = _opened(spark, path, key, None, partition_col)
@@ -211,7 +254,7 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     if added:
         state.schema = table_state.schema_of(new)
     table_state.save(spark, path, state)
-    new.write.mode("append").partitionBy(partition_col).parquet(path)
+    new.write.mode("append").partitionBy(partition_col).parquet(table_state.location(path, state))
     for name, (_, a, z) in found.items():
         state.widen(name, a, z)
     state.pending = None

@@ -14,6 +14,9 @@ Duplicate keys in one source batch are reduced to one row first (newest
 ``updated_at``, ties to the smallest remaining columns) so history cannot
 double. The comparison is one full outer join of current rows with the
 source on the key - a shuffle of two dimension-sized inputs, no pairs.
+
+A written history takes each run's changes as small parts of their own and
+rewrites its open rows only when those parts have grown (``DELTA_SHARE``).
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions.macros import surrogate_key
 from emporium.operators import table_state
-from emporium.operators.fs import delete_paths, path_exists
+from emporium.operators.fs import delete_paths
 
 SCD_COLUMNS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 
@@ -52,18 +55,36 @@ def snapshot_frame(existing: DataFrame | None, source: DataFrame, key: str, upda
     src = dedupe_source(source, key, updated_at)
     if existing is None:
         return _open_rows(src, key, updated_at)
-    # columns of either side: new ones are null in older versions, gone ones in newer
+    existing, src = _same_columns(existing, src)
+    kept_or_closed, opened = _compared(existing.where(F.col("valid_to").isNull()), src, key, updated_at, run_ts, invalidate_hard_deletes)
+    closed = existing.where(F.col("valid_to").isNotNull())
+    return closed.select(*src.columns, *SCD_COLUMNS).unionByName(kept_or_closed).unionByName(opened)
+
+
+def snapshot_changes(current: DataFrame, source: DataFrame, key: str, updated_at: str,
+                     run_ts: Column | str, invalidate_hard_deletes: bool = True) -> DataFrame:
+    """Only what one run changes: the open rows that close, with their ``valid_to``, and the rows it opens."""
+    current, src = _same_columns(current, dedupe_source(source, key, updated_at))
+    kept_or_closed, opened = _compared(current, src, key, updated_at, run_ts, invalidate_hard_deletes)
+    return kept_or_closed.where(F.col("valid_to").isNotNull()).unionByName(opened)
+
+
+def _same_columns(existing: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns of either: new ones are null in older versions, gone ones in newer; types follow the source."""
     have = {f.name: f.dataType for f in src.schema.fields}
     for f in existing.schema.fields:
         if f.name not in have and f.name not in SCD_COLUMNS:
             src = src.withColumn(f.name, F.lit(None).cast(f.dataType))
     for name, kind in have.items():
         existing = existing.withColumn(name, F.col(name).cast(kind) if name in existing.columns else F.lit(None).cast(kind))
+    return existing, src
+
+
+def _compared(current: DataFrame, src: DataFrame, key: str, updated_at: str, run_ts: Column | str,
+              invalidate_hard_deletes: bool) -> tuple[DataFrame, DataFrame]:
+    """The open rows after the run, with the end of those that close, and the rows that open."""
     run = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
     cols = src.columns
-    closed = existing.where(F.col("valid_to").isNotNull())
-    current = existing.where(F.col("valid_to").isNull())
-
     s = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols])
     j = current.join(s, current[key] == s[f"__s_{key}"], "full_outer")
     has_cur, has_src = F.col(key).isNotNull(), F.col(f"__s_{key}").isNotNull()
@@ -76,51 +97,100 @@ def snapshot_frame(existing: DataFrame | None, source: DataFrame, key: str, upda
     opened = _open_rows(
         j.where(has_src & (~has_cur | changed)).select(*[F.col(f"__s_{c}").alias(c) for c in cols]),
         key, updated_at)
-    return closed.select(*cols, *SCD_COLUMNS).unionByName(kept_or_closed).unionByName(opened)
+    return kept_or_closed, opened
 
 
 PART = "scd_part"
+#: Rows opened since the open rows were last rewritten, as a share of these, above which a run rewrites them again.
+DELTA_SHARE = 0.2
 
 
 def snapshot_table(spark: SparkSession, path: str, source: DataFrame, key: str, updated_at: str,
-                   run_ts: str, run_id: str, invalidate_hard_deletes: bool = True) -> dict:
-    """Apply one run to a Parquet history table partitioned by ``scd_part``:
-    ``current`` holds open rows, ``closed-<run_id>`` the rows that runs of this id closed.
-
-    The closed rows are written first, together with those that an earlier
-    run of the same id closed, then the open rows. A run that dies in between
-    leaves a version both open and closed; readers take it as closed, and the
-    next run drops the doubled version. Closed rows of other runs are never
-    touched.
+                   run_ts: str, run_id: str, invalidate_hard_deletes: bool = True, delta_share: float = DELTA_SHARE) -> dict:
+    """Apply one run to a Parquet history table partitioned by ``scd_part``.
+
+    ``current`` holds the open rows as last rewritten, ``current-<run_id>``
+    those that a run of this id opened since, ``closed-<run_id>`` those it
+    closed. A version that is closed there may still lie among the open rows;
+    readers take it as closed. So a run writes the rows it changes and no
+    others, until the rows opened since make up more than ``delta_share`` of
+    ``current`` (or a column changes its type); then it rewrites ``current``
+    without what is closed, and the parts since are deleted.
+
+    The state lists the parts of open rows, and names what a run is writing
+    before it does. A run that dies leaves versions closed whose successors
+    are not there yet, or copies of open rows, which readers drop; the next
+    run, of this or another id, opens what is missing. A run repeated under
+    its id adds to what it wrote before. Closed rows are never touched again.
     """
-    if not path_exists(spark, path):
+    if not table_state.table_exists(spark, path):
         first = snapshot_frame(None, source, key, updated_at, run_ts, invalidate_hard_deletes).withColumn(PART, F.lit("current"))
         first.write.mode("overwrite").partitionBy(PART).parquet(path)
-        table_state.save(spark, path, table_state.TableState(table_state.schema_of(first), PART))
+        state = table_state.TableState(table_state.schema_of(first), PART, closing=[])
+        state.rows = {"current": spark.read.schema(state.struct).parquet(path).count()}
+        table_state.save(spark, path, state)
         return {"mode": "first"}
-    own = f"closed-{run_id}"
+    state = table_state.load(spark, path) or table_state.TableState(table_state.schema_of(table_state.read_table(spark, path)), PART)
     table = table_state.read_table(spark, path)
-    before = _without_doubles(table.where(F.col(PART).isin("current", own))).drop(PART)
-    out = snapshot_frame(before, source, key, updated_at, run_ts, invalidate_hard_deletes)
-    out = out.withColumn(PART, F.when(F.col("valid_to").isNull(), F.lit("current")).otherwise(F.lit(own))).checkpoint()
-    state = table_state.TableState(table_state.schema_of(out), PART)
-    table_state.save(spark, path, state)  # names every old column too, so either version can be read with it
-    for part in (own, "current"):
-        rows = out.where(F.col(PART) == part)
-        if rows.isEmpty():
-            if part == "current":
-                delete_paths(spark, [f"{path}/{PART}=current"])
-            continue
+    closed_part, open_part = f"closed-{run_id}", f"current-{run_id}"
+    current = _open(table, state)
+    out = snapshot_changes(current.drop(PART), source, key, updated_at, run_ts, invalidate_hard_deletes).checkpoint()
+    counts = {r.open: r.n for r in out.groupBy(F.col("valid_to").isNull().alias("open")).agg(F.count("*").alias("n")).collect()}
+    closes, opens = counts.get(False, 0), counts.get(True, 0)
+    before = {f.name: f.dataType for f in state.struct.fields}
+    retyped = any(before.get(f.name, f.dataType) != f.dataType for f in out.schema.fields)
+    base, since = state.rows.get("current"), sum(n for part, n in state.rows.items() if part != "current") + opens
+    rewrite = base is None or retyped or since > delta_share * base
+    state.schema = table_state.schema_of(out.withColumn(PART, F.lit("")))  # names every old column too, so both versions can be read with it
+    if not closes and not opens and not retyped and not state.pending:
+        table_state.save(spark, path, state)
+        return {"mode": "incremental", "written": 0}
+    if state.closing is not None:
+        state.closing = sorted({*state.closing, closed_part, *(state.pending["partitions"] if state.pending else [])})
+    state.pending = {"cutoff": None, "partitions": [closed_part]}
+    closed_now = out.where(F.col("valid_to").isNotNull())
+    own_closed = table.where(F.col(PART) == closed_part).drop(PART)
+    gone = closed_now.select("scd_id")
+    if rewrite:
+        kept = _same_columns(current.drop(PART), source)[0].join(gone, "scd_id", "left_anti").unionByName(
+            out.where(F.col("valid_to").isNull()), allowMissingColumns=True)
+        parts = [(closed_part, own_closed.unionByName(closed_now, allowMissingColumns=True), closes),
+                 ("current", kept, 1)]
+    else:
+        own_open = current.where(F.col(PART) == open_part).drop(PART).join(gone, "scd_id", "left_anti")
+        parts = [(closed_part, own_closed.unionByName(closed_now, allowMissingColumns=True), closes),
+                 (open_part, own_open.unionByName(out.where(F.col("valid_to").isNull()), allowMissingColumns=True), opens)]
+    # both are computed before either is written: each is read from files that the other replaces
+    parts = [(part, rows.select(*out.columns).withColumn(PART, F.lit(part)).checkpoint()) for part, rows, changed in parts if changed]
+    table_state.save(spark, path, state)
+    for part, rows in parts:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    return {"mode": "incremental"}
-
-
-def _without_doubles(history: DataFrame) -> DataFrame:
-    """Drop open rows whose version is also there as closed."""
-    closed = history.where(F.col("valid_to").isNotNull()).select("scd_id").distinct()
-    return history.where(F.col("valid_to").isNotNull()).unionByName(
-        history.where(F.col("valid_to").isNull()).join(closed, "scd_id", "left_anti"))
+        if part != closed_part:
+            state.rows[part] = rows.count()
+    if rewrite:
+        if not state.rows["current"]:
+            delete_paths(spark, [f"{path}/{PART}=current"])
+        delete_paths(spark, [f"{path}/{PART}={p}" for p in state.deltas])
+        state.rows, state.deltas, state.closing = {"current": state.rows["current"]}, [], [closed_part]
+    elif opens:
+        state.deltas = sorted({*state.deltas, open_part})
+    state.pending = None
+    table_state.save(spark, path, state)
+    return {"mode": "rewrite" if rewrite else "incremental", "written": closes + opens}
+
+
+def _open(table: DataFrame, state: table_state.TableState | None) -> DataFrame:
+    """Open rows: those of the listed parts whose version is not closed elsewhere, each once."""
+    deltas = state.deltas if state else []
+    rows = table.where(F.col(PART).isin(["current", *deltas]))
+    closed = table.where(F.col("valid_to").isNotNull() & F.col(PART).startswith("closed-"))
+    if state is not None and state.closing is not None:
+        closed = closed.where(F.col(PART).isin([*state.closing, *(state.pending["partitions"] if state.pending else [])]))
+    rows = rows.join(closed.select("scd_id").distinct(), "scd_id", "left_anti")
+    return rows.dropDuplicates(["scd_id"]) if state is not None and state.pending else rows
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _without_doubles(table_state.read_table(spark, path)).drop(PART)
+    state, table = table_state.load(spark, path), table_state.read_table(spark, path)
+    columns = [c for c in table.columns if c != PART]
+    return table.where(F.col(PART).startswith("closed-")).select(columns).unionByName(_open(table, state).select(columns))

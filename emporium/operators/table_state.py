@@ -8,9 +8,18 @@
   from here instead of scanning the table, and looks for existing keys only
   where they can be; keys of other types are looked for everywhere. The
   partition of null values has the name of its folder.
+* ``version``: the folder that holds the table's files. A rebuild writes a
+  fresh one and then saves the state, which is what makes it the table; until
+  then readers see the rows as they were, or no table. Tables without it have
+  their files in the table's folder itself.
 * ``pending``: what a run is about to change. It is written before the data;
   if a run dies in between, the next one measures those partitions anew and
   goes back to the dead run's cutoff.
+* ``watermark``: newest load time that a run by change capture has taken in.
+* ``deltas``, ``closing`` and ``rows``: a snapshot's parts of newer open rows,
+  its parts of closed rows whose versions may still lie among the open ones
+  (None: any), and the rows of each part of open rows.
+* ``batches``: the last micro-batch of each streaming query that was written.
 
 The file is small: one short entry a partition.
 """
@@ -18,13 +27,14 @@ The file is small: one short entry a partition.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.operators.fs import path_exists, read_text, write_text
+from emporium.operators.fs import child_names, delete_paths, path_exists, read_text, write_text
 
 
 #: Folder, and name in the state, of the partition whose value is null (or empty text, which Spark writes as null).
@@ -39,6 +49,12 @@ class TableState:
     ts_col: str | None = None
     partitions: dict = field(default_factory=dict)   # value -> [newest ts, least key, largest key], as text
     pending: dict | None = None                      # {"cutoff": text or None, "partitions": [...]}
+    version: str | None = None
+    watermark: str | None = None
+    deltas: list = field(default_factory=list)
+    closing: list | None = None
+    rows: dict = field(default_factory=dict)
+    batches: dict = field(default_factory=dict)      # query id -> batch id
 
     @property
     def struct(self) -> T.StructType:
@@ -107,13 +123,32 @@ def measure(df: DataFrame, partition_col: str, key: str, ts_col: str | None) ->
     return {r["name"]: [r.ts, r.a, r.z] for r in rows}
 
 
+def location(path: str, state: TableState | None) -> str:
+    """Folder of the table's files."""
+    return path.rstrip("/") if state is None or state.version is None else f"{path.rstrip('/')}/{state.version}"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A written table with the columns its state names; without a state, what the files' merged schema says."""
     state = load(spark, path)
     if state is None:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    return spark.read.schema(state.struct).parquet(path)
+    return spark.read.schema(state.struct).parquet(location(path, state))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
+    """Whether a write of the table was ever finished: it has a state, or Spark's mark of success.
+
+    A first build that failed leaves a folder with neither; that is no table.
+    """
+    return load(spark, path) is not None or path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def new_version() -> str:
+    return f"v-{uuid.uuid4().hex}"
+
+
+def drop_other_versions(spark: SparkSession, path: str, version: str) -> None:
+    """Delete files of a table that its state does not name any more."""
+    old = [n for n in child_names(spark, path) if n != version and (n.startswith("v-") or "=" in n or n.endswith(".parquet") or n == "_SUCCESS")]
+    delete_paths(spark, [f"{path.rstrip('/')}/{n}" for n in old])

@@ -116,9 +116,7 @@ def _models(spark: SparkSession, w: Warehouse, root: str, full_refresh: bool, re
     write("metricflow_time_spine", lambda: core.metricflow_time_spine(built["dim_dates"]))
     write("fct_refunds", lambda: w.fct_refunds)
     write("rpt_daily_revenue", lambda: finance.rpt_daily_revenue(built["fct_orders"], built["fct_refunds"], built["dim_dates"]))
-    sessions = lambda cutoff: w.fct_sessions if cutoff is None else w.fct_sessions.where(
-        F.col("session_start") >= F.lit(cutoff).cast("timestamp_ntz"))
-    incremental("fct_sessions", sessions, "session_id", "session_start", marketing.SESSION_LOOKBACK)
+    incremental("fct_sessions", lambda cutoff: marketing.fct_sessions_since(w.stg, w.sessions_mapped, cutoff), "session_id", "session_start", marketing.SESSION_LOOKBACK)
     write("fct_attribution", lambda: marketing.fct_attribution(built["fct_orders"], built["fct_sessions"]))
     write("rpt_channel_performance", lambda: marketing.rpt_channel_performance(built["fct_sessions"], built["fct_attribution"]))
     return built

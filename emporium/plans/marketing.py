@@ -36,6 +36,35 @@ def fct_sessions_full(sessions_mapped: DataFrame, stg_events: DataFrame) -> Data
         (F.coalesce("purchase_count", zero) > 0).alias("converted")).select(*FCT_SESSION_COLUMNS)
 
 
+def fct_sessions_since(stg: dict[str, DataFrame], sessions_mapped: DataFrame, cutoff: str | None) -> DataFrame:
+    """The session fact of sessions starting at or after ``cutoff`` (text; None: all).
+
+    The filter is a literal on the staged sessions; events are cut down to
+    those sessions before they are counted.
+    """
+    if cutoff is None:
+        return fct_sessions_full(sessions_mapped, stg["events"])
+    late = F.col("session_start") >= F.lit(cutoff).cast("timestamp_ntz")
+    ids = stg["sessions"].where(late).select("session_id")
+    return fct_sessions_full(sessions_mapped.where(late), stg["events"].join(ids, "session_id", "left_semi"))
+
+
+def fct_sessions_changed(raw: dict[str, DataFrame], stg: dict[str, DataFrame], sessions_mapped: DataFrame,
+                         watermark: str | None) -> DataFrame:
+    """The session fact of sessions that something loaded after ``watermark`` (text; None: all) has a part in.
+
+    Newly loaded events and sessions name the sessions, by a filter on the
+    load time that reaches both scans; only the events of those sessions are
+    then counted. A session whose events came late is found however old it is.
+    """
+    if watermark is None:
+        return fct_sessions_full(sessions_mapped, stg["events"])
+    new = F.col("_etl_loaded_at") > F.lit(watermark).cast("timestamp_ntz")
+    touched = raw["events"].where(new).select("session_id").unionByName(raw["sessions"].where(new).select("session_id")).distinct()
+    return fct_sessions_full(sessions_mapped.join(touched, "session_id", "left_semi"),
+                             stg["events"].join(touched, "session_id", "left_semi"))
+
+
 def fct_attribution(fct_orders: DataFrame, fct_sessions: DataFrame, bucket: str = "7 days",
                     strategy: str = "range") -> DataFrame:  # M9
     """Last touch: per completed order, the customer's newest converted,

@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.operators.incremental import append_absent_frame, incremental_model, lookback_cutoff, upsert_frame
+from emporium.operators.incremental import append_absent_frame, lookback_cutoff, upsert_frame
 from emporium.operators.snapshot import snapshot_frame
 from emporium.operators.table_state import read_table
 from emporium.plans import core
 from emporium.plans.core import ORDER_LOOKBACK, fct_orders_since
-from emporium.plans.marketing import SESSION_LOOKBACK
+from emporium.plans.marketing import SESSION_LOOKBACK, fct_sessions_changed, fct_sessions_since
 from emporium.plans.warehouse import Warehouse
 from emporium.sources.seeds import land
 from emporium.sources.testdata import LOAD_1, LOAD_2
@@ -116,10 +116,18 @@ def fct_payments_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_sessions_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 after two runs with the 24 h lookback on session_start (trap T13)."""
-    target = warehouse(spark, sf_dir, "b1").fct_sessions
-    source = warehouse(spark, sf_dir).fct_sessions
-    return incremental_model(target, source, "session_id", "session_start", SESSION_LOOKBACK)
+    """M8 after two runs with the 24 h lookback on session_start (trap T13).
+
+    The cutoff is resolved first and becomes a literal on the sessions; the
+    batch is checkpointed, as it is both inserted and matched.
+    """
+    target, later = warehouse(spark, sf_dir, "b1").fct_sessions, warehouse(spark, sf_dir)
+    starts = warehouse(spark, sf_dir, "b1").stg["sessions"]
+    cutoff = lookback_cutoff(starts, "session_start", SESSION_LOOKBACK).select(F.col("__cutoff").cast("string")).first()[0]
+    if cutoff is None:
+        return target
+    batch = fct_sessions_since(later.stg, later.sessions_mapped, cutoff).checkpoint()
+    return upsert_frame(target, batch, "session_id")
 
 
 def _snapshot(table: str, key: str, cols: list[str]):
@@ -412,25 +420,75 @@ def fct_orders_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).drop(col)
 
 
-def snapshot_customers_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N1 through the table writer, the second run twice under one run id."""
-    from emporium.operators.snapshot import read_snapshot, snapshot_table
+def _table(spark: SparkSession, name: str) -> str:
+    """Path of a table of its own for one run of a query."""
     import uuid
 
     from emporium.session import shared_dir
 
-    path, src = shared_dir(spark, f"tables/snap_customers-{uuid.uuid4().hex[:10]}"), source(spark, sf_dir)
-    cols = ["user_id", "email", "name", "tier", "created_at", "updated_at"]
-    for state, at, run_id in (("b1", LOAD_1, "one"), ("b2", LOAD_2, "two"), ("b2", LOAD_2, "two")):
-        snapshot_table(spark, path, src.tables_cache(state)["users"].select(*cols), "user_id", "updated_at", at, run_id)
-    return read_snapshot(spark, path)
+    return shared_dir(spark, f"tables/{name}-{uuid.uuid4().hex[:10]}")
+
+
+def fct_orders_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 and O4 through the table writer: a first build of batch 1, then the weekly full refresh in its place."""
+    from emporium.operators.incremental import full_refresh_table, upsert_table
+    from emporium.plans.build import fact_layout
+
+    path, (col, expr) = _table(spark, "fct_orders"), fact_layout("fct_orders")
+    upsert_table(spark, path, warehouse(spark, sf_dir, "b1").fct_orders, "order_id", "order_updated_at", ORDER_LOOKBACK, col, expr)
+    full_refresh_table(warehouse(spark, sf_dir).fct_orders, path, col, expr, "order_id", "order_updated_at")
+    return read_table(spark, path).drop(col)
+
+
+def fct_sessions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 through the table writer: a first build, a run with the 24 h lookback, and the same run again."""
+    from emporium.operators.incremental import upsert_table
+    from emporium.plans.build import fact_layout
+
+    path, (col, expr) = _table(spark, "fct_sessions"), fact_layout("fct_sessions")
+    for state in ("b1", "current", "current"):
+        w = warehouse(spark, sf_dir, state)
+        upsert_table(spark, path, lambda cutoff, w=w: fct_sessions_since(w.stg, w.sessions_mapped, cutoff),
+                     "session_id", "session_start", SESSION_LOOKBACK, col, expr)
+    return read_table(spark, path).drop(col)
+
+
+def fct_sessions_captured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 by change capture: a first build, then only sessions that newly loaded events or sessions name, then nothing new."""
+    from emporium.operators.incremental import capture_table
+    from emporium.plans.build import fact_layout
+
+    path, (col, expr) = _table(spark, "fct_sessions"), fact_layout("fct_sessions")
+    for state, loaded in (("b1", LOAD_1), ("current", LOAD_2), ("current", LOAD_2)):
+        w = warehouse(spark, sf_dir, state)
+        capture_table(spark, path, lambda watermark, w=w: fct_sessions_changed(w.raw, w.stg, w.sessions_mapped, watermark),
+                      loaded, "session_id", "session_start", col, expr)
+    return read_table(spark, path).drop(col)
+
+
+def _snapshot_table(table: str, key: str, cols: list[str]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A history through the table writer, the second run twice under one run id."""
+        from emporium.operators.snapshot import read_snapshot, snapshot_table
+
+        path, src = _table(spark, f"snap_{table}"), source(spark, sf_dir)
+        for state, at, run_id in (("b1", LOAD_1, "one"), ("b2", LOAD_2, "two"), ("b2", LOAD_2, "two")):
+            snapshot_table(spark, path, src.tables_cache(state)[table].select(*cols), key, "updated_at", at, run_id)
+        return read_snapshot(spark, path)
+    run.__name__ = f"snapshot_{table}_table"
+    return run
 
 
 QUERIES.update({"stream_payments_append": stream_payments_append,
                 "stream_orders_upsert": stream_orders_upsert,
                 "fct_orders_incremental_rerun": fct_orders_incremental_rerun,
                 "fct_orders_schema_sync": fct_orders_schema_sync,
-                "snapshot_customers_table": snapshot_customers_table})
+                "fct_orders_full_refresh": fct_orders_full_refresh,
+                "fct_sessions_table": fct_sessions_table,
+                "fct_sessions_captured": fct_sessions_captured,
+                "snapshot_customers_table": _snapshot_table("users", "user_id", ["user_id", "email", "name", "tier", "created_at", "updated_at"]),
+                "snapshot_products_table": _snapshot_table("products", "product_id",
+                                                           ["product_id", "name", "category", "price_cents", "created_at", "updated_at"])})
 
 
 def attribution_asof_union(spark: SparkSession, sf_dir: str) -> DataFrame:
