@@ -13,9 +13,13 @@ a heavy key. Instead both sides are unioned onto one timeline and scanned:
    the best right row of each bucket; a running maximum over earlier buckets
    answers left rows whose own bucket holds no earlier right row.
 
-Buckets come from one of two strategies:
+Buckets come from one of three strategies:
 
-* ``"range"`` (default): the unioned rows are range-partitioned on
+* ``"auto"`` (default): rows of the most frequent key are counted first, from
+  the key columns alone. Where one task can sort them, a key is one bucket:
+  one shuffle of the timeline, no checkpoint, and step 2 falls away. Else it
+  is ``"range"``.
+* ``"range"``: the unioned rows are range-partitioned on
   (key, time, side, tie) and the partition number is the bucket. Range
   boundaries are drawn from a sample, so every (key, bucket) group holds at
   most about one partition's share of the rows - a key holding a third of the
@@ -31,14 +35,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporium.operators.sequence import time_bucket
+from emporium.operators.sequence import GROUP_ROWS, largest_group, time_bucket
 from emporium.session import ensure_checkpoint_dir
 
 
 def asof_latest(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
                 right_key: str, right_ts: str, right_tie: str, payload: list[str],
-                prefix: str = "", bucket: str = "7 days", strategy: str = "range",
-                num_buckets: int | None = None) -> DataFrame:
+                prefix: str = "", bucket: str = "7 days", strategy: str = "auto",
+                num_buckets: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Left rows plus ``payload`` columns (renamed ``prefix + name``) of the
     latest right row with right_ts <= left_ts and equal key; nulls if none.
 
@@ -58,6 +62,17 @@ def asof_latest(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
         F.lit(None).cast(pay_type).alias("__pay"), left_struct.alias("__left"))
     r = r.withColumn("__left", F.lit(None).cast(l.schema["__left"].dataType))
     u = r.unionByName(l)
+    best_of = lambda rows, best: rows.select(
+        *[F.col(f"__left.{c}").alias(c) for c in lcols], *[best.getField(c).alias(prefix + c) for c in payload])
+    if strategy == "auto":
+        keys = u.select("__k").where(F.col("__k").isNotNull())
+        strategy = "whole" if largest_group(keys) <= group_rows else "range"
+    if strategy == "whole":
+        # left rows without a key match nothing; a hash spreads them over the tasks
+        spread = F.when(F.col("__k").isNull(), F.xxhash64("__left")).otherwise(F.lit(0))
+        w = (Window.partitionBy("__k", "__b").orderBy("__t", "__side")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return best_of(u.withColumn("__b", spread).withColumn("__in", F.max("__pay").over(w)).where(F.col("__side") == 1), F.col("__in"))
     if strategy == "time":
         u = u.withColumn("__b", time_bucket("__t", bucket))
     elif strategy == "range":
@@ -84,7 +99,4 @@ def asof_latest(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_bucket.select("__k", "__b", F.max("__bmax").over(w_prev).alias("__prev"))
 
-    best = F.coalesce(F.col("__in"), F.col("__prev"))
-    return (scanned.join(carry, ["__k", "__b"], "left")
-            .select(*[F.col(f"__left.{c}").alias(c) for c in lcols],
-                    *[best.getField(c).alias(prefix + c) for c in payload]))
+    return best_of(scanned.join(carry, ["__k", "__b"], "left"), F.coalesce(F.col("__in"), F.col("__prev")))

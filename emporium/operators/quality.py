@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Currencies accepted by the valid_currency_code test.
 VALID_CURRENCIES = ["usd", "eur", "gbp", "cad", "aud", "jpy", "chf", "cny", "inr", "brl"]
@@ -70,38 +71,49 @@ def _result(model: str, column: str | None, test: str, failures_sql: str) -> str
             f"'failures', CAST({failures_sql} AS BIGINT))")
 
 
-def _model_sql(model: str, view: str, checks: list[Check], views: dict[str, str]) -> list[str]:
+def _key_sql(column: str, kind: T.DataType) -> str:
+    """A key as a (long, text) pair: whole numbers and days stay numbers, only other types are compared as text."""
+    col = _q(column)
+    if isinstance(kind, T.IntegralType):
+        return f"CAST({col} AS BIGINT), CAST(NULL AS STRING)"
+    if isinstance(kind, T.DateType):
+        return f"CAST(unix_date({col}) AS BIGINT), CAST(NULL AS STRING)"
+    return f"CAST(NULL AS BIGINT), CAST({col} AS STRING)"
+
+
+#: Row rules whose outcomes share one number.
+FLAGS = 60
+
+
+def _model_sql(model: str, view: str, checks: list[Check], views: dict[str, str], types: dict[str, T.DataType]) -> list[str]:
     """SQL blocks (model, column_name, test, failures) for the checks of one model.
 
-    All row rules and unique rules share one scan and one shuffle: every
-    input row is exploded into one record of 0/1 failure flags plus one
-    (column, value) record per unique rule, grouped by (column, value) with
-    partial aggregation map-side (the single flags group is combined in
-    every map task), then reduced by a global aggregate to one value per
-    check.
+    All row rules and unique rules share one scan and one shuffle. A row
+    becomes a record for each unique rule, its key, and one for its row
+    rules: the number whose bits are the rules it fails. Records are counted
+    by value; rows fail in few different ways, so a map task sends a handful
+    of counts for all row rules and one narrow record a key. A global
+    aggregate then makes one value of each check.
     """
     out = []
     row = [c for c in checks if c.test in ROW_RULES or c.test == "row_count_between"]
     uniq = [c for c in checks if c.test == "unique"]
     if row or uniq:
-        nflags = len(row)
         recs = []
-        if row:
-            flags = ", ".join(
-                f"'__f{i}', " + ("1" if c.test == "row_count_between"
-                                 else f"CASE WHEN {_fail_sql(c)} THEN 1 ELSE 0 END")
-                for i, c in enumerate(row))
-            recs.append(f"named_struct('c', '__rows__', 'v', CAST(NULL AS STRING), {flags})")
-        nulls = "".join(f", '__f{i}', CAST(NULL AS INT)" for i in range(nflags))
-        recs += [f"named_struct('c', {_lit(c.column)}, 'v', CAST({_q(c.column)} AS STRING){nulls})"
-                 for c in uniq]
-        sums = "".join(f", sum(__f{i}) AS __s{i}" for i in range(nflags))
-        grouped = (f"SELECT c, v, count(1) AS n{sums} FROM "
-                   f"(SELECT r.* FROM (SELECT explode(array({', '.join(recs)})) AS r FROM {view})) "
-                   f"WHERE c = '__rows__' OR v IS NOT NULL GROUP BY c, v")
-        vals = [f"max(CASE WHEN c = '__rows__' THEN __s{i} END) AS __r{i}" for i in range(nflags)]
-        vals += [f"count(CASE WHEN c = {_lit(c.column)} AND n > 1 THEN 1 END) AS __u{j}"
-                 for j, c in enumerate(uniq)]
+        for w in range(0, len(row), FLAGS):
+            bits = [f"CASE WHEN {_fail_sql(c)} THEN {1 << i}L ELSE 0L END" for i, c in enumerate(row[w:w + FLAGS]) if c.test != "row_count_between"]
+            recs.append(f"struct({-1 - w // FLAGS} AS c, {' + '.join(bits) or '0L'} AS k, CAST(NULL AS STRING) AS s)")
+        for j, c in enumerate(uniq):
+            number, text = _key_sql(c.column, types[c.column.lower()]).split(", ", 1)
+            recs.append(f"struct({j} AS c, {number} AS k, {text} AS s)")
+        grouped = (f"SELECT c, k, s, count(1) AS n FROM (SELECT r.* FROM (SELECT explode(array({', '.join(recs)})) AS r FROM {view})) "
+                   f"WHERE c < 0 OR k IS NOT NULL OR s IS NOT NULL GROUP BY c, k, s")
+        vals = []
+        for i, c in enumerate(row):
+            word, bit = divmod(i, FLAGS)
+            fails = "" if c.test == "row_count_between" else f" AND (k & {1 << bit}L) <> 0"
+            vals.append(f"sum(CASE WHEN c = {-1 - word}{fails} THEN n END) AS __r{i}")
+        vals += [f"count(CASE WHEN c = {j} AND n > 1 THEN 1 END) AS __u{j}" for j in range(len(uniq))]
         results = []
         for i, c in enumerate(row):
             n = f"coalesce(__r{i}, 0)"
@@ -140,6 +152,7 @@ def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFra
     spark = models[needed[0]].sparkSession
     tag = uuid.uuid4().hex[:12]
     views = {m: f"__quality_{tag}_{i}" for i, m in enumerate(needed)}
+    kinds = {m: {f.name.lower(): f.dataType for f in models[m].schema.fields} for m in needed}
     for m, v in views.items():
         # a projection of its own: dropping a view also drops what is cached for its plan,
         # and the frames that callers hand in may be cached
@@ -147,7 +160,7 @@ def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFra
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    blocks = [b for m, cs in by_model.items() for b in _model_sql(m, views[m], cs, views)]
+    blocks = [b for m, cs in by_model.items() for b in _model_sql(m, views[m], cs, views, kinds[m])]
     try:
         out = spark.sql(
             "SELECT model, column_name, test, failures, "

@@ -5,6 +5,10 @@ key to one task; if one key holds a third of the data, so does that task. We
 split each key's timeline into time buckets, take the neighbour inside the
 bucket with a window over (key, bucket), and resolve bucket edges from a
 per-bucket aggregate that is tiny (one row per key and bucket).
+
+Splitting costs a write of the rows, so by default the rows of the most
+frequent key are counted first, from the key columns alone; where one task
+can sort them, the plain window is the plan, and nothing else is run.
 """
 
 from __future__ import annotations
@@ -13,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of one key that are left to one task; a sort of that many spills at worst. A key with more is split.
+GROUP_ROWS = 2_000_000
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
 
 
@@ -36,9 +43,14 @@ def _bucket_id(ts: str, width: str) -> Column:
     return time_bucket(ts, width)
 
 
+def largest_group(keys: DataFrame) -> int:
+    """Rows of the most frequent value of ``keys``: reads these columns only, and counts before it shuffles."""
+    return keys.groupBy(*keys.columns).count().agg(F.max("count")).first()[0] or 0
+
+
 def next_in_group(df: DataFrame, keys: list[str], ts: str, tie: str,
-                  bucket: str = "1 hour", out: str = "next_ts", strategy: str = "range",
-                  num_buckets: int | None = None) -> DataFrame:
+                  bucket: str = "1 hour", out: str = "next_ts", strategy: str = "auto",
+                  num_buckets: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add ``out`` = the ``ts`` of the next row of the same ``keys`` ordered by
     (ts, tie); null for the last row.
 
@@ -46,8 +58,14 @@ def next_in_group(df: DataFrame, keys: list[str], ts: str, tie: str,
     (keys, ts, tie), frozen by a reliable checkpoint: every (key, bucket)
     group is at most one partition's share, however the key's rows spread in
     time. ``strategy="time"`` uses fixed-width time buckets instead.
+    ``strategy="auto"`` (default) is ``"range"`` if some key has more than
+    ``group_rows`` rows and a plain window otherwise.
     """
     b = "__bucket"
+    if strategy == "auto":
+        if largest_group(df.select(*keys)) <= group_rows:
+            return df.withColumn(out, F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts, tie)))
+        strategy = "range"
     if strategy == "time":
         d = df.withColumn(b, _bucket_id(ts, bucket))
     elif strategy == "range":

@@ -66,7 +66,7 @@ def fct_sessions_changed(raw: dict[str, DataFrame], stg: dict[str, DataFrame], s
 
 
 def fct_attribution(fct_orders: DataFrame, fct_sessions: DataFrame, bucket: str = "7 days",
-                    strategy: str = "range") -> DataFrame:  # M9
+                    strategy: str = "auto") -> DataFrame:  # M9
     """Last touch: per completed order, the customer's newest converted,
     identified session starting at or before the order (ties: highest
     session_id). Orders without one keep null attribution columns."""

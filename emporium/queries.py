@@ -241,7 +241,7 @@ def _freshness(now: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from emporium.operators.freshness import source_freshness as fresh
 
-        return fresh(source(spark, sf_dir).tables_cache("current"), now)
+        return fresh(source(spark, sf_dir).load_times("current"), now)
     return run
 
 

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
+import re
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -237,3 +239,24 @@ def test_snapshot_table_all_keys_deleted(spark, scratch):
     snapshot_table(spark, path, empty, "k", "updated_at", "2024-02-01 00:00:00", "r2")
     rows = [(r.k, r.valid_to) for r in read_snapshot(spark, path).collect()]
     assert rows == [(1, T(2024, 2, 1))]
+
+
+@pytest.mark.parametrize("group_rows", [5, 10 ** 6])
+def test_frequent_keys_are_split_and_others_are_not(spark, group_rows):
+    """By default keys are counted first; either plan is exact, and without a frequent key none of the rows is written."""
+    rnd = random.Random(13)
+    base = T(2024, 1, 1)
+    sessions = [(f"S{i:04d}", rnd.choice([1, 2, 3, None]), base + dt.timedelta(hours=rnd.randint(0, 300))) for i in range(200)]
+    orders = [(i, rnd.choice([1, 2, 4, None]), base + dt.timedelta(hours=rnd.randint(0, 300))) for i in range(200)]
+    o = spark.createDataFrame(orders, "order_id long, customer_id long, order_date timestamp_ntz")
+    s = spark.createDataFrame(sessions, "session_id string, user_id long, session_start timestamp_ntz")
+    out = asof_latest(o, s, "customer_id", "order_date", "user_id", "session_start", "session_id", ["session_id"],
+                      prefix="attribution_", group_rows=group_rows)
+    assert {r.order_id: r.attribution_session_id for r in out.collect()} == _brute_asof(orders, sessions)
+    w = Window.partitionBy("user_id").orderBy("session_start", "session_id")
+    want = {r.session_id: r.n for r in s.select("session_id", F.lead("session_start").over(w).alias("n")).collect()}
+    nxt = next_in_group(s, ["user_id"], "session_start", "session_id", group_rows=group_rows)
+    assert {r.session_id: r.next_ts for r in nxt.collect()} == want
+    for df in (out, nxt):
+        written = re.search(r"ExistingRDD\[[^\]]*__b", df._jdf.queryExecution().toString())
+        assert (written is not None) == (group_rows == 5)
