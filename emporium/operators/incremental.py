@@ -12,6 +12,7 @@ Two layers:
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,7 +75,7 @@ def incremental_model(target: DataFrame | None, source: DataFrame, key: str, ts_
 # ------------------------------------------------------------------ tables
 def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = None,
                        partition_expr: Column | None = None, key: str | None = None,
-                       ts_col: str | None = None) -> None:
+                       ts_col: str | None = None, stamp: tuple[str, int] | None = None) -> None:
     """O3/O4: rebuild the table from scratch and describe it in its state file.
 
     The rows go to a fresh version folder; saving the state, which names that
@@ -83,11 +84,13 @@ def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = Non
     The folders of older versions are deleted after the switch, so a reader
     that planned on one of them before has to plan again, as after any
     overwrite. A table of no rows is a table too: its state has the schema.
+    ``stamp`` is the stream and micro-batch that the rows come from.
     """
     if partition_col is not None and partition_col not in df.columns:
         df = df.withColumn(partition_col, partition_expr.cast("string"))
     spark, version = df.sparkSession, table_state.new_version()
     state = table_state.TableState(table_state.schema_of(df), partition_col, key, ts_col, version=version)
+    _stamp(state, stamp)
     files = table_state.location(path, state)
     try:
         (df.write.partitionBy(partition_col) if partition_col else df.write).parquet(files)
@@ -102,6 +105,18 @@ def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = Non
     table_state.drop_other_versions(spark, path, version)
 
 
+def _stamp(state: table_state.TableState, stamp: tuple[str, int] | None) -> None:
+    """Note a micro-batch as written; saved with the state that completes the write."""
+    if stamp is not None:
+        state.batches = {**state.batches, stamp[0]: stamp[1]}
+
+
+def already_written(spark: SparkSession, path: str, stamp: tuple[str, int]) -> bool:
+    """Whether the table holds this micro-batch, or a later one, of the stream: one look at the state, none at the data."""
+    state = table_state.load(spark, path)
+    return state is not None and state.batches.get(stamp[0], -1) >= stamp[1]
+
+
 def _opened(spark: SparkSession, path: str, key: str, ts_col: str | None, partition_col: str) -> table_state.TableState:
     """State of a table to be changed; what is missing in it, or was being changed by a run that died, is measured."""
     state = table_state.load(spark, path)
@@ -127,7 +142,7 @@ def _same_layout(old: T.StructType, new: DataFrame) -> bool:
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[str | None], DataFrame], key: str, ts_col: str,
-                 lookback: str, partition_col: str, partition_expr: Column) -> dict:
+                 lookback: str, partition_col: str, partition_expr: Column, stamp: tuple[str, int] | None = None) -> dict:
     """Apply one delete+insert run to a partitioned Parquet table.
 
     ``source`` is the model, or a function of the cutoff (text) that builds
@@ -152,11 +167,14 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     """
     whole = source if callable(source) else (lambda cutoff: source if cutoff is None else source.where(F.col(ts_col) >= F.lit(cutoff).cast("timestamp_ntz")))
     if not table_state.table_exists(spark, path):
-        full_refresh_table(whole(None), path, partition_col, partition_expr, key, ts_col)
+        full_refresh_table(whole(None), path, partition_col, partition_expr, key, ts_col, stamp)
         return {"mode": "full", "touched": None}
     state = _opened(spark, path, key, ts_col, partition_col)
+    _stamp(state, stamp)
     newest = state.newest()
     if newest is None and not state.pending:
+        if stamp is not None:
+            table_state.save(spark, path, state)
         return {"mode": "incremental", "touched": [], "cutoff": None}
     cutoff = None
     if newest is not None:
@@ -169,11 +187,20 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     return {"mode": "incremental", "cutoff": cutoff} | done
 
 
+def _before(spark: SparkSession, path: str, state: table_state.TableState, pending: dict) -> None:
+    """Note what a run is about to change, with the micro-batches that are complete by now and not the one being written."""
+    done = table_state.load(spark, path)
+    state.pending = pending
+    table_state.save(spark, path, dataclasses.replace(state, batches=done.batches if done else {}))
+
+
 def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch: DataFrame, key: str, ts_col: str | None,
            partition_col: str, partition_expr: Column, cutoff: str | None) -> dict:
     """Steps 2 to 4 of :func:`upsert_table`: replace the rows of the batch's keys by the batch."""
     batch = batch.withColumn(partition_col, partition_expr.cast("string")).checkpoint()
     if batch.isEmpty():
+        if not state.pending:
+            table_state.save(spark, path, state)
         return {"touched": []}
     target = table_state.read_table(spark, path)
     keys, name = batch.agg(F.min(key), F.max(key)).first(), table_state.partition_name(partition_col)
@@ -186,8 +213,7 @@ def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch:
     rewritten = (sync_columns(target.where(table_state.in_partitions(partition_col, touched)), batch)
                  .join(batch.select(key), key, "left_anti")
                  .unionByName(batch)).checkpoint()
-    state.pending = {"cutoff": cutoff, "partitions": touched}
-    table_state.save(spark, path, state)
+    _before(spark, path, state, {"cutoff": cutoff, "partitions": touched})
     files = table_state.location(path, state)
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(files))
@@ -226,7 +252,7 @@ def capture_table(spark: SparkSession, path: str, changed: Callable[[str | None]
 
 
 def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key: str,
-                        partition_col: str, partition_expr: Column) -> dict:
+                        partition_col: str, partition_expr: Column, stamp: tuple[str, int] | None = None) -> dict:
     """O8: append source rows whose key is absent; existing rows never change.
 
     Keys are looked up only in partitions whose key range meets the source's,
@@ -235,9 +261,10 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     the same rows; a rerun finds them present and appends nothing.
     """
     if not table_state.table_exists(spark, path):
-        full_refresh_table(source, path, partition_col, partition_expr, key)
+        full_refresh_table(source, path, partition_col, partition_expr, key, stamp=stamp)
         return {"mode": "full"}
     state = _opened(spark, path, key, None, partition_col)
+    _stamp(state, stamp)
     keys = source.agg(F.min(key), F.max(key)).first()
     target = table_state.read_table(spark, path)
     near = target.where(table_state.in_partitions(partition_col, state.overlapping(*keys)))
@@ -249,11 +276,12 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     new = new.select(*columns, *[F.col(f.name) for f in added]).checkpoint()
     found = table_state.measure(new, partition_col, key, None)
     if not found:
+        if stamp is not None and not state.pending:
+            table_state.save(spark, path, state)
         return {"mode": "incremental"}
-    state.pending = {"cutoff": None, "partitions": sorted(found)}
     if added:
         state.schema = table_state.schema_of(new)
-    table_state.save(spark, path, state)
+    _before(spark, path, state, {"cutoff": None, "partitions": sorted(found)})
     new.write.mode("append").partitionBy(partition_col).parquet(table_state.location(path, state))
     for name, (_, a, z) in found.items():
         state.widen(name, a, z)

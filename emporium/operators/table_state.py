@@ -15,6 +15,7 @@
 * ``pending``: what a run is about to change. It is written before the data;
   if a run dies in between, the next one measures those partitions anew and
   goes back to the dead run's cutoff.
+* ``buckets``: into how many hash buckets of ``key`` the files are dealt.
 * ``watermark``: newest load time that a run by change capture has taken in.
 * ``deltas``, ``closing`` and ``rows``: a snapshot's parts of newer open rows,
   its parts of closed rows whose versions may still lie among the open ones
@@ -50,6 +51,7 @@ class TableState:
     partitions: dict = field(default_factory=dict)   # value -> [newest ts, least key, largest key], as text
     pending: dict | None = None                      # {"cutoff": text or None, "partitions": [...]}
     version: str | None = None
+    buckets: int | None = None                       # hash buckets of ``key``, for tables of operators/bucketed.py
     watermark: str | None = None
     deltas: list = field(default_factory=list)
     closing: list | None = None

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import audit
+from emporium.operators.bucketed import read_bucketed, write_bucketed
 from emporium.operators.incremental import append_absent_table, full_refresh_table, upsert_table
 from emporium.operators.freshness import source_freshness
 from emporium.operators.quality import quality_report
@@ -42,13 +43,18 @@ def fact_layout(name: str) -> tuple[str, Column]:
 
 
 def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev",
-          full_refresh: bool = False, now: str | None = None, run_id: str | None = None) -> dict:
+          full_refresh: bool = False, now: str | None = None, run_id: str | None = None, buckets: int | None = None) -> dict:
     """One run: freshness, models, snapshots, all checks, and always an audit row.
 
     ``now`` is the time freshness is judged at and hard deletes are closed at
     (default: the clock). A stale source is reported and does not stop the
     run. If a step raises, its result is ``error``, what depends on it is not
     tried, and the audit row is written before the error goes on.
+
+    With ``buckets`` the staged orders, items and payments are landed first
+    in that many hash buckets of the order id. The order fact, the checks of
+    orders with payments and the search for orphaned items then read them
+    without a shuffle; without, each of these shuffles all three.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     now, run_id = now or started.strftime("%Y-%m-%d %H:%M:%S"), run_id or uuid.uuid4().hex
@@ -57,6 +63,8 @@ def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev"
         for r in source_freshness(w.raw, now).collect():  # a row a raw table
             results.append({"resource_type": "freshness", "name": r.table_name,
                             "status": {"error": "warn"}.get(r.status, r.status)})
+        if buckets:
+            _step(results, "landing", "order_tables", lambda: land_order_tables(w, f"{root}/landed", buckets))
         checked = _models(spark, w, root, full_refresh, results)
         for name, table, key, columns in SNAPSHOTS:
             _step(results, "snapshot", name, lambda t=table, k=key, c=columns, n=name: snapshot_table(
@@ -70,6 +78,19 @@ def build(spark: SparkSession, w: Warehouse, root: str, target_name: str = "dev"
             "failed": [r["name"] for r in results if r["status"] == "fail"]}
 
 
+#: Staged tables that meet on the order id.
+ORDER_TABLES = ("orders", "order_items", "payments")
+
+
+def land_order_tables(w: Warehouse, root: str, buckets: int) -> None:
+    """Write the staged order tables in buckets of the order id, and let the warehouse's models read them from there."""
+    for name in ORDER_TABLES:
+        write_bucketed(w.stg[name], f"{root}/{name}", "order_id", buckets)
+    w.stg = {**{name: w.stg[name] for name in w.raw if name not in ORDER_TABLES},
+             **{name: read_bucketed(w.spark, f"{root}/{name}") for name in ORDER_TABLES}}
+    w.forget()
+
+
 #: Snapshot, raw table, key and tracked columns.
 SNAPSHOTS = (
     ("snap_customers", "users", "user_id", ("user_id", "email", "name", "tier", "created_at", "updated_at")),

@@ -27,6 +27,11 @@ class Warehouse:
         self.raw = raw
         self.calendar = calendar
 
+    def forget(self) -> None:
+        """Plan every model anew, from the staged tables as they are now."""
+        for name in self.MODELS + ("outside_calendar",):
+            self.__dict__.pop(name, None)
+
     # staging (views)
     @cached_property
     def stg(self) -> dict[str, DataFrame]:

@@ -440,6 +440,15 @@ def fct_orders_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).drop(col)
 
 
+def fct_orders_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 over orders, items and payments landed in buckets of the order id: joined and summed without a shuffle."""
+    from emporium.plans.build import land_order_tables
+
+    w = warehouse(spark, sf_dir)
+    land_order_tables(w, _table(spark, "landed"), 16)
+    return w.fct_orders
+
+
 def fct_sessions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 through the table writer: a first build, a run with the 24 h lookback, and the same run again."""
     from emporium.operators.incremental import upsert_table
@@ -484,6 +493,7 @@ QUERIES.update({"stream_payments_append": stream_payments_append,
                 "fct_orders_incremental_rerun": fct_orders_incremental_rerun,
                 "fct_orders_schema_sync": fct_orders_schema_sync,
                 "fct_orders_full_refresh": fct_orders_full_refresh,
+                "fct_orders_bucketed": fct_orders_bucketed,
                 "fct_sessions_table": fct_sessions_table,
                 "fct_sessions_captured": fct_sessions_captured,
                 "snapshot_customers_table": _snapshot_table("users", "user_id", ["user_id", "email", "name", "tier", "created_at", "updated_at"]),

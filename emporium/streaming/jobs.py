@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.functions.macros import cents_to_dollars, instant_wall_clock, wall_clock_instant
-from emporium.operators.incremental import append_absent_table, upsert_table
+from emporium.operators.incremental import already_written, append_absent_table, upsert_table
 from emporium.operators.table_state import table_exists
 from emporium.sources.testdata import DRIVER_SCHEMAS
 
@@ -86,23 +86,40 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append
     q.awaitTermination()
 
 
-def orders_upsert_sink(spark: SparkSession, table_path: str, to_fact):  # ST2
+def _stamp(batch: DataFrame, batch_id: int, stream: str | None) -> tuple[str, int] | None:
+    """Name of the stream (its query id, which a restart from the same checkpoint keeps) and number of the micro-batch."""
+    name = stream or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return (name, batch_id) if name else None
+
+
+def orders_upsert_sink(spark: SparkSession, table_path: str, to_fact, stream: str | None = None):  # ST2
     """``foreachBatch`` handler: ``to_fact(batch_df)`` builds order-fact rows
-    from the micro-batch; they are upserted with the lookback. Replaying a
-    batch after a failure rewrites the same partitions with the same rows."""
+    from the micro-batch; they are upserted with the lookback.
+
+    The table's state records the last micro-batch of each stream in the same
+    save that completes its write. A batch replayed after that is skipped
+    without a look at the batch or the table; one replayed after a crash
+    before it rewrites the same partitions with the same rows."""
     def handle(batch: DataFrame, batch_id: int) -> None:
+        stamp = _stamp(batch, batch_id, stream)
+        if stamp is not None and already_written(spark, table_path, stamp):
+            return
         fact = to_fact(batch)
         if not table_exists(spark, table_path) and fact.isEmpty():
             return  # an empty table would take no rows later: there is no newest order to look back from
         upsert_table(spark, table_path, fact, "order_id", "order_updated_at", ORDER_LOOKBACK,
-                     "order_month", F.date_format("order_date", "yyyy-MM"))
+                     "order_month", F.date_format("order_date", "yyyy-MM"), stamp=stamp)
     return handle
 
 
-def payments_append_sink(spark: SparkSession, table_path: str):  # ST3
+def payments_append_sink(spark: SparkSession, table_path: str, stream: str | None = None):  # ST3
+    """``foreachBatch`` handler: payments whose id is absent are appended; replayed micro-batches as in :func:`orders_upsert_sink`."""
     def handle(batch: DataFrame, batch_id: int) -> None:
+        stamp = _stamp(batch, batch_id, stream)
+        if stamp is not None and already_written(spark, table_path, stamp):
+            return
         append_absent_table(spark, table_path, batch, "payment_id", "created_month",
-                            F.date_format("created_at", "yyyy-MM"))
+                            F.date_format("created_at", "yyyy-MM"), stamp=stamp)
     return handle
 
 
