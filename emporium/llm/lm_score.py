@@ -72,7 +72,7 @@ def _ask(table: pa.Table, word_bits: int, pair_bits: int) -> pa.Table:
         u, n = _distinct(keys, counted)
         edges = C.by_shard(u, bits)
         for s, (a, b) in enumerate(zip(edges, edges[1:])):
-            if b > a or kind == 0:  # every block asks every unigram shard, which tells it the shard's part of N and V
+            if b > a:
                 rows.append(((kind << word_bits) + s, block, C.pack_parts(C.pack_sorted(u[a:b]), C.pack(n[a:b].astype(np.uint32)))))
     return C.messages(rows)
 
@@ -84,16 +84,17 @@ def _answer(table: pa.Table, word_bits: int) -> pa.Table:
     u, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(inverse, np.concatenate([C.unpack(p[1], np.uint32) for p in parts]), len(u)).astype(np.uint64)
     known = total[u != START] if got and got[0][0] < 1 << word_bits else total[:0]
-    sums = C.pack(np.array([known.sum(), np.count_nonzero(known)], np.uint64))
+    # the shard's part of N and V goes to one of the blocks that asked
+    sums = [C.pack(np.array(x, np.uint64)) for x in ([known.sum(), np.count_nonzero(known)], [0, 0])]
     bounds = np.cumsum([0] + [len(k) for k in keys])
-    return C.messages([(s, b, C.pack_parts(C.pack(total[inverse[a:z]]), sums)) for (s, b, _), a, z in zip(got, bounds, bounds[1:])])
+    return C.messages([(s, b, C.pack_parts(C.pack(total[inverse[a:z]]), sums[i > 0])) for i, ((s, b, _), a, z) in enumerate(zip(got, bounds, bounds[1:]))])
 
 
 TABLE = ("block int, ids binary, held_out binary, first binary, pairs binary, ones binary, starts long, train_tokens long, vocabulary long")
 
 
 def _look_up(table: pa.Table, replies: pa.Table, word_bits: int, schema: pa.Schema) -> pa.Table:
-    """Counts of every token of a block, as one row."""
+    """Counts of every token of a block, as one row; ``train_tokens`` and ``vocabulary`` are parts that add up over all rows."""
     if not table.num_rows:
         return schema.empty_table()
     table = C.ordered_block(table)
@@ -115,11 +116,11 @@ def _look_up(table: pa.Table, replies: pa.Table, word_bits: int, schema: pa.Sche
 class _Block:
     """One row of the table of counts: per token the counts of itself, of its context and of both."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, n: int, v: int):
         flags = C.unpack(row["held_out"], np.uint8)
         self.ids, self.held_out, self.null = C.unpack(row["ids"], np.int64), flags & 1 == 1, flags & 2 == 2
         self.first, self.pair, self.one = (C.unpack(row[k], t) for k, t in (("first", np.int64), ("pairs", np.uint64), ("ones", np.uint64)))
-        self.n, self.v = row["train_tokens"], row["vocabulary"]
+        self.n, self.v = n, v
         self.pair, self.one = self.pair.astype(np.float64), self.one.astype(np.float64)
         self.context = np.concatenate([[0.0], self.one[:-1]])
         self.context[self.first[:-1]] = row["starts"]
@@ -139,15 +140,15 @@ def _rows(batches):
             yield {n: batch.column(n)[k].as_py() for n in names}
 
 
-def _histogram(batches):
+def _histogram(batches, n: int):
     """Training tokens of each bucket and grid cell, each token out of its own counts."""
     for row in _rows(batches):
-        b = _Block(row)
+        b = _Block(row, n, 0)
         token = np.repeat(~b.held_out, np.diff(b.first))
         bucket, x1, x2 = (a[token] for a in b.estimates(1))
         cells = [np.where(x < FLOOR, 0, 1 + np.rint((np.log(np.maximum(x, FLOOR)) - np.log(FLOOR)) * STEPS)).astype(np.int64) for x in (x1, x2)]
-        code, n = np.unique((bucket << 32) | (cells[0] << 16) | cells[1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
+        code, times = np.unique((bucket << 32) | (cells[0] << 16) | cells[1], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(times.astype(np.int64))], names=["code", "n"])
 
 
 def learn_weights(code: np.ndarray, n: np.ndarray, vocabulary: int, rounds: int = 200, least: float = 1e-4) -> np.ndarray:
@@ -184,9 +185,9 @@ def is_held_out(doc_id: Column) -> Column:
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scores(batches, weights: np.ndarray):
+def _scores(batches, weights: np.ndarray, n: int, v: int):
     for row in _rows(batches):
-        b = _Block(row)
+        b = _Block(row, n, v)
         bucket, x1, x2 = b.estimates(0)
         w = weights[bucket]
         logs = [np.log10((b.one + 1) / (b.n + b.v + 1)), np.log10(w[:, 0] * x1 + w[:, 1] * x2 + w[:, 2] / (b.v + 1))]
@@ -223,10 +224,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = to_arrow_schema(StructType.fromDDL(TABLE))
     counts = C.written(placed.cogroup(answers.groupBy("block")).applyInArrow(C.of_groups(lambda a, b: _look_up(a, b, word_bits, schema)), TABLE), "lm-counts")
-    grid = counts.mapInArrow(C.of_batches(_histogram), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # bounded by the grid
-    first = counts.select("vocabulary").first()
-    weights = learn_weights(grid.column("code").to_numpy(), grid.column("n").to_numpy().astype(float), first[0] if first else 0)
-    return counts.mapInArrow(C.of_batches(lambda batches: _scores(batches, weights)), SCORES)
+    n, v = (x or 0 for x in counts.agg(F.sum("train_tokens"), F.sum("vocabulary")).first())
+    grid = counts.mapInArrow(C.of_batches(lambda batches: _histogram(batches, n)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # bounded by the grid
+    weights = learn_weights(grid.column("code").to_numpy(), grid.column("n").to_numpy().astype(float), v)
+    return counts.mapInArrow(C.of_batches(lambda batches: _scores(batches, weights, n, v)), SCORES)
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from emporium.llm import fill_middle, importance, labelled, language_id
+from emporium.llm import fill_middle, importance, labelled, language_id, lm_score, quality_trees, toxicity, warc_zip
 from emporium.llm import common as C
 from test_llm_operators import SCHEMA, SF, SF_SMALL, docs, key, lower, none, rows  # noqa: F401
 
@@ -244,3 +244,113 @@ def test_fill_in_middle_sql(spark):
 def test_reruns_agree(spark, op):
     once, again = (sorted(map(str, op(spark, SF_SMALL).collect())) for _ in range(2))
     assert once == again and len(once) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+# --- earlier operators: what had no brute force ----------------------------------------
+
+def test_interpolated_scores(docs, rows):  # noqa: F811
+    """Scores from plain counts: weights learned on each training token taken out of its own counts, then one mixture a token."""
+    tokens = lambda t: re.findall(r"[^\x20\x09-\x0D]+", lower(t or "")) + [None]
+    held = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2
+    one, two, context = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, t, *_ in rows:
+        if not held(i):
+            s = tokens(t)
+            one.update(s), two.update(zip([0, *s], s)), context.update([0, *s[:-1]])
+    n, v = sum(one.values()), len(one)
+    steps, floor = lm_score.STEPS, lm_score.FLOOR
+
+    def estimates(h, w, less):
+        # the end of a text is a context of nothing; every other token is one as often as it occurs
+        c = max((context[0] if h == 0 else one[h]) - less, 0)
+        bucket = min(int(math.log2(c)) + 1, lm_score.BUCKETS - 1) if c else 0
+        return bucket, (max(two[h, w] - less, 0) / c if c else 0.0), max(one[w] - less, 0) / max(n - less, 1)
+    cell = lambda x: 0 if x < floor else 1 + round((math.log(x) - math.log(floor)) * steps)
+    seen = collections.Counter()
+    for i, t, *_ in rows:
+        if not held(i):
+            s = tokens(t)
+            for h, w in zip([0, *s], s):
+                b, x1, x2 = estimates(h, w, 1)
+                seen[(b << 32) | (cell(x1) << 16) | cell(x2)] += 1
+    weights = lm_score.learn_weights(np.array(list(seen)), np.array(list(seen.values()), float), v)
+    want = []
+    for i, t, *_ in rows:
+        s, total = tokens(t), 0.0
+        for h, w in zip([0, *s], s):
+            b, x1, x2 = estimates(h, w, 0)
+            total += math.log10(weights[b] @ [x1, x2, 1 / (v + 1)])
+        want.append((i, len(s), total))
+    got = lm_score.score_documents(docs, block_bytes=4096, shard_entries=64).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[2], 6))
+    for a, b in zip(sorted(((r.id, r.n_tokens, r.score) for r in got), key=order), sorted(want, key=order)):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9 * max(1, abs(b[2]))
+
+
+def test_first_split_by_exhaustive_search():
+    """A single stump takes the split of highest gain among all features and all bounds between bins."""
+    g = np.random.default_rng(6)
+    x = g.integers(0, 6, (60, 3)).astype(float)
+    y = (x[:, 1] + g.normal(size=60) > 3).astype(float)
+    forest = quality_trees.fit(x, y, trees=1, depth=1, rate=0.5, bins=32, least=5, pull=1.0)
+    p = y.mean()
+    gain = lambda s: (y - p)[s].sum() ** 2 / (p * (1 - p) * s.sum() + 1.0)
+    best = max(((gain(x[:, f] <= cut) + gain(x[:, f] > cut), f, cut) for f in range(3) for cut in range(5)
+                if 5 <= (x[:, f] <= cut).sum() <= 55))
+    root = forest.roots[0]
+    left = x[:, best[1]] <= best[2]
+    assert forest.feature[root] == best[1] and ((x[:, best[1]] <= forest.threshold[root]) == left).all()
+    leaf = lambda s: 0.5 * (y - p)[s].sum() / (p * (1 - p) * s.sum() + 1.0)
+    want = np.where(left, leaf(left), leaf(~left)) + math.log(p / (1 - p))
+    assert np.allclose(forest.raw(x), want)
+
+
+def test_kneser_ney_by_dictionaries():
+    """Log ratios of two models with a shared backoff, from counts in dictionaries."""
+    words = [b"abab", b"abc", b"ba", b"cab", b"zz"]
+    counts = np.array([[3, 1], [2, 0], [0, 4], [1, 1], [0, 2]])
+    order, d = 3, 0.75
+    grams = collections.defaultdict(lambda: np.zeros(2))
+    for w, n in zip(words, counts):
+        padded = b"\x02\x02" + w + b"\x03"
+        for k in range(2, len(padded)):
+            grams[padded[k - 2:k + 1]] += n
+    seen = [g for g in grams]
+
+    def shared(g, k):
+        """Probability of the last byte of ``g`` after the ``k - 1`` before it, by histories one byte longer."""
+        if k == 0:
+            return 1 / 256
+        longer = {x[-k - 1:] for x in seen} if k < order else set(seen)
+        lower = collections.Counter(x[-k:] for x in longer)
+        same = {x: n for x, n in lower.items() if x[:-1] == g[-k:-1]}
+        rest = shared(g, k - 1)
+        if not same:
+            return rest
+        return (max(lower.get(g[-k:], 0) - d, 0) + d * len(same) * rest) / sum(same.values())
+
+    def ratio(g):
+        p = []
+        for k in (0, 1):
+            same = {x: c[k] for x, c in grams.items() if x[:-1] == g[:-1] and c[k]}
+            total = sum(same.values())
+            p.append((max(same.get(g, 0) - d, 0) + d * len(same) * shared(g, order - 1)) / total if total else shared(g, order - 1))
+        return math.log(p[1] / p[0])
+    model = toxicity.fit(words, counts, order=order, discount=d)
+    code = lambda g: sum(c << (8 * i) for i, c in enumerate(reversed(g)))
+    assert model.keys.tolist() == sorted(map(code, seen))
+    got = dict(zip(model.keys.tolist(), model.ratios))
+    assert all(abs(got[code(g)] - ratio(g)) < 1e-5 for g in seen)
+
+
+def test_archives_are_read_by_stated_tasks(spark, monkeypatch):
+    """As many reading tasks as the archives have stretches of bytes, however small the index; a hot payload is dealt out."""
+    monkeypatch.setattr(warc_zip, "STRETCH_BYTES", 4096)
+    pages = spark.createDataFrame([(i, "u", "same" if i % 3 else "".join(random.Random(i).choices("abcdefghij", k=900))) for i in range(300)],
+                                  "page_id long, url string, html string")
+    listed = warc_zip.write_archives(pages, C.new_folder(spark, "warc-test"), archive_bytes=20000)
+    total = listed.agg({"bytes": "sum"}).first()[0]
+    got = warc_zip.read_archives(listed)
+    assert got.rdd.getNumPartitions() == -(-total // 4096) > 10
+    kinds = collections.Counter((r.record_type, r.refers_to) for r in got.collect())
+    assert kinds == {("revisit", 299): 199, ("response", None): 101}

@@ -116,3 +116,16 @@ def test_rows_of_one_id(spark):
         found.append(sorted((r.doc_id, r.text, r.source) for r in P.near_dedup(spark, df, SF_SMALL).collect()))
     assert found[0] == found[1] and [r[0] for r in found[0]] == [1, 5, 7]
     assert found[0][:2] == [(1, text["a"], "s"), (5, text["b"], "s")]
+
+
+def test_a_run_leaves_only_its_result(spark):
+    """The stages' tables are deleted on the way; the result is whole and can be read again."""
+    import os
+
+    before = set(C.folders())
+    out = P.run(spark, SF_SMALL)
+    left = [f for f in C.folders() if f not in before]
+    assert len(left) == 1 and "/stage-best_fit_packing-" in left[0] and out.count() > 0
+    folder = os.path.dirname(left[0]).removeprefix("file:")
+    mine = [n for n in os.listdir(folder) if n.startswith(("stage-", "signs-"))]
+    assert sum(n.startswith("stage-best_fit_packing") for n in mine) == 1 and not any(n.startswith("stage-near_dedup") for n in mine)
