@@ -34,6 +34,8 @@ from . import common as C
 ARCHIVE_BYTES = 128 << 20
 #: Index lines whose records one reading task fetches at least from one stretch of an archive.
 STRETCH_BYTES = 8 << 20
+#: Parts into which pages of one payload are dealt when they are told which of them is the response.
+SPREAD = 64
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "1970-01-01T00:00:00Z"  # the table has no time of capture
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -194,7 +196,14 @@ def read_index(path: str) -> list[tuple[int, int]]:
 # --- jobs ---------------------------------------------------------------------
 
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``id``, ``url``, ``html``, ``size``, ``sha1`` (hex) and ``refers_to``: the largest id of those with an equal payload, if that is another."""
+    """``id``, ``url``, ``html``, ``size``, ``sha1`` (hex) and ``refers_to``: the largest id of those with an equal payload, if that is another.
+
+    Edge cases: a null html is an empty payload; a null id is smaller than
+    every other, and pages of which none has an id are all responses; of rows
+    that repeat the largest id all are responses; an empty table gives an
+    empty result. A payload that fills a third of the table is dealt into
+    ``SPREAD`` parts by id, each with its own copy of the answer.
+    """
     p = pages.select(pages["page_id"].cast("long").alias("id"), pages["url"].cast("string").alias("url"),
                      F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"))
     body = F.encode("html", "UTF-8")
@@ -202,11 +211,20 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     groups = C.written(p.where(F.col("size") >= least_bytes).groupBy("sha1").agg(F.max("id").alias("largest"), F.count("*").alias("n"))
                        .where("n > 1").select("sha1", "largest"), "warc-groups")
     other = F.col("largest").isNotNull() & ~F.col("largest").eqNullSafe(F.col("id"))
-    return p.join(groups, "sha1", "left").select("id", "url", "html", "size", "sha1", F.when(other, F.col("largest")).alias("refers_to"))
+    spread = groups.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    p = p.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int"))
+    return p.join(spread, ["sha1", "deal"], "left").select("id", "url", "html", "size", "sha1", F.when(other, F.col("largest")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write one record for each page; returns the list of archives, ``path`` and ``records``, itself written."""
+    """Write one record for each page; returns the list of archives, ``path``, ``records`` and ``bytes``, itself written.
+
+    Edge cases: a null url gives a record without one, line breaks in a url
+    are escaped; rows that repeat an id get a record each; an empty table
+    gives no archive. One payload is held whole in a worker, however long. A
+    retried task writes archives of new names; only those of the attempt that
+    succeeded are listed.
+    """
     C.ship(pages.sparkSession)
 
     def run(batches):
@@ -223,21 +241,29 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
                            make_record(page_id, url, html.encode() if refers is None else b"", size, key, refers))
                 filled += size
                 if filled >= archive_bytes:
-                    done.append(writer.close())
+                    done.append((*writer.close(), writer.offset))
                     writer = None
         if writer is not None:
-            done.append(writer.close())
+            done.append((*writer.close(), writer.offset))
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done]), pa.array([n for _, n in done], pa.int64())], names=["path", "records"])
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), *(pa.array([d[k] for d in done], pa.int64()) for k in (1, 2))],
+                                             names=["path", "records", "bytes"])
 
-    return C.written(with_revisits(pages, least_bytes).mapInArrow(run, "path string, records long"), "warc-list")
+    return C.written(with_revisits(pages, least_bytes).mapInArrow(run, "path string, records long, bytes long"), "warc-list")
 
 
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 
 
 def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
-    """Every record of the listed archives, by range reads; with ``payload`` also its bytes (null for revisits)."""
+    """Every record of the listed archives, by range reads; with ``payload`` also its bytes (null for revisits).
+
+    An archive's index is read by one task, its records by one task for each
+    ``STRETCH_BYTES`` of all archives, about: the shuffle between moves places
+    only, so its size says nothing about the bytes to be read and the number
+    of tasks is stated. No archives give an empty result; an archive that
+    lacks what its index names raises.
+    """
 
     def indexes(batches):
         for b in batches:
@@ -263,9 +289,11 @@ def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
                     out.append(parse_record(f.read(length)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], k) for n, k in zip(names, kinds)], names=names)
 
-    at = archives.select("path").repartition(F.col("path")).mapInArrow(indexes, "path string, at long, length long")
+    size = archives.agg(F.count("*").alias("archives"), F.sum("bytes").alias("bytes")).first()
+    tasks = max(1, -(-(size.bytes or 0) // STRETCH_BYTES))
+    at = archives.select("path").repartition(max(1, min(size.archives, tasks)), F.col("path")).mapInArrow(indexes, "path string, at long, length long")
     stretch = F.floor(F.col("at") / STRETCH_BYTES)
-    return (at.repartition(F.col("path"), stretch).sortWithinPartitions("path", "at")
+    return (at.repartition(tasks, F.col("path"), stretch).sortWithinPartitions("path", "at")
             .mapInArrow(records, RECORDS + (", payload binary" if payload else "")))
 
 
