@@ -144,8 +144,8 @@ def evidence(column, model: Model, slice_bytes: int = 4 << 20) -> np.ndarray:
         ratio = np.where(model.keys[k] == code, model.ratios[k], np.nan)
         missing = np.flatnonzero(np.isnan(ratio))
         ratio[missing] = _find(model.history_keys, model.history_ratios, code[missing] >> np.uint64(8))
-        word = np.minimum(np.add.reduceat(ratio, begin), 20)
-        gain = np.log(1 - model.share + model.share * np.exp(word))
+        word = np.add.reduceat(ratio, begin)
+        gain = np.logaddexp(np.log(1 - model.share), np.log(model.share) + word)
         total = np.concatenate([[0], np.cumsum(gain[inverse])])
         out.append((total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1))
     return np.concatenate(out) if out else np.empty(0)
