@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.operators.fs import delete_paths
 from emporium.session import ensure_checkpoint_dir
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``; ``bytes.split()`` splits at the same six bytes.
@@ -83,9 +84,25 @@ def ship(spark: SparkSession) -> None:
     sc._emporium_shipped = True
 
 
+#: Folders that this driver has named, in order.
+_FOLDERS: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def folders() -> list[str]:
+    """Folders named so far, apart from those of the shipped package; the last is the newest."""
+    return [f for f in _FOLDERS if "/package-" not in f]
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables on the way that nothing will read again."""
+    delete_paths(spark, paths)
+    _FOLDERS[:] = [f for f in _FOLDERS if f not in set(paths)]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
