@@ -75,8 +75,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    Once a stage is written, what it read and wrote on its way is deleted.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), C.folders()
     for name, stage in STAGES:
         docs = C.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        *done, _ = [f for f in C.folders() if f not in before]
+        C.drop_folders(spark, done)
     return docs
