@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.operators import table_state
+from emporium.operators import key_index, table_state
 from emporium.operators.fs import delete_paths
 
 
@@ -95,14 +95,19 @@ def full_refresh_table(df: DataFrame, path: str, partition_col: str | None = Non
     try:
         (df.write.partitionBy(partition_col) if partition_col else df.write).parquet(files)
         if partition_col and key:
-            state.partitions = table_state.measure(spark.read.schema(state.struct).parquet(files), partition_col, key, ts_col)
+            rows = spark.read.schema(state.struct).parquet(files)
+            state.partitions = table_state.measure(rows, partition_col, key, ts_col)
+            if key_index.indexed(key_index.key_type(state.struct, key)):
+                state.index = key_index.create(spark, path, rows, partition_col, key)
         table_state.save(spark, path, state)
     except Exception:
         now = table_state.load(spark, path)
         if now is None or now.version != version:  # unless the state was saved after all
             delete_paths(spark, [files])
+            key_index.drop_others(spark, path, now.index if now else None)
         raise
     table_state.drop_other_versions(spark, path, version)
+    key_index.drop_others(spark, path, state.index)
 
 
 def _stamp(state: table_state.TableState, stamp: tuple[str, int] | None) -> None:
@@ -126,15 +131,40 @@ def _opened(spark: SparkSession, path: str, key: str, ts_col: str | None, partit
         state = table_state.TableState(table_state.schema_of(target), partition_col, key, ts_col)
         state.partitions = table_state.measure(target, partition_col, key, ts_col)
     elif state.key != key or state.ts_col != ts_col or not state.names_nulls():
+        state.index = state.index if state.key == key else None
         state.key, state.ts_col = key, ts_col
         state.partitions = table_state.measure(target, partition_col, key, ts_col)
     elif state.pending:
         dirty = state.pending["partitions"]
         found = table_state.measure(target.where(table_state.in_partitions(partition_col, dirty)), partition_col, key, ts_col)
         state.partitions = {k: v for k, v in state.partitions.items() if k not in dirty} | found
+    if state.index is None and key_index.indexed(key_index.key_type(state.struct, key)):
+        state.index = key_index.create(spark, path, target, partition_col, key)
+        table_state.save(spark, path, state)
+        key_index.drop_others(spark, path, state.index)
     return state
 
 
+def _may_hold(spark: SparkSession, path: str, state: table_state.TableState, rows: DataFrame, key: str) -> tuple[list[str], DataFrame | None]:
+    """Partitions that may hold keys of ``rows``, by the range of integers or the index of other keys; and the index's entries met."""
+    if state.index is not None and key_index.key_type(rows.schema, key) == key_index.key_type(state.struct, key):
+        known = key_index.hits(spark, path, state.index, rows, key)
+        return [r[0] for r in known.select("name").distinct().collect() if r[0] in state.partitions], known
+    return state.overlapping(*rows.agg(F.min(key), F.max(key)).first()), None
+
+
+def _index_rows(spark: SparkSession, path: str, state: table_state.TableState, rows: DataFrame, key: str, partition_col: str,
+                known: DataFrame | None) -> None:
+    """Add rows that are about to be written to the index; one of keys of another type is given up, and built anew by the next run."""
+    if state.index is None:
+        return
+    if key_index.key_type(rows.schema, key) != key_index.key_type(state.struct, key):
+        state.index = None
+        return
+    known = known if known is not None else key_index.hits(spark, path, state.index, rows, key)
+    state.index = key_index.add(spark, path, state.index, key_index.entries(rows, partition_col, key), known)
+
+
 def _same_layout(old: T.StructType, new: DataFrame) -> bool:
     """Whether old files can be read as ``new``: no column gone, none of another type."""
     types = {f.name: f.dataType for f in new.schema.fields}
@@ -153,8 +183,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame | Callable[[s
     2. The batch is checkpointed (reliable, in the shared folder), so retries
        after a lost executor re-read it.
     3. Rows to be replaced can only lie in partitions whose key range meets
-       the batch's (any, unless keys are integers); their keys are semi-joined. The touched partitions are a
-       short list.
+       the batch's, or, unless keys are integers, for which the index of keys
+       knows one of the batch (``key_index.py``); their keys are semi-joined.
+       The touched partitions are a short list.
     4. The touched partitions, less the batch's keys, plus the batch, are
        checkpointed and written with dynamic partition overwrite; partitions
        that end up empty are deleted, because dynamic overwrite leaves them.
@@ -203,9 +234,10 @@ def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch:
             table_state.save(spark, path, state)
         return {"touched": []}
     target = table_state.read_table(spark, path)
-    keys, name = batch.agg(F.min(key), F.max(key)).first(), table_state.partition_name(partition_col)
+    name, searched, known = table_state.partition_name(partition_col), sorted(state.partitions), None
     if _same_layout(state.struct, batch):
-        near = target.where(table_state.in_partitions(partition_col, state.overlapping(*keys)))
+        searched, known = _may_hold(spark, path, state, batch, key)
+        near = target.where(table_state.in_partitions(partition_col, searched))
         moved_from = near.select(key, partition_col).join(batch.select(key), key, "left_semi").select(name)
         touched = [r[0] for r in batch.select(name).union(moved_from).distinct().collect()]
     else:
@@ -213,6 +245,7 @@ def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch:
     rewritten = (sync_columns(target.where(table_state.in_partitions(partition_col, touched)), batch)
                  .join(batch.select(key), key, "left_anti")
                  .unionByName(batch)).checkpoint()
+    _index_rows(spark, path, state, batch, key, partition_col, known)
     _before(spark, path, state, {"cutoff": cutoff, "partitions": touched})
     files = table_state.location(path, state)
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -223,7 +256,8 @@ def _merge(spark: SparkSession, path: str, state: table_state.TableState, batch:
     state.partitions = {k: v for k, v in state.partitions.items() if k not in touched} | present
     state.schema, state.pending = table_state.schema_of(batch), None
     table_state.save(spark, path, state)
-    return {"touched": sorted(map(str, touched)), "emptied": emptied}
+    key_index.drop_others(spark, path, state.index)
+    return {"touched": sorted(map(str, touched)), "emptied": emptied, "searched": sorted(searched)}
 
 
 def capture_table(spark: SparkSession, path: str, changed: Callable[[str | None], DataFrame], loaded_until: str, key: str, ts_col: str,
@@ -256,7 +290,7 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     """O8: append source rows whose key is absent; existing rows never change.
 
     Keys are looked up only in partitions whose key range meets the source's,
-    or in all of them if keys are not integers.
+    or, unless keys are integers, for which the index of keys knows one of them.
     The new rows are checkpointed before the append, so a retried write sees
     the same rows; a rerun finds them present and appends nothing.
     """
@@ -265,9 +299,9 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
         return {"mode": "full"}
     state = _opened(spark, path, key, None, partition_col)
     _stamp(state, stamp)
-    keys = source.agg(F.min(key), F.max(key)).first()
     target = table_state.read_table(spark, path)
-    near = target.where(table_state.in_partitions(partition_col, state.overlapping(*keys)))
+    searched, known = _may_hold(spark, path, state, source, key)
+    near = target.where(table_state.in_partitions(partition_col, searched))
     new = (append_absent_frame(near, source, key)
            .withColumn(partition_col, partition_expr.cast("string")))
     # columns the table does not have yet stay null in its older rows; columns it has and the source lacks are null in the new
@@ -278,7 +312,8 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
     if not found:
         if stamp is not None and not state.pending:
             table_state.save(spark, path, state)
-        return {"mode": "incremental"}
+        return {"mode": "incremental", "searched": sorted(searched)}
+    _index_rows(spark, path, state, new, key, partition_col, known)
     if added:
         state.schema = table_state.schema_of(new)
     _before(spark, path, state, {"cutoff": None, "partitions": sorted(found)})
@@ -287,4 +322,5 @@ def append_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
         state.widen(name, a, z)
     state.pending = None
     table_state.save(spark, path, state)
-    return {"mode": "incremental"}
+    key_index.drop_others(spark, path, state.index)
+    return {"mode": "incremental", "searched": sorted(searched)}

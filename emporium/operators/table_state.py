@@ -6,8 +6,7 @@
 * ``partitions``: for each partition its newest timestamp and, if keys are
   integers, its smallest and largest key. An incremental run takes its cutoff
   from here instead of scanning the table, and looks for existing keys only
-  where they can be; keys of other types are looked for everywhere. The
-  partition of null values has the name of its folder.
+  where they can be. The partition of null values has the name of its folder.
 * ``version``: the folder that holds the table's files. A rebuild writes a
   fresh one and then saves the state, which is what makes it the table; until
   then readers see the rows as they were, or no table. Tables without it have
@@ -21,6 +20,8 @@
   its parts of closed rows whose versions may still lie among the open ones
   (None: any), and the rows of each part of open rows.
 * ``batches``: the last micro-batch of each streaming query that was written.
+* ``index``: the folder of the index of keys (``key_index.py``), for keys that
+  have no range here but can be indexed.
 
 The file is small: one short entry a partition.
 """
@@ -57,6 +58,7 @@ class TableState:
     closing: list | None = None
     rows: dict = field(default_factory=dict)
     batches: dict = field(default_factory=dict)      # query id -> batch id
+    index: str | None = None
 
     @property
     def struct(self) -> T.StructType:
