@@ -7,12 +7,14 @@ statistics and the shards' results merge exactly.
 
 A shard indexes the terms that its queries use. Its documents are put in an
 order where neighbours use the same frequent terms, and cut into blocks of
-``DOC_BLOCK``; each term keeps its largest impact in each block. For a batch
-of queries the sums of these maxima bound every block from above. Blocks go
-by falling bound in groups, and a group is only scored for queries whose
-bound there still reaches their k-th best score so far: what is skipped
-cannot enter the result. Terms that many documents share are scored as a
-dense matrix product, the others through their postings.
+``DOC_BLOCK``; each term keeps its largest impact in each block, as does each
+run of postings (those of one term in one block). For a batch of queries the
+sums of these maxima bound every block from above, before any posting is
+read. Blocks go by falling bound in groups, so the pivot of a query is the
+first block whose bound does not reach its k-th best score so far: from there
+on the query's postings are not read, as no document there can enter the
+result. Terms that many documents share are scored as a dense matrix product,
+the others through their postings.
 
 Queries meet the shards in blocks: each pair of a query block and a shard is
 one task, so neither side has to fit a broadcast.
@@ -33,6 +35,8 @@ from . import common as C
 K1, B, K = 1.2, 0.75, 10
 #: Text bytes of a shard, documents of a block, queries scored together, blocks scored before bounds are looked at again.
 INDEX_BYTES, DOC_BLOCK, BATCH, GROUP = 24 << 20, 64, 128, 8
+#: Runs of postings held for the queries of one batch.
+BATCH_RUNS = 1 << 20
 #: Terms in at least this part of a shard's documents are scored densely.
 FREQUENT = 1 / 24
 QUERY_BYTES = 32 << 20
@@ -132,36 +136,73 @@ class Index:
         place[self.order] = np.arange(self.n)
         self.dense = np.ascontiguousarray(dense[self.order])
         doc, at, impact = place[doc[~is_dense]], at[~is_dense], impact[~is_dense]
-        by_term = np.argsort(at, kind="stable")
-        self.post_doc, self.post_impact = doc[by_term], impact[by_term]
-        self.post_first = np.searchsorted(at[by_term], np.arange(len(vocabulary) + 1))
+        by_term = np.lexsort((doc, at))
+        doc, at = doc[by_term], at[by_term]
+        self.post_doc, self.post_impact = doc.astype(np.int32), impact[by_term]
         self.blocks = np.arange(0, self.n, DOC_BLOCK)
         self.maxima = np.maximum.reduceat(self.dense, self.blocks, axis=0) if self.n else self.dense
+        # runs: the postings of one term in one block of documents, each with its largest impact
+        block = doc // DOC_BLOCK
+        new = np.ones(len(doc), bool)
+        new[1:] = (at[1:] != at[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        self.run_first = np.append(first, len(doc))
+        self.run_block = block[first].astype(np.int32)
+        self.run_max = np.maximum.reduceat(self.post_impact, first) if len(first) else np.empty(0)
+        self.term_runs = np.searchsorted(at[first], np.arange(len(vocabulary) + 1))
+        self.held = self.read = 0  # postings of all terms searched for, and those that were read
+
+    def runs(self, terms: np.ndarray) -> np.ndarray:
+        """How many runs of postings the terms have that are not scored densely."""
+        return np.where(self.dense_of[terms] < 0, self.term_runs[terms + 1] - self.term_runs[terms], 0)
 
     def search(self, terms: list[np.ndarray], weights: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Places and rounded scores of the best ``k`` documents of each query (ties by id come later: all of the k-th score stay)."""
-        n_q = len(terms)
+        n_q, n_b = len(terms), len(self.blocks)
         q = np.zeros((n_q, self.dense.shape[1]))
-        rare = np.zeros((n_q, self.n))
+        run, weight, size = [], [], np.zeros(n_q, np.int64)
         for i, (t, w) in enumerate(zip(terms, weights)):
             col = self.dense_of[t]
             q[i, col[col >= 0]] = w[col >= 0]
             t, w = t[col < 0], w[col < 0]
-            size = self.post_first[t + 1] - self.post_first[t]
-            take = np.repeat(self.post_first[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            rare[i] = np.bincount(self.post_doc[take], self.post_impact[take] * np.repeat(w, size), self.n)
-        bound = q @ self.maxima.T + np.maximum.reduceat(rare, self.blocks, axis=1)
+            n = self.runs(t)
+            run.append(_ranges(self.term_runs[t], n))
+            weight.append(np.repeat(w, n))
+            size[i] = n.sum()
+        run, weight, own = np.concatenate(run), np.concatenate(weight), np.repeat(np.arange(n_q, dtype=np.int32), size)
+        block = self.run_block[run]
+        bound = q @ self.maxima.T + np.bincount(own.astype(np.int64) * n_b + block, self.run_max[run] * weight, n_q * n_b).reshape(n_q, n_b)
         order = np.argsort(-bound.max(0), kind="stable")
+        turn = np.empty(n_b, np.int64)
+        turn[order] = np.arange(n_b)
+        turn = turn[block].astype(np.uint16 if n_b <= 1 << 16 else np.int64)
+        by_turn = np.argsort(turn, kind="stable")
+        edges = np.searchsorted(turn[by_turn], np.arange(0, n_b + GROUP, GROUP))
+        self.held += int((self.run_first[run + 1] - self.run_first[run]).sum())
         best = np.zeros((n_q, 0))
         found: list = [([], []) for _ in range(n_q)]
         least = np.zeros(n_q)
-        for a in range(0, len(order), GROUP):
+        for a in range(0, n_b, GROUP):
             group = order[a:a + GROUP]
-            active = np.flatnonzero((bound[:, group].max(1) >= least - 10.0 ** -DIGITS) & (bound[:, group].max(1) > 0))
+            alive = (bound[:, group] >= least[:, None] - 10.0 ** -DIGITS) & (bound[:, group] > 0)
+            active = np.flatnonzero(alive.any(1))
             if not len(active):
                 continue
             docs = np.concatenate([np.arange(self.blocks[g], min(self.blocks[g] + DOC_BLOCK, self.n)) for g in group])
-            score = np.round(q[active] @ self.dense[docs].T + rare[np.ix_(active, docs)], DIGITS)
+            # the runs of this group, where the bound of their block can still reach the query's k-th score
+            mine = by_turn[edges[a // GROUP]:edges[a // GROUP + 1]]
+            place, row = np.zeros(n_b, np.int64), np.zeros(n_q, np.int64)
+            place[group], row[active] = np.arange(len(group)), np.arange(len(active))
+            mine = mine[alive[own[mine], place[block[mine]]]]
+            n = self.run_first[run[mine] + 1] - self.run_first[run[mine]]
+            take = _ranges(self.run_first[run[mine]], n)
+            self.read += len(take)
+            column = np.zeros(self.n, np.int64)
+            column[docs] = np.arange(len(docs))
+            cell = np.repeat(row[own[mine]], n) * len(docs) + column[self.post_doc[take]]
+            rare = np.bincount(cell, self.post_impact[take] * np.repeat(weight[mine], n), len(active) * len(docs))
+            # blocks that are out for a query get partial sums here, which are below its k-th score like the block's bound
+            score = np.round(q[active] @ self.dense[docs].T + rare.reshape(len(active), len(docs)), DIGITS)
             if best.shape[1] < k:
                 best = np.concatenate([best, np.zeros((n_q, k - best.shape[1]))], 1)
             top = score if score.shape[1] <= k else -np.partition(-score, k - 1, axis=1)[:, :k]
@@ -182,6 +223,11 @@ class Index:
         return out
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices first, first + 1, ... of ranges of the given sizes, after each other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def _similar_order(dense: np.ndarray, lengths: np.ndarray, anchors: int = 8) -> np.ndarray:
     """Documents by nearest of a few mutually distant documents, then by length, so that block maxima are tight."""
     if not dense.size:
@@ -199,6 +245,17 @@ def _similar_order(dense: np.ndarray, lengths: np.ndarray, anchors: int = 8) ->
 HITS = "query_id long, doc_id long, score double"
 
 
+def _batches(runs: np.ndarray) -> list[tuple[int, int]]:
+    """Queries scored together: at most ``BATCH`` of them, with ``BATCH_RUNS`` runs unless one alone has more."""
+    cuts, total = [0], 0
+    for i, n in enumerate(runs):
+        if i > cuts[-1] and (i - cuts[-1] == BATCH or total + n > BATCH_RUNS):
+            cuts.append(i)
+            total = 0
+        total += n
+    return list(zip(cuts, cuts[1:] + [len(runs)]))
+
+
 def _search(table: pa.Table, queries: pa.Table, k: int, n_docs: int, n_words: int, schema: pa.Schema) -> pa.Table:
     if not table.num_rows or not queries.num_rows:
         return schema.empty_table()
@@ -209,10 +266,10 @@ def _search(table: pa.Table, queries: pa.Table, k: int, n_docs: int, n_words: in
     index = Index(C.ordered_block(table), vocabulary, n_words / max(n_docs, 1))
     ids = queries.column("id").to_pylist()
     rows: list = []
-    for a in range(0, len(ids), BATCH):
-        local = [np.searchsorted(vocabulary, t) for t in terms[a:a + BATCH]]
-        weights = [np.log1p((n_docs - df + 0.5) / (df + 0.5)) for df in dfs[a:a + BATCH]]
-        for q, (places, scores) in zip(ids[a:a + BATCH], index.search(local, weights, k)):
+    local = [np.searchsorted(vocabulary, t) for t in terms]
+    weights = [np.log1p((n_docs - df + 0.5) / (df + 0.5)) for df in dfs]
+    for a, z in _batches(np.array([index.runs(t).sum() for t in local])):
+        for q, (places, scores) in zip(ids[a:z], index.search(local[a:z], weights[a:z], k)):
             hits = [(index.ids[index.order[p]], s) for p, s in zip(places.tolist(), scores.tolist())]
             hits.sort(key=lambda x: (-x[1], x[0] is None, x[0] or 0))
             rows += [(q, d, s) for d, s in hits[:k]]

@@ -354,3 +354,33 @@ def test_archives_are_read_by_stated_tasks(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == -(-total // 4096) > 10
     kinds = collections.Counter((r.record_type, r.refers_to) for r in got.collect())
     assert kinds == {("revisit", 299): 199, ("response", None): 101}
+
+
+# --- 6: postings behind the pivot ----------------------------------------------------
+
+def test_postings_behind_the_pivot_are_not_read():
+    """Random texts: the best ten of every query are those of a plain sum over all postings, from a part of them."""
+    from emporium.llm import block_max_wand as S
+    from emporium.llm import common
+
+    rng = np.random.default_rng(3)
+    topics = [[f"t{k}x{j}" for j in range(150)] for k in range(40)]
+    texts = [" ".join(rng.choice(topics[i % 40], 25)) + " " + " ".join(f"r{x}" for x in rng.integers(0, 1500, 10)) for i in range(4000)]
+    texts += texts[:30] + ["", "x " * 3000]
+    table = pa.table({"id": pa.array(range(len(texts))), "text": texts})
+    vocabulary = np.unique(common.words(pa.array(texts), lower=True).hashes[0])
+    index = S.Index(table, vocabulary, 35.0)
+    doc, term, tf, lengths = S._term_counts(table)
+    column = np.searchsorted(vocabulary, term)
+    impact = np.zeros((len(texts), len(vocabulary)))
+    impact[doc, column] = tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * lengths[doc] / 35.0))
+    idf = np.log1p((len(texts) - np.bincount(column) + .5) / (np.bincount(column) + .5))
+    asked = [np.flatnonzero(impact[i]) for i in range(0, 4000, 40)]
+    for (places, scores), own in zip(index.search(asked, [idf[t] for t in asked], 10), asked):
+        whole = np.round(impact[:, own] @ idf[own], S.DIGITS)
+        want = np.flatnonzero((whole >= np.sort(whole)[-10]) & (whole > 0))
+        assert sorted(index.order[places].tolist()) == want.tolist()
+        np.testing.assert_allclose(scores, whole[index.order[places]], atol=2e-6)
+    assert 0 < index.read < index.held
+    assert S._batches(np.array([S.BATCH_RUNS + 1, 1, 1])) == [(0, 1), (1, 3)] and len(S._batches(np.ones(S.BATCH + 1, int))) == 2
+    print("postings read", index.read / index.held)
