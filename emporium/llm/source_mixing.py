@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import common as C
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
@@ -77,6 +79,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes:
     d = d.withColumn("key", F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":" + seed))))
     # null sources take part in joins and windows under a text of their own
     d = d.withColumn("queue", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")))
+    if not carry:  # words are counted once; with carried columns the rows may be as wide as the texts, and are read again instead
+        d = C.written(d, "sizes")
     slim = d.select("queue", "source", "size", "key")
     digits = max(2, math.ceil(math.log(max(slim.count(), 1) / range_documents + 1, 16)))
     part = F.substring("key", 1, digits).alias("part")
