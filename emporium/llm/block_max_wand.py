@@ -169,16 +169,21 @@ class Index:
             run.append(_ranges(self.term_runs[t], n))
             weight.append(np.repeat(w, n))
             size[i] = n.sum()
-        run, weight, own = np.concatenate(run), np.concatenate(weight), np.repeat(np.arange(n_q, dtype=np.int32), size)
+        run, weight = np.concatenate(run), np.concatenate(weight)
         block = self.run_block[run]
-        bound = q @ self.maxima.T + np.bincount(own.astype(np.int64) * n_b + block, self.run_max[run] * weight, n_q * n_b).reshape(n_q, n_b)
+        pair = np.repeat(np.arange(n_q) * n_b, size) + block  # of query and block
+        bound = q @ self.maxima.T + np.bincount(pair, self.run_max[run] * weight, n_q * n_b).reshape(n_q, n_b)
         order = np.argsort(-bound.max(0), kind="stable")
         turn = np.empty(n_b, np.int64)
         turn[order] = np.arange(n_b)
-        turn = turn[block].astype(np.uint16 if n_b <= 1 << 16 else np.int64)
+        turn = turn.astype(np.uint16 if n_b <= 1 << 16 else np.int64)[block]
         by_turn = np.argsort(turn, kind="stable")
-        edges = np.searchsorted(turn[by_turn], np.arange(0, n_b + GROUP, GROUP))
-        self.held += int((self.run_first[run + 1] - self.run_first[run]).sum())
+        edges = np.concatenate([[0], np.cumsum(np.bincount(turn // GROUP, minlength=-(-n_b // GROUP)))])
+        run, weight, pair = run[by_turn], weight[by_turn], pair[by_turn]
+        first = self.run_first[run]
+        sizes = self.run_first[run + 1] - first
+        self.held += int(sizes.sum())
+        live, start, column = np.zeros((n_q, n_b), bool), np.zeros(n_q, np.int64), np.zeros(self.n, np.int64)
         best = np.zeros((n_q, 0))
         found: list = [([], []) for _ in range(n_q)]
         least = np.zeros(n_q)
@@ -189,17 +194,16 @@ class Index:
             if not len(active):
                 continue
             docs = np.concatenate([np.arange(self.blocks[g], min(self.blocks[g] + DOC_BLOCK, self.n)) for g in group])
+            start[active], column[docs] = np.arange(len(active)) * len(docs), np.arange(len(docs))
             # the runs of this group, where the bound of their block can still reach the query's k-th score
-            mine = by_turn[edges[a // GROUP]:edges[a // GROUP + 1]]
-            place, row = np.zeros(n_b, np.int64), np.zeros(n_q, np.int64)
-            place[group], row[active] = np.arange(len(group)), np.arange(len(active))
-            mine = mine[alive[own[mine], place[block[mine]]]]
-            n = self.run_first[run[mine] + 1] - self.run_first[run[mine]]
-            take = _ranges(self.run_first[run[mine]], n)
+            live[:, group] = alive
+            mine = slice(edges[a // GROUP], edges[a // GROUP + 1])
+            if not alive.all():
+                mine = edges[a // GROUP] + np.flatnonzero(live.ravel()[pair[mine]])
+            n = sizes[mine]
+            take = _ranges(first[mine], n)
             self.read += len(take)
-            column = np.zeros(self.n, np.int64)
-            column[docs] = np.arange(len(docs))
-            cell = np.repeat(row[own[mine]], n) * len(docs) + column[self.post_doc[take]]
+            cell = np.repeat(start[pair[mine] // n_b], n) + column[self.post_doc[take]]
             rare = np.bincount(cell, self.post_impact[take] * np.repeat(weight[mine], n), len(active) * len(docs))
             # blocks that are out for a query get partial sums here, which are below its k-th score like the block's bound
             score = np.round(q[active] @ self.dense[docs].T + rare.reshape(len(active), len(docs)), DIGITS)
