@@ -2,12 +2,14 @@
 simple and ratio metrics, compiled to one ``groupBy().agg()`` per query.
 
 A ratio metric divides two measures of the same semantic model at the query
-grain, null when the denominator is zero.
+grain, null when the denominator is zero. :func:`query_metric_levels` answers
+several grains and sets of dimensions from one pass over the fact.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +61,8 @@ METRICS = {m.name: m for m in (
     Metric("converted_sessions", "sessions", measure="converted_session_count"),
     Metric("conversion_rate", "sessions", numerator="converted_sessions", denominator="sessions"),
 )}
+# Ours: the declared metrics leave the measure of distinct customers unused.
+METRICS["unique_customers"] = Metric("unique_customers", "orders", measure="unique_customer_count")
 
 GRAINS = ("day", "week", "month", "quarter", "year")
 
@@ -91,23 +95,31 @@ def _metric_col(name: str) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-def query_metrics(model_df: DataFrame, metrics: list[str], by: list[str] | None = None,
-                  grain: str | None = None) -> DataFrame:
-    """Metrics of one semantic model grouped by ``by`` (categorical
-    dimensions) and optionally by the time dimension truncated to ``grain``
-    (output column ``metric_time``). All measures are computed in one pass."""
+def _model_of(metrics: list[str]) -> SemanticModel:
     models = {METRICS[m].model for m in metrics}
     if len(models) != 1:
         raise ValueError("metrics from one semantic model per query")
-    sm = SEMANTIC_MODELS[models.pop()]
-    by = list(by or [])
+    return SEMANTIC_MODELS[models.pop()]
+
+
+def _known(sm: SemanticModel, by, grain: str | None) -> None:
     for d in by:
         if d not in sm.dimensions:
             raise ValueError(f"unknown dimension {d!r}")
+    if grain and grain not in GRAINS:
+        raise ValueError(f"unknown grain {grain!r}")
+
+
+def query_metrics(model_df: DataFrame, metrics: list[str], by: list[str] | None = None,
+                  grain: str | None = None) -> DataFrame:
+    """Metrics of one semantic model grouped by ``by`` (categorical
+    dimensions) and optionally by the time dimension truncated to ``grain``
+    (output column ``metric_time``). All measures are computed in one pass."""
+    sm = _model_of(metrics)
+    by = list(by or [])
+    _known(sm, by, grain)
     keys = [F.col(d) for d in by]
     if grain:
-        if grain not in GRAINS:
-            raise ValueError(f"unknown grain {grain!r}")
         keys = [F.date_trunc(grain, F.col(sm.time_dimension)).cast("date").alias("metric_time")] + keys
     needed: set[str] = set()
     for m in metrics:
@@ -116,3 +128,80 @@ def query_metrics(model_df: DataFrame, metrics: list[str], by: list[str] | None
     g = model_df.groupBy(*keys).agg(*aggs) if keys else model_df.agg(*aggs)
     names = (["metric_time"] if grain else []) + by
     return g.select(*names, *[_metric_col(m).alias(m) for m in metrics])
+
+
+class Level(NamedTuple):
+    """One level of detail: a grain (``None``: all time) and dimensions."""
+    grain: str | None = None
+    by: tuple[str, ...] = ()
+
+    @property
+    def label(self) -> str:
+        return ":".join([self.grain or "all", *self.by])
+
+
+#: log2 of a sketch's registers: 4,096 of them, about 2 KB, standard error 1.04 / 64 = 1.6 %.
+SKETCH_BITS = 12
+
+
+def query_metric_levels(model_df: DataFrame, metrics: list[str], levels: list[Level],
+                        approximate: bool = False) -> DataFrame:
+    """Metrics of one semantic model at several levels of detail, from one pass over the fact.
+
+    Columns: ``level`` (:attr:`Level.label`), ``metric_time`` (null for all
+    time), every dimension that some level has (null in levels without it),
+    the metrics. The fact is reduced to days and dimensions first; only these
+    rows are repeated for the levels, so grouping sets of the fact itself, which
+    would repeat each of its rows, are not needed. Sums and counts add up.
+    Distinct counts do not: exact ones keep the counted value as a key of the
+    first step; with ``approximate`` a HyperLogLog sketch for each first-step row
+    takes its place, and sketches are merged.
+
+    Edge cases: a null dimension value is a group of its own, told apart by
+    ``level``; rows without a time form a null ``metric_time``; an empty fact
+    gives no rows, at all time too.
+    """
+    if len({v.label for v in levels}) != len(levels) or not levels:
+        raise ValueError("levels must be given, each once")
+    sm = _model_of(metrics)
+    for v in levels:
+        _known(sm, v.by, v.grain)
+    needed: set[str] = set()
+    for m in metrics:
+        _simple_measures(m, needed)
+    measures = [sm.measure(n) for n in sorted(needed)]
+    dims = [d for d in sm.dimensions if any(d in v.by for v in levels)]
+
+    keys = [F.col(d).alias(f"__d_{d}") for d in dims]
+    if any(v.grain for v in levels):
+        keys.append(F.date_trunc("day", F.col(sm.time_dimension)).alias("__day"))
+    parts = []
+    for m in measures:
+        if m.agg != "count_distinct":
+            parts.append(_agg(m).alias(f"__p_{m.name}"))
+        elif approximate:
+            parts.append(F.hll_sketch_agg(F.expr(m.expr), SKETCH_BITS).alias(f"__p_{m.name}"))
+        else:
+            keys.append(F.expr(m.expr).alias(f"__p_{m.name}"))
+    # a constant keeps the first step a grouping where there is nothing to group by
+    base = model_df.groupBy(F.lit(0).alias("__one"), *keys).agg(F.count(F.lit(1)).alias("__rows"), *parts)
+
+    def row(v: Level) -> Column:
+        time = F.date_trunc(v.grain, F.col("__day")).cast("date") if v.grain else F.lit(None).cast("date")
+        own = [F.col(f"__d_{d}") if d in v.by else F.lit(None).cast(base.schema[f"__d_{d}"].dataType) for d in dims]
+        return F.struct(F.lit(v.label).alias("level"), time.alias("metric_time"), *[c.alias(d) for c, d in zip(own, dims)])
+
+    names = ["level", "metric_time", *dims]
+    rows = base.withColumn("__level", F.explode(F.array(*[row(v) for v in levels])))
+    aggs = []
+    for m in measures:
+        part = F.col(f"__p_{m.name}")
+        if m.agg != "count_distinct":
+            merged = F.sum(part).cast(base.schema[f"__p_{m.name}"].dataType)
+        elif approximate:
+            merged = F.hll_sketch_estimate(F.hll_union_agg(part))
+        else:
+            merged = F.countDistinct(part)
+        aggs.append(merged.alias(f"__m_{m.name}"))
+    out = rows.groupBy(*[F.col(f"__level.{n}").alias(n) for n in names]).agg(*aggs)
+    return out.select(*names, *[_metric_col(m).alias(m) for m in metrics])

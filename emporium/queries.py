@@ -309,6 +309,37 @@ def _metric_query(metrics: list[str], by: list[str], grain: str | None, model: s
     return run
 
 
+def _order_levels():
+    from emporium.operators.metrics import Level
+
+    return [Level("day"), Level("week", ("payment_method",)), Level("month", ("order_status",)),
+            Level("year", ("order_status", "payment_method")), Level()]
+
+
+def metric_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order metrics at five levels of detail from one pass over the order fact."""
+    from emporium.operators.metrics import query_metric_levels
+
+    return query_metric_levels(warehouse(spark, sf_dir).fct_orders,
+                               ["revenue", "orders", "average_order_value", "unique_customers"], _order_levels())
+
+
+def metric_customers_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers by level, exactly, and whether the merged sketches are within five standard errors of that."""
+    from emporium.operators.metrics import SKETCH_BITS, query_metric_levels
+
+    orders = warehouse(spark, sf_dir).fct_orders
+    names = ["level", "metric_time", "order_status", "payment_method"]
+    both = [query_metric_levels(orders, ["unique_customers"], _order_levels(), approximate=a).withColumnRenamed("unique_customers", n)
+            for a, n in ((False, "exact"), (True, "estimate"))]
+    one = both[0].select(*names, "exact", F.lit(None).cast("long").alias("estimate")).unionByName(
+        both[1].select(*names, F.lit(None).cast("long").alias("exact"), "estimate"))
+    g = one.groupBy(*names).agg(F.max("exact").alias("unique_customers"), F.max("estimate").alias("estimate"))
+    bound = F.greatest(F.lit(1.0), F.col("unique_customers") * F.lit(5 * 1.04 / 2 ** (SKETCH_BITS / 2)))
+    return g.select(*names, "unique_customers",
+                    (F.abs(F.col("estimate") - F.col("unique_customers")) <= bound).alias("estimate_within_bound"))
+
+
 QUERIES.update({
     "quality_report": quality_report,
     "assert_no_orphaned_order_items": assert_no_orphaned_order_items,
@@ -328,6 +359,8 @@ QUERIES.update({
                                             ["channel", "device_type"], "day", "fct_sessions"),
     "metric_sessions_by_anonymity": _metric_query(["sessions", "converted_sessions"],
                                                   ["is_anonymous"], None, "fct_sessions"),
+    "metric_levels": metric_levels,
+    "metric_customers_approximate": metric_customers_approximate,
 })
 
 
