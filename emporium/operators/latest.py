@@ -3,6 +3,11 @@
 ``max(struct(order..., row))`` is an ordinary aggregate: Spark computes a
 partial maximum in every map task and shuffles one row per key and task, so
 a key holding a third of the input costs no more than any other.
+
+A struct does not fit a hash aggregate's buffer, so Spark sorts by the key
+before each step. Both ways round that were measured (README, "Latest per key"):
+a rank limit sorts too, by more columns, and a typed maximum in a hash aggregate
+(time and id in one 38-digit number, ``max_by`` for the rest) takes twice as long.
 """
 
 from __future__ import annotations
