@@ -1,10 +1,12 @@
 """Data-quality checks (Q1-Q7, Q10-Q12, Q14) evaluated in bulk.
 
 All row-level rules of one model (not_null, accepted_values, not_negative,
-valid_currency_code, expression rules, row count) and all of its ``unique``
-rules share one scan and one shuffle (see ``_model_sql``);
+valid_currency_code, expression rules, row count) share one scan, a
+``unique`` rule is a count of its key (see ``_model_sql``);
 ``referential_integrity`` is a left anti join. The report is generated as
-one SQL statement over temporary views of the models. Failing rows
+one SQL statement over temporary views of the models. A model is read for
+its row rules and for each key: one that costs more than a scan is better
+landed first. Failing rows
 themselves are fetched with ``failing_rows`` only when a count is non-zero.
 """
 
@@ -15,7 +17,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Currencies accepted by the valid_currency_code test.
 VALID_CURRENCIES = ["usd", "eur", "gbp", "cad", "aud", "jpy", "chf", "cny", "inr", "brl"]
@@ -71,59 +72,32 @@ def _result(model: str, column: str | None, test: str, failures_sql: str) -> str
             f"'failures', CAST({failures_sql} AS BIGINT))")
 
 
-def _key_sql(column: str, kind: T.DataType) -> str:
-    """A key as a (long, text) pair: whole numbers and days stay numbers, only other types are compared as text."""
-    col = _q(column)
-    if isinstance(kind, T.IntegralType):
-        return f"CAST({col} AS BIGINT), CAST(NULL AS STRING)"
-    if isinstance(kind, T.DateType):
-        return f"CAST(unix_date({col}) AS BIGINT), CAST(NULL AS STRING)"
-    return f"CAST(NULL AS BIGINT), CAST({col} AS STRING)"
-
-
-#: Row rules whose outcomes share one number.
-FLAGS = 60
-
-
-def _model_sql(model: str, view: str, checks: list[Check], views: dict[str, str], types: dict[str, T.DataType]) -> list[str]:
+def _model_sql(model: str, view: str, checks: list[Check], views: dict[str, str]) -> list[str]:
     """SQL blocks (model, column_name, test, failures) for the checks of one model.
 
-    All row rules and unique rules share one scan and one shuffle. A row
-    becomes a record for each unique rule, its key, and one for its row
-    rules: the number whose bits are the rules it fails. Records are counted
-    by value; rows fail in few different ways, so a map task sends a handful
-    of counts for all row rules and one narrow record a key. A global
-    aggregate then makes one value of each check.
+    All row rules are sums of one scan, so a map task sends one row. A unique
+    rule reads its key alone and shuffles that: keys in their own type, and
+    equal reads of equal keys by several models are one exchange.
     """
     out = []
     row = [c for c in checks if c.test in ROW_RULES or c.test == "row_count_between"]
-    uniq = [c for c in checks if c.test == "unique"]
-    if row or uniq:
-        recs = []
-        for w in range(0, len(row), FLAGS):
-            bits = [f"CASE WHEN {_fail_sql(c)} THEN {1 << i}L ELSE 0L END" for i, c in enumerate(row[w:w + FLAGS]) if c.test != "row_count_between"]
-            recs.append(f"struct({-1 - w // FLAGS} AS c, {' + '.join(bits) or '0L'} AS k, CAST(NULL AS STRING) AS s)")
-        for j, c in enumerate(uniq):
-            number, text = _key_sql(c.column, types[c.column.lower()]).split(", ", 1)
-            recs.append(f"struct({j} AS c, {number} AS k, {text} AS s)")
-        grouped = (f"SELECT c, k, s, count(1) AS n FROM (SELECT r.* FROM (SELECT explode(array({', '.join(recs)})) AS r FROM {view})) "
-                   f"WHERE c < 0 OR k IS NOT NULL OR s IS NOT NULL GROUP BY c, k, s")
-        vals = []
-        for i, c in enumerate(row):
-            word, bit = divmod(i, FLAGS)
-            fails = "" if c.test == "row_count_between" else f" AND (k & {1 << bit}L) <> 0"
-            vals.append(f"sum(CASE WHEN c = {-1 - word}{fails} THEN n END) AS __r{i}")
-        vals += [f"count(CASE WHEN c = {j} AND n > 1 THEN 1 END) AS __u{j}" for j in range(len(uniq))]
-        results = []
+    if row:
+        vals, results = [], []
         for i, c in enumerate(row):
             n = f"coalesce(__r{i}, 0)"
             if c.test == "row_count_between":
                 lo, hi = c.values
+                vals.append(f"count(1) AS __r{i}")
                 n = f"CASE WHEN {n} BETWEEN {lo} AND {hi} THEN 0 ELSE 1 END"
+            else:
+                vals.append(f"sum(CASE WHEN {_fail_sql(c)} THEN 1L ELSE 0L END) AS __r{i}")
             results.append(_result(c.model, c.column, c.test, n))
-        results += [_result(c.model, c.column, "unique", f"__u{j}") for j, c in enumerate(uniq)]
-        out.append(f"SELECT x.* FROM (SELECT explode(array({', '.join(results)})) AS x "
-                   f"FROM (SELECT {', '.join(vals)} FROM ({grouped})))")
+        out.append(f"SELECT x.* FROM (SELECT explode(array({', '.join(results)})) AS x FROM (SELECT {', '.join(vals)} FROM {view}))")
+    for c in checks:
+        if c.test == "unique":
+            col = _q(c.column)
+            out.append(f"SELECT x.* FROM (SELECT {_result(model, c.column, 'unique', 'count(1)')} AS x FROM "
+                       f"(SELECT {col} FROM {view} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(1) > 1))")
     for c in checks:
         if c.test == "referential_integrity":
             to_model, to_field = c.values
@@ -152,7 +126,6 @@ def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFra
     spark = models[needed[0]].sparkSession
     tag = uuid.uuid4().hex[:12]
     views = {m: f"__quality_{tag}_{i}" for i, m in enumerate(needed)}
-    kinds = {m: {f.name.lower(): f.dataType for f in models[m].schema.fields} for m in needed}
     for m, v in views.items():
         # a projection of its own: dropping a view also drops what is cached for its plan,
         # and the frames that callers hand in may be cached
@@ -160,7 +133,7 @@ def quality_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFra
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    blocks = [b for m, cs in by_model.items() for b in _model_sql(m, views[m], cs, views, kinds[m])]
+    blocks = [b for m, cs in by_model.items() for b in _model_sql(m, views[m], cs, views)]
     try:
         out = spark.sql(
             "SELECT model, column_name, test, failures, "

@@ -21,12 +21,14 @@ from emporium.operators import audit
 from emporium.operators.bucketed import read_bucketed, write_bucketed
 from emporium.operators.incremental import append_absent_table, full_refresh_table, upsert_table
 from emporium.operators.freshness import source_freshness
+from emporium.operators.fs import delete_paths
 from emporium.operators.quality import quality_report
 from emporium.operators.snapshot import snapshot_table
 from emporium.operators.table_state import read_table
 from emporium.plans import core, finance, marketing
-from emporium.plans.checks import ALL_CHECKS, assert_no_orphaned_order_items, assert_revenue_reconciles
+from emporium.plans.checks import ALL_CHECKS, assert_no_orphaned_order_items, assert_revenue_reconciles, checked_columns
 from emporium.plans.warehouse import Warehouse
+from emporium.session import shared_dir
 
 # Partition column and its SQL expression per fact table (expressions are
 # built into Columns on use, so importing this module needs no session).
@@ -144,7 +146,11 @@ def _models(spark: SparkSession, w: Warehouse, root: str, full_refresh: bool, re
 
 
 def _checks(w: Warehouse, built: dict[str, DataFrame], results: list[dict]) -> None:
-    """Every declared check and both singular ones: written tables as written, staging and intermediate models as planned."""
+    """Every declared check and both singular ones: written tables as written, staging models as planned, intermediate ones
+    written for the checks."""
+    root = shared_dir(w.spark, f"checked-{uuid.uuid4().hex[:10]}")
+    w.land(root, {name: checked_columns(n) for n, name in (("int_orders_with_payments", "orders_with_payments"), (
+        "int_sessions_mapped_to_users", "sessions_mapped"), ("int_product_inventory_current", "inventory_current"))})
     frames = {f"stg_{t}": w.stg[t] for t in w.raw} | {
         "int_orders_with_payments": w.orders_with_payments, "int_sessions_mapped_to_users": w.sessions_mapped,
         "int_product_inventory_current": w.inventory_current} | built
@@ -154,3 +160,5 @@ def _checks(w: Warehouse, built: dict[str, DataFrame], results: list[dict]) -> N
                 "revenue_reconciles": assert_revenue_reconciles(built["fct_orders"], built["fct_payments"])}
     for name, failing in singular.items():
         results.append({"resource_type": "test", "name": name, "status": "pass" if failing.isEmpty() else "fail"})
+    delete_paths(w.spark, [root])
+    w.forget()

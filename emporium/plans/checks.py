@@ -136,6 +136,11 @@ STAGING_CHECKS: list[Check] = [
 ALL_CHECKS = MART_CHECKS + STAGING_CHECKS
 
 
+def checked_columns(model: str) -> set[str]:
+    """Columns of a model that some check names."""
+    return {c.column for c in ALL_CHECKS if c.model == model and c.column}
+
+
 def assert_no_orphaned_order_items(stg_order_items: DataFrame, stg_orders: DataFrame) -> DataFrame:  # Q8
     return (stg_order_items.select("order_item_id", "order_id")
             .join(stg_orders.select("order_id"), "order_id", "left_anti")

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from emporium.plans import core, finance, intermediate, marketing, staging
+from emporium.session import landed
 
 
 class Warehouse:
@@ -32,6 +33,21 @@ class Warehouse:
         for name in self.MODELS + ("outside_calendar",):
             self.__dict__.pop(name, None)
 
+    def land(self, root: str, wanted: dict[str, set[str]]) -> None:
+        """Write these models, each once, into folders of ``root``: all rows,
+        with the wanted columns and those that later models read. What is
+        planned from then on reads them from there."""
+        for step in self.COMPUTED:
+            frames = {}
+            for name in [n for n in step if n in wanted]:
+                model, read = getattr(self, name), wanted[name] | self.READ_ON.get(name, set())
+                frames[name] = model.select(*[c for c in model.columns if c in read])
+            written = landed({f"{root}/{name}": df for name, df in frames.items()})
+            self.__dict__.update({name: written[f"{root}/{name}"] for name in frames})
+            if "orders_with_payments" in frames:  # its projection, of the columns that are there
+                orders = self.orders_with_payments
+                self.__dict__["fct_orders"] = orders.select(*[c for c in core.FCT_ORDER_COLUMNS if c in orders.columns])
+
     # staging (views)
     @cached_property
     def stg(self) -> dict[str, DataFrame]:
@@ -118,3 +134,18 @@ class Warehouse:
               "dim_products", "dim_dates", "time_spine", "fct_orders", "fct_payments",
               "fct_refunds", "daily_revenue", "refund_audit", "fct_sessions", "fct_attribution",
               "channel_performance", "customer_features")
+
+    #: Models that join, group or scan in order; each reads only those of the steps before.
+    COMPUTED = (("inventory_current", "orders_with_payments", "sessions_mapped", "dim_customers", "dim_dates", "fct_refunds"),
+                ("dim_products", "daily_revenue", "fct_sessions"), ("fct_attribution",), ("channel_performance",))
+    #: Columns that later models read of them.
+    READ_ON = {
+        "orders_with_payments": {"order_id", "customer_id", "order_date", "order_status", "order_total_dollars", "total_quantity"},
+        "inventory_current": {"product_id", "warehouse_location", "quantity"},
+        "sessions_mapped": set(marketing.FCT_SESSION_COLUMNS),
+        "dim_dates": {"date_day"},
+        "fct_refunds": {"source_system", "refunded_at", "refund_amount_dollars"},
+        "fct_sessions": {"session_id", "user_id", "session_start", "session_end", "session_duration_seconds", "channel",
+                         "landing_page", "converted"},
+        "fct_attribution": {"order_id", "order_total_dollars", "attribution_channel"},
+    }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -79,3 +80,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+#: Frames written at the same time: one that ends in few tasks leaves cores to the others.
+LANDED_AT_ONCE = 4
+
+
+def landed(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write each frame as Parquet under its path, a few at a time, and read it back: what several others read is computed once."""
+    def one(item: tuple[str, DataFrame]) -> DataFrame:
+        path, df = item
+        df.write.option("compression", "snappy").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    with ThreadPoolExecutor(LANDED_AT_ONCE) as pool:
+        return dict(zip(frames, pool.map(one, frames.items())))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from emporium.session import landed
 from emporium.sources.schemas import RAW_SCHEMAS
 
 # Declared schemas of the driver's tables (as written in the Parquet files);
@@ -216,6 +217,17 @@ class TestdataSource:
             self._frames[key] = self.tables(state)
         return self._frames[key]
 
+    def land(self, root: str, state: str = "current") -> None:
+        """Write what takes more than a projection, once, into folders of
+        ``root``: items with their ids, refunds, sessions and page views.
+        Tables of the state that are asked for from then on read them from there."""
+        tables = self.tables_cache(state)
+        frames = {"lineitem": self.read("lineitem").drop("l_discount", "l_tax", "l_linestatus"),  # no shop table has these
+                  "refunds": self._refund_base(), "sessions": tables["sessions"], "page_views": tables["page_views"]}
+        written = landed({f"{root}/{name}": df for name, df in frames.items()})
+        self._reads["lineitem"], self._frames["_refund_base", ()] = written[f"{root}/lineitem"], written[f"{root}/refunds"]
+        tables |= {name: written[f"{root}/{name}"] for name in ("sessions", "page_views")}
+
     def load_times(self, state: str = "current") -> "LazyTables":
         """Only the load time of every row of each table; page views need no next event for it."""
         def times(name: str) -> DataFrame:

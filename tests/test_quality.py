@@ -59,3 +59,27 @@ def test_planted_traps_are_found(spark):
     assert QUERIES["assert_no_orphaned_order_items"](spark, SF_SMALL).count() > 0
     assert {r.violation for r in QUERIES["snapshot_invariants"](spark, "/root/testdata/sf0.01").select("violation").distinct().collect()} == {
         "multiple_current", "valid_from_not_before_valid_to"}
+
+
+def test_report_computes_each_model_once(spark):
+    """No check plans a join, an order or a grouping of a model again: the report reads landed tables."""
+    from conftest import SF_SMALL
+    from emporium.queries import QUERIES
+
+    plan = QUERIES["quality_report"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join LeftOuter" not in plan
+    assert plan.count("Join LeftAnti") == 1  # the referential check
+
+
+def test_landed_models_have_the_planned_rows(spark, scratch):
+    from conftest import SF_SMALL
+    from emporium.queries import MODEL_NAMES, landed_models, warehouse
+
+    landed, planned = landed_models(spark, SF_SMALL, f"{scratch}/landed"), warehouse(spark, SF_SMALL)
+    for name, model in MODEL_NAMES.items():
+        got = landed[name]
+        want = getattr(planned, model).select(*got.columns)
+        assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty(), name
+    for name in ("inventory", "order_items", "sessions", "page_views", "shopify_refunds", "stripe_refunds"):
+        assert planned.stg[name].exceptAll(landed[f"stg_{name}"]).isEmpty(), name
+        assert landed[f"stg_{name}"].exceptAll(planned.stg[name]).isEmpty(), name
