@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.operators.fs import delete_paths
 from emporium.operators.incremental import append_absent_frame, lookback_cutoff, upsert_frame
 from emporium.operators.snapshot import snapshot_frame
 from emporium.operators.table_state import read_table
@@ -287,9 +288,11 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from emporium.plans.checks import ALL_CHECKS
     import datetime as dt
 
-    frames = model_frames(warehouse(spark, sf_dir))
+    root = _table(spark, "checked")
+    frames = landed_models(spark, sf_dir, root)
     results = [{"resource_type": "model", "status": "success"} for n in frames if not n.startswith("stg_")]
     results += [{"resource_type": "test", "status": r.status} for r in report(frames, ALL_CHECKS).collect()]  # a row a check
+    delete_paths(spark, [root])
     row = audit.audit_row(spark, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), "dev", results)
     return row.select("target_name", "model_count", "test_count", "status")
 

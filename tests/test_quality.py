@@ -83,3 +83,14 @@ def test_landed_models_have_the_planned_rows(spark, scratch):
     for name in ("inventory", "order_items", "sessions", "page_views", "shopify_refunds", "stripe_refunds"):
         assert planned.stg[name].exceptAll(landed[f"stg_{name}"]).isEmpty(), name
         assert landed[f"stg_{name}"].exceptAll(planned.stg[name]).isEmpty(), name
+
+
+def test_run_audit_leaves_no_tables(spark):
+    from conftest import SF_SMALL
+    from emporium.operators.fs import child_names
+    from emporium.queries import QUERIES
+    from emporium.session import shared_dir
+
+    before = set(child_names(spark, shared_dir(spark, "tables")))
+    assert QUERIES["run_audit"](spark, SF_SMALL).first().test_count == 203
+    assert set(child_names(spark, shared_dir(spark, "tables"))) == before
