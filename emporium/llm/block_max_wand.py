@@ -416,25 +416,34 @@ def _batches(runs: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:] + [len(runs)]))
 
 
+PACKED = "part int, payload binary"
+
+
+def _pack_queries(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The queries of a part in one cell: their vocabulary with document frequencies, and each one's places in it."""
+    table = table.sort_by([("id", "ascending"), ("terms", "ascending")])
+    terms = [C.unpack_sorted(x) for x in table.column("terms").to_pylist()]
+    vocabulary, at = np.unique(np.concatenate(terms), return_inverse=True)
+    df = np.zeros(len(vocabulary), np.uint64)
+    df[at] = np.concatenate([C.unpack(x, np.uint64) for x in table.column("frequencies").to_pylist()])
+    ids, floor = np.asarray(table.column("id")).astype(np.int64), np.asarray(table.column("floor")).astype(np.float64)
+    payload = C.pack_parts(C.pack(ids), C.pack(floor), C.pack(np.array([len(t) for t in terms], np.uint32)), C.pack_sorted(vocabulary), C.pack(df), C.pack(at.astype(np.uint32)))
+    return pa.table([pa.array([table.column("part")[0].as_py()], pa.int32()), pa.array([payload], pa.binary())], schema=schema)
+
+
 def _search(table: pa.Table, queries: pa.Table, k: int, n_docs: int, n_words: int, schema: pa.Schema) -> pa.Table:
     if not table.num_rows or not queries.num_rows:
         return schema.empty_table()
-    queries = queries.sort_by([("id", "ascending"), ("terms", "ascending")])
-    terms = [C.unpack_sorted(x) for x in queries.column("terms").to_pylist()]
-    dfs = [C.unpack(x, np.uint64).astype(float) for x in queries.column("frequencies").to_pylist()]
-    vocabulary = np.unique(np.concatenate(terms))
-    local = [np.searchsorted(vocabulary, t).astype(np.int32) for t in terms]
-    weights = [np.log1p((n_docs - df + 0.5) / (df + 0.5)) for df in dfs]
-    del terms, dfs
-    idf = np.zeros(len(vocabulary))
-    for t, w in zip(local, weights):
-        idf[t] = w
+    ids, floor, count, vocabulary, df, at = C.unpack_parts(queries.column("payload")[0].as_py())
+    ids, floor, count, vocabulary = C.unpack(ids, np.int64), C.unpack(floor, np.float64), C.unpack(count, np.uint32).astype(np.int64), C.unpack_sorted(vocabulary)
+    df, at = C.unpack(df, np.uint64).astype(float), C.unpack(at, np.uint32).astype(np.int32)
+    idf, cuts = np.log1p((n_docs - df + 0.5) / (df + 0.5)), np.cumsum(count[:-1])
+    local, weights = np.split(at, cuts), np.split(idf[at], cuts)
     index = Index(_counts(table), vocabulary, n_words / max(n_docs, 1), idf)
-    ids, floor = np.asarray(queries.column("id")), np.asarray(queries.column("floor"))
     # queries of the same kind are searched together, as they use the same dense terms
-    turn = np.lexsort(([len(t) for t in local], index.nearest(local)))
+    turn = np.lexsort((count, index.nearest(local)))
     found, waiting, hits = [], 0, [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-    batches = _batches(np.array([index.runs(local[i]).sum() for i in turn]))
+    batches = _batches(np.add.reduceat(index.runs(at), np.append(0, cuts))[turn])
     for a, z in batches:
         own = turn[a:z]
         query, places = index.candidates([local[i] for i in own], [weights[i] for i in own], k, floor[own])
@@ -474,7 +483,7 @@ def search(docs: DataFrame, is_query: Column, k: int = K, id_col: str = "doc_id"
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    q_schema, h_schema, c_schema = (to_arrow_schema(StructType.fromDDL(x)) for x in (QUERIES, HITS, COUNTED))
+    q_schema, h_schema, c_schema, p_schema = (to_arrow_schema(StructType.fromDDL(x)) for x in (QUERIES, HITS, COUNTED, PACKED))
     counted = C.written(placed.groupBy("block").applyInArrow(C.of_group(lambda t: _count(t, c_schema)), COUNTED), "counts")
     asked = counted.groupBy("block").applyInArrow(C.of_group(lambda t: _ask(t, bits)), C.MESSAGE)
     answers = asked.groupBy("shard").applyInArrow(C.of_group(_answer), C.MESSAGE)
@@ -488,7 +497,7 @@ def search(docs: DataFrame, is_query: Column, k: int = K, id_col: str = "doc_id"
 
     def met(shard_ids: list[int], asking: DataFrame) -> DataFrame:
         """Hits of some shards; every query block meets every shard once."""
-        asking = asking.withColumn("block", F.explode(F.lit(shard_ids).cast("array<int>")))
+        asking = asking.groupBy("part").applyInArrow(C.of_group(lambda t: _pack_queries(t, p_schema)), PACKED).withColumn("block", F.explode(F.lit(shard_ids).cast("array<int>")))
         return here.where(F.pmod("block", F.lit(FIRST)).isin(sorted({x % FIRST for x in shard_ids}))).groupBy("block", "part").cogroup(asking.groupBy("block", "part")).applyInArrow(
             C.of_groups(lambda a, b: _search(a, b, k, n_docs, n_words, h_schema)), HITS)
 

@@ -384,3 +384,35 @@ def test_postings_behind_the_pivot_are_not_read():
     assert 0 < index.read < index.held
     assert S._batches(np.array([S.BATCH_RUNS + 1, 1, 1])) == [(0, 1), (1, 3)] and len(S._batches(np.ones(S.BATCH + 1, int))) == 2
     print("postings read", index.read / index.held)
+
+
+# --- 6: dense terms of a cluster, floors ------------------------------------------------
+
+def test_search_multiplies_within_clusters_and_from_a_floor(monkeypatch):
+    """Two languages: a shard multiplies by the frequent terms of each alone. Words are counted once. A floor takes no hit away."""
+    from emporium.llm import block_max_wand as S
+    from emporium.llm import common
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{'ab'[i % 2]}{x}" for x in np.minimum(rng.geometric(0.05, 30), 90)) for i in range(1500)] + ["", "a1 b1"]
+    table = pa.table({"id": pa.array(range(len(texts))), "text": texts})
+    vocabulary = np.unique(common.words(pa.array(texts), lower=True).hashes[0])
+    doc, term, tf, lengths = S._term_counts(table)
+    column = np.searchsorted(vocabulary, term)
+    impact = np.zeros((len(texts), len(vocabulary)))
+    impact[doc, column] = tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * lengths[doc] / 30.0))
+    idf = np.log1p((len(texts) - np.bincount(column) + .5) / (np.bincount(column) + .5))
+    counts = S.Counts.unpacked(S.Counts.of(table).packed())
+    monkeypatch.setattr(S, "_term_counts", None)
+    index = S.Index(counts, vocabulary, 30.0, idf)
+    dense = [part[2] for part in index.parts]
+    assert 0 < sum(x.size for x in dense) < 0.6 * len(texts) * (index.dense_of >= 0).sum()
+    asked = [np.flatnonzero(impact[i]).astype(np.int32) for i in range(0, 1500, 30)]
+    whole = [np.round(impact[:, own] @ idf[own], S.DIGITS) for own in asked]
+    tenth = np.array([np.sort(x)[-10] for x in whole])
+    for floor in (None, tenth * 0.9, tenth):
+        query, places = index.candidates(asked, [idf[t] for t in asked], 10, floor)
+        scores = index.exact(places, query, asked, [idf[t] for t in asked])
+        for i, x in enumerate(whole):
+            best = index.order[places[(query == i) & (scores >= tenth[i] - 2e-6)]]
+            assert sorted(best.tolist()) == np.flatnonzero(x >= tenth[i] - 2e-6).tolist()
