@@ -5,19 +5,21 @@ over the whole corpus (blocks send term counts to key ranges, which add them
 up and answer for the terms of queries), so every shard scores with global
 statistics and the shards' results merge exactly.
 
-A shard indexes the terms that its queries use. Its documents are put in an
-order where neighbours use the same frequent terms, and cut into blocks of
-``DOC_BLOCK``; each term keeps its largest impact in each block, as does each
-run of postings (those of one term in one block). For a batch of queries the
-sums of these maxima bound every block from above, before any posting is
-read. Blocks go by falling bound in groups, so the pivot of a query is the
+Words are split and counted once; what follows reads the written counts. A
+shard indexes the terms that its queries use. Its documents fall into clusters
+that use the same frequent terms, and these are cut into blocks of
+``DOC_BLOCK``; each term keeps its largest impact in each block. For a batch of
+queries the sums of these maxima bound every block from above, before any
+posting is read. Blocks go by falling bound, and the pivot of a query is the
 first block whose bound does not reach its k-th best score so far: from there
 on the query's postings are not read, as no document there can enter the
-result. Terms that many documents share are scored as a dense matrix product,
-the others through their postings.
+result. Terms that many documents of a cluster share are scored as a dense
+matrix product, the others through their postings, both in single precision;
+what is within its error of the best is summed again exactly.
 
 Queries meet the shards in blocks: each pair of a query block and a shard is
-one task, so neither side has to fit a broadcast.
+one task, so neither side has to fit a broadcast. A sixth of the shards is
+searched first; the others start from the k-th best scores found there.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from . import common as C
 
 K1, B, K = 1.2, 0.75, 10
 #: Text bytes of a shard, documents of a block, queries scored together.
-INDEX_BYTES, DOC_BLOCK, BATCH = 24 << 20, 1024, 512
+INDEX_BYTES, DOC_BLOCK, BATCH = 24 << 20, 1024, 1024
 #: Clusters of a shard's documents at most, documents of one on average at least, and the terms that tell clusters apart.
 CLUSTERS, CLUSTER_DOCS, FEATURES = 16, 256, 512
 #: Postings in a row, and rows read at once.
@@ -44,7 +46,7 @@ WIDTH, AT_ONCE = 8, 1 << 12
 #: Runs of postings held for the queries of one batch.
 BATCH_RUNS = 1 << 21
 #: Terms in at least this part of a cluster's documents are scored densely there.
-FREQUENT = 1 / 16
+FREQUENT = 1 / 24
 #: Candidates that are summed exactly at once.
 PAIRS = 1 << 20
 #: One shard of so many is searched first.
